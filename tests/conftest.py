@@ -11,11 +11,12 @@ from pyspark.sql import SparkSession  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4, 4]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

@@ -73,6 +73,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, *, pool_rows:
 
 
 def _summary(values: DataFrame, names: list[str]) -> list[tuple]:
+    if not names:
+        return []
     measures = (F.count, F.avg, F.stddev_samp, F.min, F.max)
     row = values.agg(*(f(f"`{c}`").alias(f"{i}:{c}") for c in names for i, f in enumerate(measures))).first()
     return [(c, *(row[f"{i}:{c}"] for i in range(len(measures)))) for c in names]

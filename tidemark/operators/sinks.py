@@ -4,55 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def append(df: DataFrame, uri: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> int:
+def append(df: DataFrame, uri: str, partition_by: Sequence[str] = (), key: Sequence[str] = ()) -> int:
     """Add rows to the table at ``uri`` and return how many were added."""
-    return _write(df, uri, partition_by, sort_by, "append", {})
+    return _write(df, uri, partition_by, key, "append", {})
 
 
 def overwrite(
     df: DataFrame,
     uri: str,
     partition_by: Sequence[str] = (),
-    sort_by: Sequence[str] = (),
+    key: Sequence[str] = (),
     *,
     only_written_partitions: bool = False,
 ) -> int:
     """Replace the whole table, or just the partitions that ``df`` has rows for."""
     mode = "dynamic" if only_written_partitions else "static"
-    return _write(df, uri, partition_by, sort_by, "overwrite", {"partitionOverwriteMode": mode})
+    return _write(df, uri, partition_by, key, "overwrite", {"partitionOverwriteMode": mode})
 
 
 def _write(
     df: DataFrame,
     uri: str,
     partition_by: Sequence[str],
-    sort_by: Sequence[str],
+    key: Sequence[str],
     mode: str,
     options: dict[str, str],
 ) -> int:
     """Write once, counting on the way.
 
-    Rebalancing by the partition columns brings a directory's rows together, so it gets
-    few files; adaptive execution then cuts a directory holding very many rows into
-    tasks of the advisory size and packs small ones together.  Files are sorted by
-    ``sort_by`` inside a directory, which gives narrow row-group ranges to later
-    key look-ups.
-
     The count sits in the stage that writes, where a task that is run again counts
     once; below a shuffle a re-run stage would be counted twice.
     """
-    if partition_by:
-        df = df.hint("rebalance", *(F.col(f"`{c}`") for c in partition_by))
-    else:
-        df = df.hint("rebalance")
     written = Observation()
-    rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    order = list(dict.fromkeys([*partition_by, *sort_by]))
+    rows = _gathered(df, partition_by, key).observe(written, F.count(F.lit(1)).alias("rows"))
+    order = _columns([*partition_by, *key])
     if order:
-        rows = rows.sortWithinPartitions(*(F.col(f"`{c}`") for c in order))
+        rows = rows.sortWithinPartitions(*order)
     rows.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(uri)
     return written.get["rows"]
+
+
+def _gathered(df: DataFrame, partition_by: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """Bring a directory's rows together, in evenly sized tasks.
+
+    With a ``key`` that is unique among the rows, ranges over directory and key do both:
+    a directory with a third of all rows takes a third of the tasks, small ones share a
+    task, and there are no more files than directories plus tasks.  The files of a
+    directory hold separate key ranges, which later key look-ups can skip by.
+
+    Without a key, adaptive execution cuts and packs tasks by size.
+    """
+    if key:
+        return df.repartitionByRange(*_columns([*partition_by, *key]))
+    return df.hint("rebalance", *_columns(partition_by))
+
+
+def _columns(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in dict.fromkeys(names)]

@@ -100,5 +100,5 @@ def ingest(
         first_load=history is None,
         read=profile.rows,
         rejected=profile.rows_without_key,
-        appended=append(fresh, uri, spec.partition_by, sort_by=spec.key),
+        appended=append(fresh, uri, spec.partition_by, key=spec.key),
     )
