@@ -14,8 +14,9 @@ from tidemark.operators.profile import present
 
 # Most different values one task orders to pick a quartile from.
 POOL_ROWS = 1_000_000
+_LEAST_POOL_ROWS = 1_000
 _SAMPLE_ROWS = 200_000
-_MAX_ROUNDS = 20
+_MOST_ROUNDS = 200
 
 
 @dataclass(frozen=True)
@@ -90,10 +91,11 @@ def _quartiles(facts: tuple) -> list[_Bracket]:
 
 
 def _bracket(values: DataFrame, brackets: list[_Bracket], pool_rows: int) -> list[_Bracket]:
-    for seed in range(_MAX_ROUNDS):
-        wide = [b for b in brackets if b.between > pool_rows]
+    """Narrow the brackets until each holds few enough values; a handful of rounds at any size."""
+    for seed in range(_MOST_ROUNDS):
+        wide = [b for b in brackets if b.between > max(pool_rows, _LEAST_POOL_ROWS)]
         if not wide:
-            break
+            return brackets
         cuts = _suggest(values, wide, seed)
         ranks = _ranks(values, {(b.column, v) for b, pair in cuts for v in pair})
         narrowed = {}
@@ -103,7 +105,7 @@ def _bracket(values: DataFrame, brackets: list[_Bracket], pool_rows: int) -> lis
                 after = after.cut(value, *ranks[bracket.column, value])
             narrowed[bracket] = after
         brackets = [narrowed.get(b, b) for b in brackets]
-    return brackets
+    raise RuntimeError(f"quartiles of {sorted({b.column for b in wide})} were not found")
 
 
 def _suggest(values: DataFrame, brackets: list[_Bracket], seed: int) -> list[tuple[_Bracket, list[float]]]:

@@ -112,7 +112,7 @@ def unstored_rows(
     names = [f"`{c}`" for c in key]
     stored = reduce(DataFrame.where, profile.may_hold(), history).select(*names)
     if profile.key_bytes <= broadcast_key_bytes:
-        wanted = F.broadcast(batch.select(*names).distinct())
+        wanted = F.broadcast(batch.select(*names))
         known = F.broadcast(stored.join(wanted, on=list(key), how="left_semi").distinct())
         return dedupe(new_rows(batch, known, key), key, prefer)
     return new_rows(dedupe(batch, key, prefer), stored, key)
