@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,6 +130,13 @@ def ingest_large_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, uri)
 
 
+def ingest_stable_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order never changes its month, so only the batch's months of the history are read."""
+    every, uri = _preloaded(spark, sf_dir, "orders")
+    ingest(spark, every.where("month >= '1997-06'"), replace(ORDERS, stable=("month",)), uri)
+    return _stored(spark, uri)
+
+
 def ingest_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     every, uri = lines(spark, sf_dir), fresh_dir(spark, "lineitem")
     ingest(spark, every.where("l_returnflag = 'R'"), LINES, uri)
@@ -272,6 +281,7 @@ ENTRIES: Entries = {
         """,
     ),
     "ingest_large_batch": (ingest_large_batch, ORDERS_SQL),
+    "ingest_stable_partitions": (ingest_stable_partitions, ORDERS_SQL),
     "ingest_composite_key": (
         ingest_composite_key,
         f"""

@@ -2,6 +2,7 @@
 
     spark-submit --py-files tidemark.zip tidemark/__main__.py ingest devolucoes raw/devolucoes.csv s3a://bronze/devolucoes
     spark-submit --py-files tidemark.zip tidemark/__main__.py profile raw/devolucoes.csv --count motivo_devolucao
+    spark-submit --py-files tidemark.zip tidemark/__main__.py refine s3a://bronze s3a://silver s3a://gold
 
 Master, object-store endpoint, keys and packages come from the submitting environment.
 """
@@ -12,9 +13,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tidemark.operators import column_info, describe, null_counts, value_counts_multi
-from tidemark.plans import ingest
-from tidemark.sources import read_csv, read_csv_loose
+from tidemark.operators import column_info, describe, null_counts, overwrite, value_counts_multi
+from tidemark.plans import ingest, shop, with_load_columns
+from tidemark.sources import read_csv, read_csv_loose, read_history
 from tidemark.tables import RETURNS, SALES, STOCK
 
 TABLES = {spec.name: spec for spec in (SALES, STOCK, RETURNS)}
@@ -28,24 +29,51 @@ def main(argv: list[str] | None = None) -> None:
     loading.add_argument("source")
     loading.add_argument("target")
     loading.add_argument("--rejects", help="where this batch's rows without a key go")
+    loading.add_argument("--batch-id", help="store the load history with each row under this name")
     profiling = commands.add_parser("profile", help="print what CSV files hold")
     profiling.add_argument("source")
     profiling.add_argument("--count", nargs="*", default=[], metavar="COLUMN", help="columns to count values of")
+    refining = commands.add_parser("refine", help="rebuild the cleaned and the star-schema tables")
+    refining.add_argument("bronze")
+    refining.add_argument("silver")
+    refining.add_argument("gold")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tidemark {args.command}").getOrCreate()
     if args.command == "ingest":
         spec = TABLES[args.table]
         batch = read_csv(spark, args.source, spec.schema, infer=spec.schema is None)
+        if args.batch_id:
+            batch, spec = with_load_columns(batch, args.batch_id), spec.with_load_columns()
         print(ingest(spark, batch, spec, args.target, rejects_uri=args.rejects))
-        return
-    rows = read_csv_loose(spark, args.source)
+    elif args.command == "profile":
+        profile(spark, args.source, args.count)
+    else:
+        refine(spark, args.bronze, args.silver, args.gold)
+
+
+def profile(spark: SparkSession, source: str, count: list[str]) -> None:
+    rows = read_csv_loose(spark, source)
     rows.show(5)
     reports = [column_info(rows), describe(rows), null_counts(rows)]
-    reports += [value_counts_multi(rows, args.count)] if args.count else []
+    reports += [value_counts_multi(rows, count)] if count else []
     for report in reports:
         report.show(200, truncate=False)
 
 
+def refine(spark: SparkSession, bronze: str, silver: str, gold: str) -> None:
+    cleaned = {}
+    for spec in (RETURNS, STOCK):
+        stored = read_history(spark, f"{bronze}/{spec.name}", spec.schema)
+        if stored is None:
+            raise SystemExit(f"nothing was ingested into {bronze}/{spec.name}")
+        fit, rejects = shop.silver(stored, spec)
+        print(spec.name, "cleaned:", overwrite(fit, f"{silver}/{spec.name}", spec.partition_by, spec.key))
+        print(spec.name, "rejected:", overwrite(rejects, f"{silver}/{spec.name}_rejects"))
+        cleaned[spec.name] = read_history(spark, f"{silver}/{spec.name}", fit.schema)
+    for name, rows in shop.star(cleaned[RETURNS.name], cleaned[STOCK.name]).items():
+        print(name, overwrite(rows, f"{gold}/{name}"))
+
+
 if __name__ == "__main__":
     main()
