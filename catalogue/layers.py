@@ -90,7 +90,7 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.calendar(table(spark, sf_dir, "orders"), "o_orderdate")
+    return gold.calendar(table(spark, sf_dir, "orders"), "o_orderdate").drop("cal_date")
 
 
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +178,7 @@ ENTRIES: Entries = {
     "dim_date": (
         dim_date,
         """
-        SELECT DISTINCT o_orderdate::DATE AS date_key, year(o_orderdate)::INT AS cal_year,
+        SELECT DISTINCT strftime(o_orderdate, '%Y%m%d')::INT AS date_key, year(o_orderdate)::INT AS cal_year,
                quarter(o_orderdate)::INT AS cal_quarter, month(o_orderdate)::INT AS cal_month
         FROM orders
         """,

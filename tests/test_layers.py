@@ -51,7 +51,9 @@ def test_half_cents_are_exact(spark):
 
 def test_calendar(spark):
     days = spark.createDataFrame([(dt.date(2025, 11, 30),), (dt.date(2025, 11, 30),), (None,)], "d date")
-    assert [tuple(r) for r in gold.calendar(days, "d").collect()] == [(dt.date(2025, 11, 30), 2025, 4, 11)]
+    assert [tuple(r) for r in gold.calendar(days, "d").collect()] == [
+        (20251130, dt.date(2025, 11, 30), 2025, 4, 11)
+    ]
 
 
 def test_dimension_has_one_row_per_key(spark):

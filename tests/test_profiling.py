@@ -73,6 +73,12 @@ def test_describe_edge_columns(spark):
     assert found["inf"]["q25"] == float("inf")
 
 
+def test_describe_of_a_wide_table(spark):
+    df = spark.range(9).select(*((F.col("id") + i).alias(f"c{i}") for i in range(35)))
+    found = {r["column"]: quartiles(r) for r in describe(df).collect()}
+    assert found == {f"c{i}": [2.0 + i, 4.0 + i, 6.0 + i] for i in range(35)}
+
+
 def test_describe_without_numbers(spark):
     assert describe(spark.sql("SELECT 'x' AS text")).collect() == []
     assert describe(spark.sql("SELECT 1 AS x").where("x > 1")).first()["count"] == 0

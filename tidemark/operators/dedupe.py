@@ -22,7 +22,7 @@ def dedupe(df: DataFrame, key: Sequence[str], prefer: Sequence[Column | str] = (
     rest = [F.col(f"`{f.name}`") for f in df.schema if f.name not in key and _sortable(f.dataType)]
     order = [*prefer, *rest] or [F.col(f"`{key[0]}`")]
     rank = F.row_number().over(Window.partitionBy(*(f"`{c}`" for c in key)).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    return df.withColumn("_tidemark_rank", rank).where("_tidemark_rank = 1").drop("_tidemark_rank")
 
 
 def _sortable(kind: DataType) -> bool:

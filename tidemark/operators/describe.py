@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from tidemark.operators.profile import present
 # Most different values one task orders to pick a quartile from.
 POOL_ROWS = 1_000_000
 _LEAST_POOL_ROWS = 1_000
+# Wide tables are described in several passes, each reading its own columns.
+_COLUMNS_AT_ONCE = 16
 _SAMPLE_ROWS = 200_000
 _MOST_ROUNDS = 200
 
@@ -61,11 +64,15 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, *, pool_rows:
     names = list(columns) if columns is not None else [
         f.name for f in df.schema if isinstance(f.dataType, NumericType)
     ]
+    groups = [names[i : i + _COLUMNS_AT_ONCE] for i in range(0, len(names), _COLUMNS_AT_ONCE)] or [[]]
+    return reduce(DataFrame.unionAll, (_describe(df, group, pool_rows) for group in groups))
+
+
+def _describe(df: DataFrame, names: list[str], pool_rows: int) -> DataFrame:
     values = df.select(*(present(df, c).cast("double").alias(c) for c in names))
     summary = _summary(values, names)
     brackets = _bracket(values, [b for s in summary for b in _quartiles(s)], pool_rows)
-    session = df.sparkSession
-    facts = session.createDataFrame(
+    facts = df.sparkSession.createDataFrame(
         summary, "`column` string, `count` bigint, mean double, std double, `min` double, `max` double"
     )
     return facts.join(F.broadcast(_pick(values, brackets)), "column", "left").select(

@@ -20,15 +20,21 @@ def dimension(df: DataFrame, key: Sequence[str], attributes: Sequence[str], pref
     return dedupe(df.select(*key, *attributes), key, prefer)
 
 
+def date_key(name: str) -> Column:
+    """A day as the number yyyymmdd, by which facts refer to the calendar."""
+    return F.date_format(F.col(f"`{name}`"), "yyyyMMdd").cast("int")
+
+
 def calendar(df: DataFrame, date: str) -> DataFrame:
-    """The days that occur in a column, with year, quarter and month."""
-    day = F.col("date_key")
+    """The days that occur in a column, with key, year, quarter and month."""
+    day = F.col("cal_date")
     return (
-        df.select(F.to_date(F.col(f"`{date}`")).alias("date_key"))
+        df.select(F.to_date(F.col(f"`{date}`")).alias("cal_date"))
         .where(day.isNotNull())
         .distinct()
         .select(
-            "date_key",
+            date_key("cal_date").alias("date_key"),
+            "cal_date",
             F.year(day).alias("cal_year"),
             F.quarter(day).alias("cal_quarter"),
             F.month(day).alias("cal_month"),

@@ -56,8 +56,9 @@ def star(returns: DataFrame, stock: DataFrame) -> dict[str, DataFrame]:
         "dim_cliente": returns.select("cliente_id").where("cliente_id IS NOT NULL").distinct(),
         "dim_data": gold.calendar(returns, "data_devolucao"),
         "fato_devolucoes": returns.select(
-            "devolucao_id", "pedido_id", F.col("data_devolucao").alias("date_key"), "cliente_id", "produto_id",
-            "quantidade_devolvida", "valor_devolvido", "motivo_devolucao", "status_devolucao",
+            "devolucao_id", "pedido_id", gold.date_key("data_devolucao").alias("date_key"), "data_devolucao",
+            "cliente_id", "produto_id", "quantidade_devolvida", "valor_devolvido", "motivo_devolucao",
+            "status_devolucao",
         ),
         "fato_estoque": stock.select(
             "produto_id", "centro_distribuicao", "estoque_inicial", "entradas_periodo", "estoque_atual",
