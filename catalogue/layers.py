@@ -53,7 +53,9 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" "), F.lower("p_brand")).alias("p_brand"),
         F.when(F.col("p_size") == 7, "NA").otherwise(F.col("p_type")).alias("p_type"),
         F.col("p_size").cast("string"),
-        F.when(F.col("p_size") <= 10, "unknown").otherwise(F.col("p_retailprice").cast("string")).alias("p_retailprice"),
+        F.when(F.col("p_size") <= 10, "unknown")
+        .otherwise(F.col("p_retailprice").cast("string"))
+        .alias("p_retailprice"),
     )
     fit, _ = split_rejects(clean(untidy.unionByName(untidy), _PART_FIELDS))
     return dedupe(fit, ["p_partkey"])
@@ -65,7 +67,9 @@ def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderkey"
         ),
         "o_orderstatus",
-        F.when(F.col("o_orderstatus") == "P", "?").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(F.col("o_orderstatus") == "P", "?")
+        .otherwise(F.col("o_totalprice").cast("string"))
+        .alias("o_totalprice"),
     )
     fields = (
         Field("o_orderkey", "bigint", required=True),

@@ -36,7 +36,7 @@ def profile_describe_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded(stats: DataFrame) -> DataFrame:
-    return stats.select("column", "count", *(F.round(c, 2).alias(c) for c in stats.columns[2:]))
+    return stats.select("column", "count", *(F.round(c, 4).alias(c) for c in stats.columns[2:]))
 
 
 def profile_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +54,10 @@ def profile_value_counts_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stats_sql(rows: str, column: str) -> str:
     value = f"{column}::DOUBLE"
     return f"""
-        SELECT '{column}' AS "column", count({value}) AS count, round(avg({value}), 2) AS mean,
-               round(stddev_samp({value}), 2) AS std, round(min({value}), 2) AS min,
-               round(quantile_cont({value}, 0.25), 2) AS q25, round(quantile_cont({value}, 0.5), 2) AS q50,
-               round(quantile_cont({value}, 0.75), 2) AS q75, round(max({value}), 2) AS max
+        SELECT '{column}' AS "column", count({value}) AS count, round(avg({value}), 4) AS mean,
+               round(stddev_samp({value}), 4) AS std, round(min({value}), 4) AS min,
+               round(quantile_cont({value}, 0.25), 4) AS q25, round(quantile_cont({value}, 0.5), 4) AS q50,
+               round(quantile_cont({value}, 0.75), 4) AS q75, round(max({value}), 4) AS max
         FROM {rows}
     """
 

@@ -63,7 +63,8 @@ def test_dimension_has_one_row_per_key(spark):
 
 
 def test_return_rate_keeps_lines_of_unknown_products(spark):
-    lines = spark.createDataFrame([(1, "R", 5.0), (1, "N", 5.0), (2, "R", 3.0), (9, "R", 1.0)], "p int, f string, v double")
+    rows = [(1, "R", 5.0), (1, "N", 5.0), (2, "R", 3.0), (9, "R", 1.0)]
+    lines = spark.createDataFrame(rows, "p int, f string, v double")
     products = spark.createDataFrame([(1, "x"), (2, "y")], "p int, brand string")
     found = gold.return_rate(
         lines, products, product=("p", "p"), group="brand", returned=F.col("f") == "R", value=money("v")

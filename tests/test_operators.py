@@ -34,7 +34,8 @@ def test_new_rows_keeps_null_keys_and_columns_of_the_batch(spark):
 
 
 def test_key_profile(spark):
-    batch = spark.createDataFrame([(5, "bb", 1.5), (2, "a", None), (None, "c", 1.0), (9, None, 1.0)], "k int, s string, d double")
+    rows = [(5, "bb", 1.5), (2, "a", None), (None, "c", 1.0), (9, None, 1.0)]
+    batch = spark.createDataFrame(rows, "k int, s string, d double")
     found = profile_keys(batch, ["k", "s"], ["d"])
     assert (found.rows, found.rows_without_key) == (4, 2)
     assert found.ranges == {"k": (2, 5, False), "s": ("a", "bb", False)}

@@ -59,6 +59,22 @@ def test_raw_to_gold(spark, tmp_path, capsys):
     assert {r.month for r in by_month} == {"2025-05", "2025-06"}
 
 
+def test_daily_command(spark, tmp_path, capsys):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    command = ["daily", "estoque", *(str(tmp_path / part) for part in ("inbox", "bronze", "progress"))]
+    header, first, second = STOCK_CSV.splitlines()
+    (inbox / "monday.csv").write_text(f"{header}\n{first}\n", encoding="utf-8")
+    main(command)
+    (inbox / "tuesday.csv").write_text(f"{header}\n{first}\n{second}\n", encoding="utf-8")
+    main(command)
+    main(command)
+    printed = capsys.readouterr().out
+    assert [line.split("read=")[1] for line in printed.splitlines() if "read=" in line] == [
+        "1, rejected=0, appended=1)", "2, rejected=0, appended=1)",
+    ]
+
+
 def test_profile_command(spark, tmp_path, capfd):
     path = tmp_path / "estoque.csv"
     path.write_text(STOCK_CSV, encoding="utf-8")

@@ -1,8 +1,11 @@
 """Command line for submitted jobs.
 
-    spark-submit --py-files tidemark.zip tidemark/__main__.py ingest devolucoes raw/devolucoes.csv s3a://bronze/devolucoes
-    spark-submit --py-files tidemark.zip tidemark/__main__.py profile raw/devolucoes.csv --count motivo_devolucao
-    spark-submit --py-files tidemark.zip tidemark/__main__.py refine s3a://bronze s3a://silver s3a://gold
+    spark-submit --py-files tidemark.zip tidemark/__main__.py COMMAND ...
+
+    ingest devolucoes raw/devolucoes.csv s3a://bronze/devolucoes
+    daily devolucoes raw/daily s3a://bronze/devolucoes s3a://state/devolucoes
+    profile raw/devolucoes.csv --count motivo_devolucao
+    refine s3a://bronze s3a://silver s3a://gold
 
 Master, object-store endpoint, keys and packages come from the submitting environment.
 """
@@ -15,7 +18,8 @@ from pyspark.sql import SparkSession
 
 from tidemark.operators import column_info, describe, null_counts, overwrite, value_counts_multi
 from tidemark.plans import ingest, shop, with_load_columns
-from tidemark.sources import read_csv, read_csv_loose, read_history
+from tidemark.sources import read_csv, read_csv_loose, read_history, stream_csv
+from tidemark.streaming import ingest_available
 from tidemark.tables import RETURNS, SALES, STOCK
 
 TABLES = {spec.name: spec for spec in (SALES, STOCK, RETURNS)}
@@ -33,6 +37,12 @@ def main(argv: list[str] | None = None) -> None:
     profiling = commands.add_parser("profile", help="print what CSV files hold")
     profiling.add_argument("source")
     profiling.add_argument("--count", nargs="*", default=[], metavar="COLUMN", help="columns to count values of")
+    daily = commands.add_parser("daily", help="ingest the CSV files that arrived in a directory since the last run")
+    daily.add_argument("table", choices=sorted(t for t, spec in TABLES.items() if spec.schema))
+    daily.add_argument("directory")
+    daily.add_argument("target")
+    daily.add_argument("checkpoint", help="where the run notes which files it has seen")
+    daily.add_argument("--rejects", help="where rows without a key go, by micro-batch")
     refining = commands.add_parser("refine", help="rebuild the cleaned and the star-schema tables")
     refining.add_argument("bronze")
     refining.add_argument("silver")
@@ -46,6 +56,11 @@ def main(argv: list[str] | None = None) -> None:
         if args.batch_id:
             batch, spec = with_load_columns(batch, args.batch_id), spec.with_load_columns()
         print(ingest(spark, batch, spec, args.target, rejects_uri=args.rejects))
+    elif args.command == "daily":
+        spec = TABLES[args.table]
+        files = stream_csv(spark, args.directory, spec.schema)
+        for result in ingest_available(files, spec, args.target, args.checkpoint, rejects_uri=args.rejects):
+            print(result)
     elif args.command == "profile":
         profile(spark, args.source, args.count)
     else:

@@ -180,13 +180,18 @@ def _pick(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
         .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank") + 1))
         .groupBy("column", "quarter", "share")
         .agg(value_at(F.col("rank")).alias("lower"), value_at(F.col("rank") + 1).alias("upper"))
-        .withColumn(
-            "value",
-            F.when((F.col("share") == 0) | (F.col("lower") == F.col("upper")), F.col("lower")).otherwise(
-                F.col("lower") * (1 - F.col("share")) + F.col("upper") * F.col("share")
-            ),
-        )
+        .withColumn("value", _between(F.col("lower"), F.col("upper"), F.col("share")))
     )
     return picked.groupBy("column").agg(
         *(F.max(F.when(F.col("quarter") == q, F.col("value"))).alias(f"q{25 * q}") for q in (1, 2, 3))
     )
+
+
+def _between(lower: Column, upper: Column, share: Column) -> Column:
+    """Linear interpolation from the nearer end, rounded as data-frame profiling does."""
+    gap = upper - lower
+    return (
+        F.when((share == 0) | (lower == upper), lower)
+        .when(share < 0.5, lower + gap * share)
+        .otherwise(upper - gap * (1 - share))
+    )

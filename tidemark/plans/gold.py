@@ -15,7 +15,9 @@ from tidemark.functions.money import to_amount
 from tidemark.operators.dedupe import dedupe
 
 
-def dimension(df: DataFrame, key: Sequence[str], attributes: Sequence[str], prefer: Sequence[Column | str] = ()) -> DataFrame:
+def dimension(
+    df: DataFrame, key: Sequence[str], attributes: Sequence[str], prefer: Sequence[Column | str] = ()
+) -> DataFrame:
     """One row per key with its attributes."""
     return dedupe(df.select(*key, *attributes), key, prefer)
 
@@ -91,7 +93,9 @@ def sales_by_month(
     )
 
 
-def returns_by_month(returns: DataFrame, *, date: str, product: str, quantity: Column, value: Column) -> DataFrame:
+def returns_by_month(
+    returns: DataFrame, *, date: str, product: str, quantity: Column, value: Column
+) -> DataFrame:
     """Returned lines, pieces and value per month and product."""
     per_product = fact(
         returns, {"month": month_of(date), "product": F.col(product)}, {"quantity": quantity, "value": value}
@@ -118,7 +122,8 @@ def return_rate(
         {"returned_lines": returned.cast("bigint"), "returned_value": F.when(returned, value)},
     )
     groups = products.select(F.col(product[1]).alias(product[0]), F.col(group))
-    totals = roll_up(per_product.join(groups, product[0], "left"), [group], ["rows", "returned_lines", "returned_value"])
+    grouped = per_product.join(groups, product[0], "left")
+    totals = roll_up(grouped, [group], ["rows", "returned_lines", "returned_value"])
     return totals.select(
         group,
         F.col("rows").alias("lines"),

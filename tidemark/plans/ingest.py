@@ -88,10 +88,10 @@ def ingest(
     profile = profile_keys(batch, spec.key, spec.stable)
     keyed = batch.where(has_key(spec.key))
     if history is None:
-        fresh = dedupe(keyed, spec.key, spec.preference(batch))
+        fresh = dedupe(keyed, spec.key, spec.preference())
     else:
         fresh = unstored_rows(
-            keyed, history, spec.key, spec.preference(batch), profile, broadcast_key_bytes=broadcast_key_bytes
+            keyed, history, spec.key, spec.preference(), profile, broadcast_key_bytes=broadcast_key_bytes
         )
     if rejects_uri is not None and profile.rows_without_key:
         overwrite(batch.where(~has_key(spec.key)), rejects_uri)

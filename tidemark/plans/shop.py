@@ -46,7 +46,7 @@ FIELDS = {RETURNS.name: RETURN_FIELDS, STOCK.name: STOCK_FIELDS}
 def silver(bronze: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     """The cleaned table, one row per key, and the rows that did not qualify."""
     fit, rejects = split_rejects(clean(bronze, FIELDS[spec.name]))
-    return dedupe(fit, spec.key, spec.preference(fit)), rejects
+    return dedupe(fit, spec.key, spec.preference()), rejects
 
 
 def star(returns: DataFrame, stock: DataFrame) -> dict[str, DataFrame]:

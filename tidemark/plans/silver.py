@@ -29,7 +29,10 @@ def clean(df: DataFrame, fields: Sequence[Field], tokens: Sequence[str] = NULL_T
     without a usable value, as ``missing: c`` or ``invalid: c``.
     """
     texts = df.select(
-        *(standard_text(F.col(f"`{f.name}`").cast("string"), upper=f.upper, tokens=tokens).alias(f.name) for f in fields)
+        *(
+            standard_text(F.col(f"`{f.name}`").cast("string"), upper=f.upper, tokens=tokens).alias(f.name)
+            for f in fields
+        )
     )
     problems = F.array(
         *(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -38,8 +38,8 @@ class TableSpec:
             self, schema=f"{self.schema}, _batch_id string, _source_file string, _ingested_at timestamp"
         )
 
-    def preference(self, df: DataFrame) -> list:
-        return [F.col(c).desc_nulls_last() for c in self.latest_by if c in df.columns]
+    def preference(self) -> list[Column]:
+        return [F.col(c).desc_nulls_last() for c in self.latest_by]
 
 
 # Table, column and partition names of the stored shop tables.

@@ -27,7 +27,7 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _local_root()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
