@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -39,12 +40,19 @@ def _write(
     The count sits in the stage that writes, where a task that is run again counts
     once; below a shuffle a re-run stage would be counted twice.
     """
-    written = Observation()
-    rows = _gathered(df, partition_by, key).observe(written, F.count(F.lit(1)).alias("rows"))
-    order = _columns([*partition_by, *key])
-    if order:
-        rows = rows.sortWithinPartitions(*order)
-    rows.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(uri)
+    # Finding ranges looks at the rows once before moving them; kept on the executors' disks,
+    # they are not joined and sorted a second time for it.  A lost copy is computed again.
+    kept = df.persist(StorageLevel.DISK_ONLY) if key else df
+    try:
+        written = Observation()
+        rows = _gathered(kept, partition_by, key).observe(written, F.count(F.lit(1)).alias("rows"))
+        order = _columns([*partition_by, *key])
+        if order:
+            rows = rows.sortWithinPartitions(*order)
+        rows.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(uri)
+    finally:
+        if key:
+            kept.unpersist()
     return written.get["rows"]
 
 
