@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -40,19 +39,12 @@ def _write(
     The count sits in the stage that writes, where a task that is run again counts
     once; below a shuffle a re-run stage would be counted twice.
     """
-    # Finding ranges looks at the rows once before moving them; kept on the executors' disks,
-    # they are not joined and sorted a second time for it.  A lost copy is computed again.
-    kept = df.persist(StorageLevel.DISK_ONLY) if key else df
-    try:
-        written = Observation()
-        rows = _gathered(kept, partition_by, key).observe(written, F.count(F.lit(1)).alias("rows"))
-        order = _columns([*partition_by, *key])
-        if order:
-            rows = rows.sortWithinPartitions(*order)
-        rows.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(uri)
-    finally:
-        if key:
-            kept.unpersist()
+    written = Observation()
+    rows = _gathered(df, partition_by, key).observe(written, F.count(F.lit(1)).alias("rows"))
+    order = _columns([*partition_by, *key])
+    if order:
+        rows = rows.sortWithinPartitions(*order)
+    rows.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(uri)
     return written.get["rows"]
 
 
@@ -62,7 +54,8 @@ def _gathered(df: DataFrame, partition_by: Sequence[str], key: Sequence[str]) ->
     With a ``key`` that is unique among the rows, ranges over directory and key do both:
     a directory with a third of all rows takes a third of the tasks, small ones share a
     task, and there are no more files than directories plus tasks.  The files of a
-    directory hold separate key ranges, which later key look-ups can skip by.
+    directory hold separate key ranges, which later key look-ups can skip by.  Finding the
+    ranges evaluates ``df`` once more back to its last shuffle or file scan.
 
     Without a key, adaptive execution cuts and packs tasks by size.
     """

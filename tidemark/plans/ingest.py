@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -95,10 +96,17 @@ def ingest(
         )
     if rejects_uri is not None and profile.rows_without_key:
         overwrite(batch.where(~has_key(spec.key)), rejects_uri)
+    # The write looks at the new rows once to find ranges before it moves them.  Kept on the
+    # executors' disks, they are not joined and sorted twice; a lost copy is computed again.
+    fresh = fresh.persist(StorageLevel.DISK_ONLY)
+    try:
+        appended = append(fresh, uri, spec.partition_by, key=spec.key)
+    finally:
+        fresh.unpersist()
     return IngestResult(
         table=spec.name,
         first_load=history is None,
         read=profile.rows,
         rejected=profile.rows_without_key,
-        appended=append(fresh, uri, spec.partition_by, key=spec.key),
+        appended=appended,
     )
