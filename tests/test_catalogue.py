@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from catalogue import ENTRIES
 
 DATA = os.environ.get("CATALOGUE_DIR", SMOKE_DIR)
 # The SQL type each Spark type is expected to face.
@@ -34,10 +35,11 @@ def comparable(rows):
 
 
 def test_each_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(ENTRIES) <= set(queries())
+    assert set(ENTRIES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(ENTRIES))
 def test_query_equals_sql(spark, db, name):
     ours = queries()[name](spark, DATA)
     names = sorted(ours.columns)
