@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.piece_codec import encode_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256")
@@ -34,5 +41,6 @@ OP9_SQL = r"""
 """
 
 ENTRIES: dict[str, tuple[Query, str | None]] = {
+    "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
 }
