@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.piece_codec import encode_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.withColumnRenamed("id", "doc_id")
@@ -41,6 +47,7 @@ OP9_SQL = r"""
 """
 
 ENTRIES: dict[str, tuple[Query, str | None]] = {
+    "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
 }
