@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import secrets
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.packing import pack_documents
@@ -16,6 +17,11 @@ from tidemark.llm.piece_codec import encode_documents
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return found.withColumnRenamed("id", "doc_id")
@@ -47,6 +53,7 @@ OP9_SQL = r"""
 """
 
 ENTRIES: dict[str, tuple[Query, str | None]] = {
+    "op1_secret_scan": (op1_secret_scan, secrets.ORACLE_SQL),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
