@@ -8,16 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import saved, table
 from tidemark.llm.exact_dedup import drop_exact_copies
+from tidemark.llm.importance import keep_selected
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents unlike the ones labelled as good go."""
+    return keep_selected(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for white space, the longest stays."""
     return drop_exact_copies(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
     ("exact dedup", exact_dedup),
 ]
 

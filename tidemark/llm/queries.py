@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import secrets
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.importance import select
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.piece_codec import encode_documents
 
@@ -52,9 +53,15 @@ OP9_SQL = r"""
     SELECT doc_id, keep_id, group_size, kept, sha256(bare) AS text_sha256 FROM ranked
 """
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, secrets.ORACLE_SQL),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
+    "op10_importance_resampling": (op10_importance_resampling, None),
 }
