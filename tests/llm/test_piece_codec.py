@@ -43,15 +43,22 @@ def test_sections_give_the_ids_of_the_whole(codec):
         parts = list(sections(text, 8))
         ids = codec.encode(parts)
         assert list(chain.from_iterable(ids)) == codec.encode([text])[0]
-        assert " ".join(codec.decode(ids)) == codec.decode([list(chain.from_iterable(ids))])[0]
+        assert " ".join(codec.library.decode(ids)) == codec.library.decode([list(chain.from_iterable(ids))])[0]
 
 
 def test_full_memory_starts_anew(codec, monkeypatch):
-    monkeypatch.setattr(piece_codec, "REMEMBERED", 5)
+    monkeypatch.setattr(piece_codec, "REMEMBERED", 20)
     fresh = PieceCodec(MODEL)
-    batch = random_texts(4, 50)
+    batch = random_texts(4, 80)
     assert [fresh.encode([t])[0] for t in batch] == codec.encode(batch)
-    assert len(fresh._known) <= 5
+    assert len(fresh._numbers) < 60
+
+
+def test_wrong_ids_are_seen(monkeypatch):
+    fresh = PieceCodec(MODEL)
+    monkeypatch.setattr(fresh.merges, "rank", fresh.merges.rank.max() - fresh.merges.rank)
+    with pytest.raises(ValueError):
+        fresh.encode(["the weather station"])
 
 
 @pytest.mark.parametrize("at_once", [piece_codec.AT_ONCE, 40])

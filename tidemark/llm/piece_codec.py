@@ -17,10 +17,11 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,8 @@ from tidemark.llm.common import in_parts, texts
 SPACE = "▁"
 #: Longer words are encoded with a heap.
 LONG_WORD = 40
-#: Words remembered at a time; beyond that the memory starts anew.
-REMEMBERED = 150_000
+#: Words remembered between batches; beyond that the memory starts anew.
+REMEMBERED = 400_000
 #: Characters encoded at a time.
 AT_ONCE = 3_000_000
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -110,31 +111,76 @@ class Merges:
 
 
 class PieceCodec:
-    def __init__(self, model: str) -> None:
+    """Ids by the agenda; with ``check``, each newly encoded word is held against the library's ids."""
+
+    def __init__(self, model: str, check: bool = True) -> None:
+        self._check = check
         self.library = sentencepiece.SentencePieceProcessor(model_file=model)
         self.merges = Merges(self.library)
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._lengths = {i: len(piece) for piece, i in self.merges.pieces.items()}
+        if not self.library.normalize("a").startswith(SPACE):
+            raise ValueError("a vocabulary that puts a space mark before a text is needed")
+        self._numbers: dict[str, int] = {}
+        self._flat = np.empty(0, np.int32)
+        self._start = np.zeros(1, np.int64)
 
     def words(self, text: str) -> list[str]:
         """The normalised text in words, each with the space marks before it."""
-        text = self.library.normalize(text)
-        if text.startswith(SPACE) and SPACE + SPACE not in text and not text.endswith(SPACE):
-            return text.replace(SPACE, " " + SPACE).split(" ")[1:]
-        return _WORD.findall(text)
+        return _WORD.findall(self.library.normalize(text))
+
+    def _split(self, batch: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts one after another, and where each text's words end."""
+        parted = []
+        for text in batch:
+            text = self.library.normalize(text)
+            if SPACE + SPACE in text or text.endswith(SPACE):
+                parted.append(" " + " ".join(_WORD.findall(text)))
+            else:  # the words begin where the marks are
+                parted.append(text.replace(SPACE, " " + SPACE))
+        lists = pc.split_pattern(pa.array(parted, pa.large_string()), " ")
+        words, bounds = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        # Nothing stands before the first blank of a text.
+        real = np.ones(len(words), bool)
+        real[bounds[:-1]] = False
+        return words.filter(pa.array(real)), bounds[1:] - np.arange(1, len(bounds))
+
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """The numbers of these different words in memory."""
+        if len(self._numbers) > REMEMBERED:
+            self._numbers, self._flat, self._start = {}, np.empty(0, np.int32), np.zeros(1, np.int64)
+        numbers = self._numbers
+        new = sorted((word for word in words if word not in numbers), key=len)
+        ids = self._encode_words(new)
+        if self._check and ids != self._by_library(new):
+            raise ValueError("the ids differ from those of the sentencepiece library")
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        more = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
+        numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
+        self._start = np.concatenate([self._start, self._start[-1] + np.cumsum(lengths)])
+        self._flat = np.concatenate([self._flat, more])
+        return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+
+    def encode_flat(self, batch: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where those of each text begin, with the end of the last."""
+        words, ends = self._split(batch)
+        coded = words.dictionary_encode()
+        numbers = self._learn(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        lengths = self._start[numbers + 1] - self._start[numbers]
+        reach = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.arange(reach[-1]) + np.repeat(self._start[numbers] - reach[:-1], lengths)
+        return self._flat[at], reach[np.concatenate([[0], ends]).astype(np.int64)]
 
     def encode(self, batch: Sequence[str]) -> list[list[int]]:
         """The ids of each text."""
-        split = [self.words(text) for text in batch]
-        known = self._known
-        new = list(set(chain.from_iterable(split)).difference(known))
-        if len(known) + len(new) > REMEMBERED:
-            known = self._known = {}
-            new = list(set(chain.from_iterable(split)))
-        known.update(zip(new, self._encode_words(new), strict=True))
-        ids = [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
-        if len(known) > REMEMBERED:
-            self._known = {}
-        return ids
+        ids, bounds = self.encode_flat(batch)
+        return [ids[a:b].tolist() for a, b in pairwise(bounds.tolist())]
+
+    def _by_library(self, words: list[str]) -> list[tuple[int, ...]]:
+        """The first mark of a word is the one that the library puts before a text."""
+        found = list(map(tuple, self.library.encode([word[1:] for word in words], num_threads=1)))
+        if SPACE in words:  # an empty text gets no mark
+            found[words.index(SPACE)] = (self.merges.pieces[SPACE],)
+        return found
 
     def _encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
         out: list[tuple[int, ...]] = [()] * len(words)
@@ -150,27 +196,19 @@ class PieceCodec:
                     out[i] = ids
         return out
 
-    def _ids(self, symbols: Iterable[int], word: str) -> tuple[int, ...]:
+    def _with_bytes(self, symbols: Iterable[int], word: str) -> tuple[int, ...]:
         """Piece ids; symbols outside the vocabulary are single characters and become byte pieces."""
         out: list[int] = []
-        names = self._names
         at = 0
         for symbol in symbols:
-            if symbol in names:
+            if symbol in self._lengths:
                 out.append(symbol)
-                at += names[symbol]
+                at += self._lengths[symbol]
             else:
                 out.extend(self.merges.bytes[b] for b in word[at].encode())
                 at += 1
         return tuple(out)
 
-    @property
-    def _names(self) -> dict[int, int]:
-        """Characters of each piece."""
-        if not hasattr(self, "_lengths"):
-            self._lengths = {i: len(piece) for piece, i in self.merges.pieces.items()}
-        return self._lengths
-
     def _agendas(self, words: list[str], length: int) -> list[tuple[int, ...]]:
         """Words of one length: each round merges the best pair of every word that has one."""
         merges = self.merges
@@ -185,7 +223,7 @@ class PieceCodec:
         def finish(which: np.ndarray) -> None:
             whole = (rows[which] < merges.none) & (merges.rank[np.minimum(rows[which], merges.none)] != _NEVER)
             for i, symbols, simple in zip(place[which].tolist(), rows[which].tolist(), whole.all(1).tolist(), strict=True):
-                out[i] = tuple(symbols) if simple else self._ids(symbols, words[i])
+                out[i] = tuple(symbols) if simple else self._with_bytes(symbols, words[i])
 
         while len(rows):
             if not ranks.shape[1]:
@@ -245,17 +283,19 @@ class PieceCodec:
             put(left)
             if before[left] >= 0:
                 put(before[left])
-        return self._ids((s for s in symbols if s >= 0), word)
+        return self._with_bytes((s for s in symbols if s >= 0), word)
 
     def decode(self, batch: Sequence[Sequence[int]]) -> list[str]:
         return self.library.decode(list(batch))
 
-    def checked(self, batch: Sequence[str]) -> list[list[int]]:
-        """The ids, held against the library's for the whole batch."""
-        ids = self.encode(batch)
-        if ids != self.library.encode(list(batch), num_threads=1):
-            raise ValueError("the ids differ from those of the sentencepiece library")
-        return ids
+
+def _joined(ids: np.ndarray, bounds: np.ndarray) -> Iterator[bytes | pa.Buffer]:
+    """The ids of each text in decimal digits, joined by commas."""
+    if len(ids) > 100_000_000:  # too many for one Arrow array of strings
+        yield from (",".join(map(str, ids[a:b].tolist())).encode() for a, b in pairwise(bounds.tolist()))
+        return
+    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids).cast(pa.string()))
+    yield from (text.as_buffer() for text in pc.binary_join(lists, ","))
 
 
 def sections(text: str, most: int) -> Iterator[str]:
@@ -308,16 +348,19 @@ def encode_documents(
         def rows() -> Iterator[tuple]:
             open_: list | None = None
             for group in groups():
-                found = codec.checked([part for _, _, part in group])
-                decoded = codec.decode(found)
-                for (key, k, _), ids, text in zip(group, found, decoded, strict=True):
+                flat, bounds = codec.encode_flat([part for _, _, part in group])
+                digits = _joined(flat, bounds)
+                for (key, k, _), begin, end, joined in zip(group, bounds[:-1], bounds[1:], digits, strict=True):
+                    text = codec.library.decode(flat[begin:end].tolist())
+                    n = int(end - begin)
                     if k == 0:
                         if open_:
                             yield open_[0], open_[1], open_[2].hexdigest(), open_[3].hexdigest()
                         open_ = [key, 0, hashlib.sha256(), hashlib.sha256()]
-                    joint = "," if open_[1] and ids else ""
-                    open_[1] += len(ids)
-                    open_[2].update((joint + ",".join(map(str, ids))).encode())
+                    if open_[1] and n:
+                        open_[2].update(b",")
+                    open_[1] += n
+                    open_[2].update(joined)
                     open_[3].update(((" " if k else "") + text).encode())
             if open_:
                 yield open_[0], open_[1], open_[2].hexdigest(), open_[3].hexdigest()
