@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import secrets
+from tidemark.llm import embedding_dedup, secrets
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.importance import select
@@ -28,6 +28,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    kept = F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.withColumnRenamed("id", "doc_id")
@@ -61,6 +67,7 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, secrets.ORACLE_SQL),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
+    "op6_embedding_dedup": (op6_embedding_dedup, embedding_dedup.ORACLE_SQL),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_importance_resampling": (op10_importance_resampling, None),
