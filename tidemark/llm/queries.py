@@ -13,6 +13,7 @@ from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.importance import select
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.pages import extract
 from tidemark.llm.piece_codec import encode_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,11 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.withColumnRenamed("id", "doc_id")
@@ -68,6 +74,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, secrets.ORACLE_SQL),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op6_embedding_dedup": (op6_embedding_dedup, embedding_dedup.ORACLE_SQL),
+    "op7_html_extraction": (op7_html_extraction, None),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_importance_resampling": (op10_importance_resampling, None),
