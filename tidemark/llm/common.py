@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from tidemark.workspace import fresh_dir
 
@@ -26,6 +27,41 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _known_by(id_col: str, text_col: str) -> dict[str, Column]:
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    return {
+        "id": F.col(f"`{id_col}`").cast("bigint"),
+        "n_chars": F.length(text).cast("bigint"),
+        "mark": F.xxhash64(text),
+        "text": text,
+    }
+
+
+def known_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (id, n_chars, mark, text): length and hash of the text tell rows of one id apart."""
+    return docs.select(*(value.alias(name) for name, value in _known_by(id_col, text_col).items()))
+
+
+def rows_that_stay(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that were decided to stay, with all their columns.
+
+    ``decided`` is stored and has (id, n_chars, mark, kept) for each row of ``docs``. Of rows that agree in the
+    first three one stays, if any does.
+    """
+    key = ["id", "n_chars", "mark"]
+    stay = decided.groupBy(*key).agg(F.max("kept").alias("any_kept"), F.count("*").alias("n"))
+    gone = stay.where("not any_kept").select(*(F.col(c).alias(f"_gone_{c}") for c in key))
+    own = _known_by(id_col, text_col)
+    same = F.lit(True)
+    for name in key:
+        same = same & own[name].eqNullSafe(F.col(f"_gone_{name}"))
+    rest = docs.join(gone, same, "left_anti")
+    if stay.where("any_kept and n > 1").isEmpty():
+        return rest
+    rank = F.row_number().over(Window.partitionBy(*(own[c] for c in key)).orderBy(*(f"`{c}`" for c in docs.columns)))
+    return rest.withColumn("_tidemark_rank", rank).where("_tidemark_rank = 1").drop("_tidemark_rank")
+
+
 def utf8(values: pa.Array) -> Iterator[bytes]:
     """Each text of an Arrow column as its bytes, null as none; one text at a time."""
     for value in values.cast(pa.large_binary()):

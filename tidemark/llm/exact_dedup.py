@@ -16,10 +16,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_parts, saved, utf8
+from tidemark.llm.common import in_parts, known_rows, rows_that_stay, saved, utf8
 
 PRIME = (1 << 31) - 1
 BASES = (1_000_003_019, 1_234_567_891, 1_690_911_347, 2_038_074_743)
@@ -122,17 +122,9 @@ def _join_parts(key, parts):
     return whole
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id and text under fixed names, with what tells rows of one id apart."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), text.alias("text")).select(
-        "id", F.length("text").cast("bigint").alias("n_chars"), F.xxhash64("text").alias("mark"), "text"
-    )
-
-
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", huge: int = HUGE) -> DataFrame:
     """Rows (id, n_chars, mark, sha, fa, fb, n_bytes), one for each row of ``docs``."""
-    rows = _rows(docs, id_col, text_col)
+    rows = known_rows(docs, id_col, text_col)
     schema = f"{_KEY_TYPES}, {_PRINT}"
     usual = rows.where(F.col("n_chars") <= huge).mapInArrow(_hash_texts, schema)
 
@@ -179,7 +171,7 @@ def false_matches(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", te
     group with a third of all rows sends one pair of chunks per task and place. ``wanted`` (id)
     are the rows that share a fingerprint with another.
     """
-    rows = _rows(docs, id_col, text_col).select("id", "text")
+    rows = known_rows(docs, id_col, text_col).select("id", "text")
     members = rows.join(wanted.select(F.col("id").alias("_id")).distinct(), F.expr("id <=> _id"), "left_semi")
     chunks = members.select("text").mapInArrow(_chunks, f"{_PRINT}, part bigint, data binary")
     spans = chunks.groupBy("fa", "fb", "n_bytes", "part").agg(F.min("data").alias("low"), F.max("data").alias("high"))
@@ -225,18 +217,4 @@ def settle(prints: DataFrame, wrong: DataFrame) -> DataFrame:
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    key = ["id", "n_chars", "mark"]
-    decided = saved(exact_groups(docs, id_col, text_col), "exact-groups")
-    stay = decided.groupBy(*key).agg(F.max("kept").alias("any_kept"), F.count("*").alias("n"))
-    gone = stay.where("not any_kept").select(*(F.col(c).alias(f"_gone_{c}") for c in key))
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    own = {"id": F.col(f"`{id_col}`").cast("bigint"), "n_chars": F.length(text).cast("bigint"), "mark": F.xxhash64(text)}
-    same = F.lit(True)
-    for name, value in own.items():
-        same = same & value.eqNullSafe(F.col(f"_gone_{name}"))
-    rest = docs.join(gone, same, "left_anti")
-    if stay.where("any_kept and n > 1").isEmpty():
-        return rest
-    # Some rows repeat id and text.
-    rank = F.row_number().over(Window.partitionBy(*own.values()).orderBy(*(c for c in (f"`{x}`" for x in docs.columns))))
-    return rest.withColumn("_tidemark_rank", rank).where("_tidemark_rank = 1").drop("_tidemark_rank")
+    return rows_that_stay(docs, saved(exact_groups(docs, id_col, text_col), "exact-groups"), id_col, text_col)

@@ -12,6 +12,7 @@ from tidemark.llm import embedding_dedup, secrets
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.importance import select
+from tidemark.llm.jaccard_join import similar_groups
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.pages import extract
 from tidemark.llm.piece_codec import encode_documents
@@ -24,6 +25,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similar_groups(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return found.withColumnRenamed("id", "doc_id")
@@ -72,6 +78,7 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, secrets.ORACLE_SQL),
+    "op2_jaccard_join": (op2_jaccard_join, None),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op6_embedding_dedup": (op6_embedding_dedup, embedding_dedup.ORACLE_SQL),
     "op7_html_extraction": (op7_html_extraction, None),
