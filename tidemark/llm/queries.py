@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, secrets
+from tidemark.llm import embedding_dedup, secrets, warc
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.importance import select
@@ -30,6 +30,13 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as archives, held against a replica that storage has damaged."""
+    records = warc.archive(table(spark, sf_dir, "pages"))
+    replica = warc.torn(warc.leaves(warc.damaged(records)))
+    return warc.fixity(warc.leaves(records), replica).withColumnRenamed("id", "page_id")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return found.withColumnRenamed("id", "doc_id")
@@ -79,6 +86,7 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, secrets.ORACLE_SQL),
     "op2_jaccard_join": (op2_jaccard_join, None),
+    "op3_warc_fixity": (op3_warc_fixity, warc.ORACLE_SQL),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op6_embedding_dedup": (op6_embedding_dedup, embedding_dedup.ORACLE_SQL),
     "op7_html_extraction": (op7_html_extraction, None),
