@@ -1,0 +1,60 @@
+import random
+
+import numpy as np
+import pytest
+
+from tidemark.llm import suffixes
+from tidemark.llm.suffixes import common_prefixes, suffix_order, types
+
+TEXTS = [
+    b"", b"a", b"aa", b"ab", b"ba", b"mississippi", b"a" * 300, b"ab" * 200, b"abcabcabc" * 40, bytes(range(256)) * 2, b"\0\0\1\0\0\1" * 30,
+    b"\xff\xff\xfe" * 50, b"banana" * 60 + b"bandana" * 60,
+]
+
+
+def random_texts():
+    pick = random.Random(3)
+    for _ in range(60):
+        letters = pick.choice([b"ab", b"abc", bytes(range(256))])
+        text = bytes(pick.choice(letters) for _ in range(pick.randrange(400)))
+        yield text + text[pick.randrange(len(text) + 1) :] * pick.randrange(3)
+
+
+@pytest.mark.parametrize("limit", [suffixes.IN_MEMORY, 10])
+def test_order_equals_sorting(monkeypatch, limit):
+    monkeypatch.setattr(suffixes, "CHUNK", 7 if limit == 10 else suffixes.CHUNK)
+    for text in [*TEXTS, *random_texts()]:
+        data = np.frombuffer(text, np.uint8)
+        expected = sorted(range(len(text)), key=lambda i: text[i:])
+        got = list(suffix_order(data, len(text) + 1, limit))
+        assert (np.concatenate(got).tolist() if got else []) == expected
+
+
+def test_small_depth_keeps_equal_prefixes_together():
+    for text in [*TEXTS, *random_texts()]:
+        data = np.frombuffer(text, np.uint8)
+        got = list(suffix_order(data, 12))
+        prefixes = [text[i : i + 12] for i in (np.concatenate(got).tolist() if got else [])]
+        whole = [p for p in prefixes if len(p) == 12]
+        groups = [p for k, p in enumerate(whole) if k == 0 or whole[k - 1] != p]
+        assert len(groups) == len(set(groups)) and groups == sorted(groups)
+
+
+def test_common_prefixes():
+    for text in [*TEXTS, *random_texts()]:
+        if len(text) < 2:
+            continue
+        data = np.frombuffer(text, np.uint8)
+        order = np.array(sorted(range(len(text)), key=lambda i: text[i:]))
+        for most in (5, 20, 1000):
+            got = common_prefixes(data, order, most)
+            for k, n in enumerate(got.tolist()):
+                a, b = text[order[k] :], text[order[k + 1] :]
+                real = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+                assert n == min(real, most)
+
+
+def test_types():
+    text = b"mmiissiissiippii"
+    expected = [text[i:] < text[i + 1 :] for i in range(len(text))]
+    assert types(np.frombuffer(text, np.uint8)).tolist() == expected

@@ -15,30 +15,17 @@ from math import ceil, exp, floor, sqrt
 
 import numpy as np
 
-from tidemark.llm.words import Words, grouped, mixed, sections, split_words
+from tidemark.llm.words import Words, grouped, mixed, powers, sections, split_words
 
 #: Similarity in hundredths, so that the test is exact.
 PERCENT = 85
 WORDS = 4
-_B = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_B), -1, 1 << 64))
-
-
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2**64."""
-    def run(base: np.uint64) -> np.ndarray:
-        out = np.full(n, base, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
-
-    return run(_B), run(_INVERSE)
 
 
 def word_hashes(words: Words) -> np.ndarray:
     """A 64-bit hash of each word: a polynomial in its bytes, from running sums, then scrambled."""
     n = 1 << max(16, int(len(words.data)).bit_length())
-    up, down = _powers(n)
+    up, down = powers(n)
     terms = _BYTES[words.data] * up[: len(words.data)]
     sums = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
     return mixed((sums[words.end] - sums[words.start]) * down[words.start] + (words.end - words.start).astype(np.uint64))

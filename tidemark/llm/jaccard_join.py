@@ -33,6 +33,8 @@ from tidemark.llm.jaccard import PERCENT, WORDS, shingle_sets
 FREQUENT = 32
 #: Classes compared with each other at a time.
 BLOCK = 1024
+#: Keys handed on together.
+KEYS_AT_ONCE = 200_000
 
 
 def _sets(batches: Iterable[pa.RecordBatch], n_words: int, seed: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -56,26 +58,31 @@ def _with_sets(rows: DataFrame, n_words: int, seed: int) -> DataFrame:
     return rows.mapInArrow(run, "id bigint, n_chars bigint, mark bigint, n bigint, cid bigint, check bigint")
 
 
-def _keys(rows: DataFrame, n_words: int, seed: int, percent: int) -> DataFrame:
-    """Rows (key, cid, spare, own) of all classes; each task gives the keys of a class once.
+def _batch(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    columns = (pa.array(np.concatenate(x)) for x in zip(*parts, strict=True))
+    return pa.RecordBatch.from_arrays(list(columns), names=["key", "cid", "spare"])
 
-    ``own`` parts the keys of a class in its own band from those in the next.
-    """
+
+def _keys(rows: DataFrame, n_words: int, seed: int, percent: int) -> DataFrame:
+    """Rows (key, cid, spare) of all classes; each task gives the keys of a class once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "cid", "spare"]
         seen: set[int] = set()
-        for batch in batches:
-            parts: list[tuple[np.ndarray, np.ndarray, int]] = []
-            for _, s in _sets([batch], n_words, seed):
-                cid = jaccard.set_hashes(s)[0]
-                if len(s) and cid not in seen:
-                    seen.add(cid)
-                    parts.append((*jaccard.keys(s, percent), cid))
-            if parts:
-                keys, spares = (np.concatenate(x) for x in list(zip(*parts, strict=True))[:2])
-                cids = np.repeat(np.array([p[2] for p in parts], np.int64), [len(p[0]) for p in parts])
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(cids), pa.array(spares)], names=names)
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+        for _, s in _sets(batches, n_words, seed):
+            cid = jaccard.set_hashes(s)[0]
+            if not len(s) or cid in seen:
+                continue
+            seen.add(cid)
+            found, spare = jaccard.keys(s, percent)
+            parts.append((found, np.full(len(found), cid, np.int64), spare))
+            size += len(found)
+            if size >= KEYS_AT_ONCE:
+                yield _batch(parts)
+                parts, size = [], 0
+        if parts:
+            yield _batch(parts)
 
     return rows.mapInArrow(run, "key bigint, cid bigint, spare int")
 

@@ -16,6 +16,7 @@ from tidemark.llm.jaccard_join import similar_groups
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.pages import extract
 from tidemark.llm.piece_codec import encode_documents
+from tidemark.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,12 @@ def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.fixity(warc.leaves(records), replica).withColumnRenamed("id", "page_id")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    sha = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", sha)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return found.withColumnRenamed("id", "doc_id")
@@ -87,6 +94,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, secrets.ORACLE_SQL),
     "op2_jaccard_join": (op2_jaccard_join, None),
     "op3_warc_fixity": (op3_warc_fixity, warc.ORACLE_SQL),
+    "op4_suffix_dedup": (op4_suffix_dedup, None),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op6_embedding_dedup": (op6_embedding_dedup, embedding_dedup.ORACLE_SQL),
     "op7_html_extraction": (op7_html_extraction, None),

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = (32, *range(9, 14))
 #: Bytes handled together.
-AT_ONCE = 3_000_000
+AT_ONCE = 500_000
 
 _IS_BLANK = np.zeros(256, bool)
 _IS_BLANK[list(BLANKS)] = True
@@ -75,3 +76,18 @@ def mixed(values: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+_ODD = 0x9E3779B97F4A7C15
+
+
+@cache
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number and of its inverse, modulo 2**64."""
+
+    def run(base: int) -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+    return run(_ODD), run(pow(_ODD, -1, 1 << 64))
