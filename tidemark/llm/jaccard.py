@@ -130,7 +130,7 @@ def bounds(percent: int, bands: int = 400) -> list[int]:
 def allocate(band: int, percent: int) -> Plan:
     """The cheapest plan for pairs whose larger set is in this band.
 
-    Cost counts the keys of a set, and what short segments bring together by chance.
+    Cost counts the keys of a set, and more for segments so short that many sets have none or the same elements there.
     """
     low, high = bounds(percent)[band], bounds(percent)[band + 1] - 1
     # The bound grows with both sizes but for rounding, so the largest pairs show the most.
@@ -147,7 +147,7 @@ def allocate(band: int, percent: int) -> Plan:
 
     def cost(plan: Plan) -> float:
         each = size / plan.segments
-        return plan.segments + plan.deleted * each + 200 * plan.segments * exp(-each)
+        return plan.segments + plan.deleted * each + 20 * plan.segments * exp(-each)
 
     return min(halves, wholes, key=cost)
 
