@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from catalogue.common import EARLIER, LINES, ORDERS, ORDERS_SQL, Entries, lines, orders, table
 from tidemark.functions import map_null_tokens
 from tidemark.operators import append, column_info, dedupe, new_rows, overwrite
-from tidemark.plans import ingest
+from tidemark.plans import ingest, with_load_columns
 from tidemark.plans.gold import month_of
-from tidemark.sources import read_csv, read_csv_loose, read_history, stream_csv
+from tidemark.sources import MALFORMED, read_csv, read_csv_loose, read_history, stream_csv
 from tidemark.streaming import ingest_available
 from tidemark.workspace import fresh_dir
 
@@ -53,19 +53,118 @@ def csv_scan_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     lang = F.when(F.col("lang") == "de", "NA").when(F.col("lang") == "fr", "null").otherwise(F.col("lang"))
-    path = fresh_dir(spark, "documents_csv")
-    table(spark, sf_dir, "documents").select("doc_id", lang.alias("lang")).write.csv(path, header=True)
-    found = map_null_tokens(read_csv(spark, path), ["lang"])
-    return found.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("lang").isNull()).alias("nulls"))
+    documents = table(spark, sf_dir, "documents")
+    path = _foreign_csv(documents.withColumn("lang", lang), "documents_csv")
+    found = map_null_tokens(read_csv(spark, path, documents.schema, multiLine=True), ["lang"])
+    return found
+
+
+def _foreign_csv(rows: DataFrame, label: str) -> str:
+    """Written as other tools do: quotes doubled, blanks kept, empty texts quoted."""
+    path = fresh_dir(rows.sparkSession, label)
+    rows.write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    return path
 
 
-def csv_loose_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events_csv(spark: SparkSession, sf_dir: str) -> str:
     value = F.when(F.col("event_type") == "error", "N/A").otherwise(F.col("value").cast("string"))
-    path = fresh_dir(spark, "events_csv")
-    table(spark, sf_dir, "events").select("event_id", "ts", "event_type", value.alias("value")).write.csv(
-        path, header=True
+    return _foreign_csv(table(spark, sf_dir, "events").withColumn("value", value), "events_csv")
+
+
+def csv_loose_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_info(read_csv_loose(spark, _events_csv(spark, sf_dir)))
+
+
+def csv_loose_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of two tables, with quotes inside values and line breaks inside texts."""
+    events = read_csv_loose(spark, _events_csv(spark, sf_dir))
+    texts = _foreign_csv(table(spark, sf_dir, "documents"), "documents_csv")
+    documents = read_csv_loose(spark, texts, multiLine=True)
+    return events.select(
+        F.col("event_id").alias("id"), F.concat_ws("|", F.col("user_id").cast("string"), "event_type").alias("name"),
+        "value", F.col("props").alias("text"),
+    ).unionByName(
+        documents.select(
+            F.col("doc_id").alias("id"), F.concat_ws("|", "lang", "source").alias("name"),
+            F.col("n_chars").cast("double").alias("value"), "text",
+        )
     )
-    return column_info(read_csv_loose(spark, path))
+
+
+_SOUND, _WORD, _SURPLUS, _SHORT, _DAY = range(5)
+
+
+def _damaged_orders_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as lines of text, some of them damaged: a word for a price, a field too many, one too few, a wrong day."""
+    every = table(spark, sf_dir, "orders")
+    fault = F.pmod(F.col("o_orderkey"), F.lit(40))
+    price = F.when(fault == _WORD, "much").otherwise(F.col("o_totalprice").cast("string"))
+    day = F.when(fault == _DAY, "31/01/2025").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
+    fields = [
+        F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"), price, day,
+        F.when(fault != _SHORT, F.col("o_orderpriority")), F.when(fault == _SURPLUS, "surplus"),
+    ]
+    path = fresh_dir(spark, "orders_lines")
+    # One file for each status, every one with its header.
+    lines = every.select(F.concat_ws(",", *fields).alias("value"), "o_orderstatus")
+    header = spark.createDataFrame([(",".join(every.columns),)], "value string")
+    for status in ("O", "F", "P"):
+        part = lines.where(F.col("o_orderstatus") == status).select("value", F.lit(1).alias("_place"))
+        part = header.select("value", F.lit(0).alias("_place")).unionByName(part)
+        part.repartitionByRange(1, "_place").sortWithinPartitions("_place").select("value").write.mode("append").text(path)
+    return path
+
+
+def csv_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read_csv(
+        spark, _damaged_orders_csv(spark, sf_dir), table(spark, sf_dir, "orders").schema, keep_malformed=True
+    )
+    sound = F.col(MALFORMED).isNull()
+    return found.select(
+        F.split_part(F.coalesce(MALFORMED, F.col("o_orderkey").cast("string")), F.lit(","), F.lit(1))
+        .cast("bigint")
+        .alias("o_orderkey"),
+        sound.alias("sound"),
+        F.when(sound, F.col("o_totalprice")).alias("o_totalprice"),
+        F.when(sound, F.col("o_orderdate")).alias("o_orderdate"),
+        F.when(sound, F.col("o_orderpriority")).alias("o_orderpriority"),
+    )
+
+
+def ingest_malformed_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = read_csv(
+        spark, _damaged_orders_csv(spark, sf_dir), table(spark, sf_dir, "orders").schema, keep_malformed=True
+    )
+    uri, rejects = fresh_dir(spark, "orders"), fresh_dir(spark, "orders_rejected")
+    for _ in range(2):
+        result = ingest(spark, batch.withColumn("month", month_of("o_orderdate")), ORDERS, uri, rejects_uri=rejects)
+    lines = spark.read.parquet(rejects).select(F.col(MALFORMED).alias("line"))
+    stored = _stored(spark, uri).select("o_orderkey", "o_totalprice", "month", F.lit(None).cast("string").alias("line"))
+    key = F.split_part("line", F.lit(","), F.lit(1)).cast("bigint").alias("o_orderkey")
+    none = (F.lit(None).cast("double").alias("o_totalprice"), F.lit(None).cast("string").alias("month"))
+    return stored.unionByName(lines.select(key, *none, "line")).withColumn("rejected", F.lit(result.rejected))
+
+
+def ingest_empty_partition_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded three times: nothing is added, whether or not a partition column is stable or part of the key."""
+    month = F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("month"))
+    batch = orders(spark, sf_dir).withColumn("month", month)
+    ways = {
+        "plain": ORDERS,
+        "stable": replace(ORDERS, stable=("month",)),
+        "in key": replace(ORDERS, key=("o_orderkey", "month")),
+    }
+    found = []
+    for way, spec in ways.items():
+        uri = fresh_dir(spark, "orders")
+        results = [ingest(spark, batch, spec, uri, rejects_uri=fresh_dir(spark, "rejected")) for _ in range(3)]
+        added = F.lit(sum(r.appended for r in results)).cast("bigint")
+        rejected = F.lit(results[-1].rejected).cast("bigint")
+        counts = _stored(spark, uri).groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
+        found.append(counts.select(F.lit(way).alias("way"), "month", "rows", added.alias("added"), rejected.alias("rejected")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 def parquet_history_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,13 +291,51 @@ def ingest_daily_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, uri)
 
 
+def daily_load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load by command, then two days of files, all with their load history in one table."""
+    every, spec = table(spark, sf_dir, "orders"), ORDERS.with_load_columns()
+    inbox, uri, progress = (fresh_dir(spark, label) for label in ("inbox", "orders", "progress"))
+    first = every.where("o_orderstatus = 'P'").withColumn("month", month_of("o_orderdate"))
+    ingest(spark, with_load_columns(first, "start", from_files=False), spec, uri)
+    for day, status in (("monday", "F"), ("tuesday", "O")):
+        every.where(f"o_orderstatus IN ('P', '{status}')").write.mode("append").csv(inbox, header=True)
+        files = stream_csv(spark, inbox, every.schema).withColumn("month", month_of("o_orderdate"))
+        ingest_available(files, spec, uri, progress, batch_id=day)
+    return (
+        read_history(spark, uri, spec.schema)
+        .groupBy("_batch_id", "o_orderstatus")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("_source_file").like("%.csv")).alias("with_file"),
+            F.count("_ingested_at").alias("with_time"),
+        )
+    )
+
+
+def daily_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected rows of every run, also after a run with a new checkpoint."""
+    every = table(spark, sf_dir, "orders")
+    key = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey"))
+    inbox, uri, rejects = (fresh_dir(spark, label) for label in ("inbox", "orders", "rejected"))
+    for status in ("P", "F"):
+        every.where(F.col("o_orderstatus") == status).withColumn("o_orderkey", key).write.mode("append").csv(
+            inbox, header=True
+        )
+        files = stream_csv(spark, inbox, every.schema).withColumn("month", month_of("o_orderdate"))
+        ingest_available(files, ORDERS, uri, fresh_dir(spark, "progress"), rejects_uri=rejects)
+    found = spark.read.parquet(rejects)
+    return found.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("run").alias("runs")
+    )
+
+
 # --- sinks -------------------------------------------------------------------------------------
 
 
 def partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = fresh_dir(spark, "orders")
     append(orders(spark, sf_dir), uri, ["month"], ["o_orderkey"])
-    return _stored(spark, uri).select("o_orderkey", "month")
+    return _stored(spark, uri)
 
 
 def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,15 +369,80 @@ ENTRIES: Entries = {
     "csv_scan_declared": (csv_scan_declared, "SELECT * FROM orders"),
     "csv_null_tokens": (
         csv_null_tokens,
-        "SELECT count(*) AS rows, count(*) FILTER (WHERE lang IN ('de', 'fr')) AS nulls FROM documents",
+        "SELECT * REPLACE (CASE WHEN lang NOT IN ('de', 'fr') THEN lang END AS lang) FROM documents",
+    ),
+    "csv_loose_values": (
+        csv_loose_values,
+        """
+        SELECT event_id AS id, user_id || '|' || event_type AS name,
+               CASE WHEN event_type <> 'error' THEN value END AS value, props AS text FROM events
+        UNION ALL SELECT doc_id, lang || '|' || source, n_chars::DOUBLE, text FROM documents
+        """,
+    ),
+    "csv_malformed_rows": (
+        csv_malformed_rows,
+        """
+        SELECT o_orderkey, sound, CASE WHEN sound THEN o_totalprice END AS o_totalprice,
+               CASE WHEN sound THEN o_orderdate END AS o_orderdate,
+               CASE WHEN sound THEN o_orderpriority END AS o_orderpriority
+        FROM (SELECT *, o_orderkey % 40 NOT IN (1, 2, 3, 4) AS sound FROM orders)
+        """,
+    ),
+    "ingest_malformed_rejected": (
+        ingest_malformed_rejected,
+        """
+        WITH faults AS (SELECT *, o_orderkey % 40 AS fault FROM orders),
+        lines AS (
+          SELECT o_orderkey, concat_ws(',', o_orderkey, o_custkey, o_orderstatus,
+                   CASE WHEN fault = 1 THEN 'much' ELSE o_totalprice::VARCHAR END,
+                   CASE WHEN fault = 4 THEN '31/01/2025' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END,
+                   CASE WHEN fault <> 3 THEN o_orderpriority END, CASE WHEN fault = 2 THEN 'surplus' END) AS line
+          FROM faults WHERE fault IN (1, 2, 3, 4)),
+        everything AS (
+          SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS month, NULL AS line FROM faults
+          WHERE fault NOT IN (1, 2, 3, 4)
+          UNION ALL SELECT o_orderkey, NULL, NULL, line FROM lines)
+        SELECT o_orderkey, o_totalprice, month, line, (SELECT count(*) FROM lines)::INT AS rejected FROM everything
+        """,
+    ),
+    "ingest_empty_partition_value": (
+        ingest_empty_partition_value,
+        """
+        WITH months AS (
+          SELECT CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m') END AS month FROM orders),
+        ways AS (SELECT unnest(['plain', 'stable', 'in key']) AS way)
+        SELECT way, month, count(*) AS rows,
+               (SELECT count(*) FROM months WHERE month IS NOT NULL OR way <> 'in key') AS added,
+               (SELECT count(*) FROM months WHERE month IS NULL AND way = 'in key') AS rejected
+        FROM months, ways WHERE month IS NOT NULL OR way <> 'in key' GROUP BY way, month
+        """,
+    ),
+    "daily_load_history": (
+        daily_load_history,
+        """
+        SELECT CASE o_orderstatus WHEN 'P' THEN 'start' WHEN 'F' THEN 'monday' ELSE 'tuesday' END AS _batch_id,
+               o_orderstatus, count(*) AS rows, count(*) FILTER (WHERE o_orderstatus <> 'P') AS with_file,
+               count(*) AS with_time
+        FROM orders GROUP BY o_orderstatus
+        """,
+    ),
+    "daily_rejects": (
+        daily_rejects,
+        """
+        SELECT o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END * count(*) AS rows,
+               CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END::BIGINT AS runs
+        FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus IN ('P', 'F') GROUP BY o_orderstatus
+        """,
     ),
     "csv_loose_types": (
         csv_loose_types,
         """
         SELECT 0::INT AS pos, 'event_id' AS "column", 'bigint' AS dtype, count(event_id) AS non_null FROM events
         UNION ALL SELECT 1, 'ts', 'string', count(ts) FROM events
-        UNION ALL SELECT 2, 'event_type', 'string', count(event_type) FROM events
-        UNION ALL SELECT 3, 'value', 'double', count(*) FILTER (WHERE event_type <> 'error') FROM events
+        UNION ALL SELECT 2, 'user_id', 'bigint', count(user_id) FROM events
+        UNION ALL SELECT 3, 'event_type', 'string', count(event_type) FROM events
+        UNION ALL SELECT 4, 'value', 'double', count(*) FILTER (WHERE event_type <> 'error') FROM events
+        UNION ALL SELECT 5, 'props', 'string', count(props) FROM events
         """,
     ),
     "parquet_history_scan": (
@@ -315,7 +517,7 @@ ENTRIES: Entries = {
         """,
     ),
     "ingest_daily_files": (ingest_daily_files, ORDERS_SQL),
-    "partitioned_append": (partitioned_append, f"SELECT o_orderkey, month FROM ({ORDERS_SQL})"),
+    "partitioned_append": (partitioned_append, ORDERS_SQL),
     "partition_inventory": (
         partition_inventory,
         f"SELECT month, o_orderstatus, count(*) AS rows FROM ({ORDERS_SQL}) GROUP BY month, o_orderstatus",

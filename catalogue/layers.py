@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.common import EARLIER, ORDERS, Entries, orders, table
-from tidemark.functions import money
+from tidemark.functions import money, to_amount
 from tidemark.operators import dedupe
-from tidemark.plans import Field, clean, gold, ingest, split_rejects, with_load_columns
+from tidemark.plans import Field, clean, gold, ignored_values, ingest, split_rejects, with_load_columns
 from tidemark.plans.gold import month_of
 from tidemark.sources import read_csv, read_history
 from tidemark.workspace import fresh_dir
@@ -77,11 +77,21 @@ def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         Field("o_totalprice", "double", required=True),
     )
     _, rejects = split_rejects(clean(untidy, fields))
-    return (
-        rejects.select("o_orderstatus", F.explode("_problems").alias("problem"))
-        .groupBy("o_orderstatus", "problem")
-        .agg(F.count(F.lit(1)).alias("rows"))
+    return rejects.select("o_orderkey", "o_orderstatus", "o_totalprice", F.explode("_problems").alias("problem"))
+
+
+def silver_optional_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of optional columns that were left out, with their texts; their rows stay."""
+    part = table(spark, sf_dir, "part")
+    untidy = part.select(
+        F.col("p_partkey").cast("string"),
+        "p_name",
+        "p_brand",
+        "p_type",
+        F.concat(F.col("p_size").cast("string"), F.when(F.col("p_size") == 7, " un").otherwise("")).alias("p_size"),
+        F.when(F.col("p_size") <= 10, "unknown").otherwise(F.col("p_retailprice").cast("string")).alias("p_retailprice"),
     )
+    return ignored_values(clean(untidy, _PART_FIELDS), ["p_partkey"])
 
 
 # --- gold --------------------------------------------------------------------------------------
@@ -105,8 +115,13 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.join(nation, "c_nationkey", "left").select("c_custkey", "c_name", "c_mktsegment", "n_name")
 
 
+def _as_doubles(found: DataFrame, *columns: str) -> DataFrame:
+    """Exact decimals as doubles, to face the SQL's."""
+    return found.withColumns({c: to_amount(F.col(c)) for c in columns})
+
+
 def fact_sales_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.sales_by_month(
+    found = gold.sales_by_month(
         table(spark, sf_dir, "orders"),
         table(spark, sf_dir, "customer"),
         table(spark, sf_dir, "nation"),
@@ -117,6 +132,7 @@ def fact_sales_month(spark: SparkSession, sf_dir: str) -> DataFrame:
         place=("c_nationkey", "n_nationkey"),
         place_name="n_name",
     )
+    return _as_doubles(found, "revenue")
 
 
 def _net_price() -> Column:
@@ -124,17 +140,18 @@ def _net_price() -> Column:
 
 
 def fact_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.returns_by_month(
+    found = gold.returns_by_month(
         table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'"),
         date="l_shipdate",
         product="l_partkey",
         quantity=F.col("l_quantity").cast("decimal(12,2)"),
         value=_net_price(),
     )
+    return _as_doubles(found, "returned_quantity", "returned_value")
 
 
 def return_rate_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.return_rate(
+    found = gold.return_rate(
         table(spark, sf_dir, "lineitem"),
         table(spark, sf_dir, "part"),
         product=("l_partkey", "p_partkey"),
@@ -142,6 +159,7 @@ def return_rate_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
         returned=F.col("l_returnflag") == "R",
         value=_net_price(),
     )
+    return _as_doubles(found, "returned_value")
 
 
 def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,10 +190,19 @@ ENTRIES: Entries = {
     "silver_rejects": (
         silver_rejects,
         """
-        SELECT o_orderstatus, 'missing: o_orderkey' AS problem, count(*) AS rows
-        FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY 1
-        UNION ALL
-        SELECT o_orderstatus, 'invalid: o_totalprice', count(*) FROM orders WHERE o_orderstatus = 'P' GROUP BY 1
+        WITH untidy AS (
+          SELECT CASE WHEN o_orderpriority = '5-LOW' THEN ' n/a ' ELSE o_orderkey::VARCHAR END AS o_orderkey,
+                 o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN '?' ELSE o_totalprice::VARCHAR END AS o_totalprice
+          FROM orders)
+        SELECT *, 'missing: o_orderkey' AS problem FROM untidy WHERE o_orderkey = ' n/a '
+        UNION ALL SELECT *, 'invalid: o_totalprice' FROM untidy WHERE o_totalprice = '?'
+        """,
+    ),
+    "silver_optional_problems": (
+        silver_optional_problems,
+        """
+        SELECT p_partkey, 'p_size' AS "column", '7 un' AS text FROM part WHERE p_size = 7
+        UNION ALL SELECT p_partkey, 'p_retailprice', 'unknown' FROM part WHERE p_size <= 10
         """,
     ),
     "dim_product": (dim_product, "SELECT p_partkey, p_name, p_brand, p_type, p_retailprice FROM part"),

@@ -35,6 +35,11 @@ def profile_describe_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(describe(table(spark, sf_dir, "lineitem")))
 
 
+def profile_describe_bracketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``profile_describe_all`` with so small a pool that the quartiles are bracketed first."""
+    return _rounded(describe(table(spark, sf_dir, "lineitem"), pool_rows=1_000))
+
+
 def _rounded(stats: DataFrame) -> DataFrame:
     return stats.select("column", "count", *(F.round(c, 4).alias(c) for c in stats.columns[2:]))
 
@@ -89,6 +94,10 @@ ENTRIES: Entries = {
         profile_describe_all,
         " UNION ALL ".join(_stats_sql("lineitem", c) for c in _LINE_NUMBERS),
     ),
+    "profile_describe_bracketed": (
+        profile_describe_bracketed,
+        " UNION ALL ".join(_stats_sql("lineitem", c) for c in _LINE_NUMBERS),
+    ),
     "profile_null_counts": (
         profile_null_counts,
         " UNION ALL ".join(

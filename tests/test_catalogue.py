@@ -13,7 +13,7 @@ DATA = os.environ.get("CATALOGUE_DIR", SMOKE_DIR)
 # The SQL type each Spark type is expected to face.
 TYPES = {
     "bigint": {"BIGINT"}, "int": {"INTEGER"}, "double": {"DOUBLE"}, "string": {"VARCHAR"}, "date": {"DATE"},
-    "timestamp_ntz": {"TIMESTAMP"},
+    "timestamp_ntz": {"TIMESTAMP"}, "boolean": {"BOOLEAN"},
 }
 
 
@@ -29,7 +29,7 @@ def comparable(rows):
     def cell(value):
         if value is None:
             return "-"
-        return f"{value:.6g}" if isinstance(value, float) and not math.isnan(value) else str(value)
+        return f"{value:.12g}" if isinstance(value, float) and not math.isnan(value) else str(value)
 
     return sorted(tuple(map(cell, row)) for row in rows)
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tidemark.functions import money, standard_text, to_amount
-from tidemark.plans import Field, clean, gold, split_rejects, with_load_columns
+from tidemark.plans import Field, clean, gold, ignored_values, split_rejects, with_load_columns
 
 
 def test_load_columns(spark, tmp_path):
@@ -27,7 +27,24 @@ def test_clean_and_split(spark):
     fit, rejects = split_rejects(clean(raw, fields))
     assert fit.dtypes == [("id", "int"), ("brand", "string"), ("price", "double")]
     assert [tuple(r) for r in fit.orderBy("id").collect()] == [(1, "TECH", 9.5), (4, "C", None)]
-    assert {(r.brand, *r._problems) for r in rejects.collect()} == {(None, "invalid: id"), ("B", "missing: id")}
+    # Rejects hold the columns as they came.
+    assert {(r.id, r.brand, r.price, *r._problems) for r in rejects.collect()} == {
+        ("x", "N/A", "1", "invalid: id"), (None, "b", "2", "missing: id"),
+    }
+    assert [tuple(r) for r in ignored_values(clean(raw, fields), ["id"]).collect()] == [(4, "price", "much")]
+
+
+def test_values_that_would_change_are_invalid(spark):
+    raw = spark.createDataFrame(
+        [("10.990", "7.0", "x"), ("10.999", "7.5", "x"), ("99999999999.00", "1e2", "x"), ("1e-9", "9999999999", "x"), ("\t5\u00a0", " 7 ", "x")],
+        "price string, n string, v string",
+    )
+    fields = (Field("price", "decimal(12,2)"), Field("n", "int"), Field("v", required=True))
+    found = clean(raw, fields).collect()
+    assert [(r.price, r.n) for r in found] == [
+        (Decimal("10.99"), 7), (None, None), (None, None), (None, None), (Decimal("5.00"), 7),
+    ]
+    assert [r._problems for r in found[:2]] == [[], ["ignored: price", "ignored: n"]]
 
 
 def test_clean_without_required_columns(spark):
@@ -74,6 +91,15 @@ def test_return_rate_keeps_lines_of_unknown_products(spark):
     }
 
 
+def test_return_rate_without_returns_is_zero(spark):
+    lines = spark.createDataFrame([(1, None, 5.0)], "p int, f string, v double")
+    products = spark.createDataFrame([(1, "x")], "p int, brand string")
+    found = gold.return_rate(
+        lines, products, product=("p", "p"), group="brand", returned=F.col("f") == "R", value=money("v")
+    )
+    assert [tuple(r) for r in found.collect()] == [("x", 1, 0, 0, 0.0)]
+
+
 def test_orphan_keys(spark):
     rows = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     parents = spark.createDataFrame([(2,)], "id int")

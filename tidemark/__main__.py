@@ -2,10 +2,10 @@
 
     spark-submit --py-files tidemark.zip tidemark/__main__.py COMMAND ...
 
-    ingest devolucoes raw/devolucoes.csv s3a://bronze/devolucoes
-    daily devolucoes raw/daily s3a://bronze/devolucoes s3a://state/devolucoes
-    profile raw/devolucoes.csv --count motivo_devolucao
-    refine s3a://bronze s3a://silver s3a://gold
+    ingest devolucoes raw/returns.csv lake/bronze/devolucoes --rejects lake/rejects/monday
+    daily devolucoes raw/daily lake/bronze/devolucoes lake/state/devolucoes
+    profile raw/returns.csv --count motivo_devolucao --out lake/profile
+    refine lake/bronze lake/silver lake/gold
 
 Master, object-store endpoint, keys and packages come from the submitting environment.
 """
@@ -13,14 +13,17 @@ Master, object-store endpoint, keys and packages come from the submitting enviro
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from tidemark.operators import column_info, describe, null_counts, overwrite, value_counts_multi
-from tidemark.plans import ingest, shop, with_load_columns
+from tidemark.operators import column_info, describe, head, null_counts, overwrite, value_counts_multi
+from tidemark.plans import Field, clean, ingest, shop, split_rejects, with_load_columns
 from tidemark.sources import read_csv, read_csv_loose, read_history, stream_csv
 from tidemark.streaming import ingest_available
-from tidemark.tables import RETURNS, SALES, STOCK
+from tidemark.tables import RETURNS, SALES, STOCK, TableSpec
+from tidemark.workspace import fresh_dir
 
 TABLES = {spec.name: spec for spec in (SALES, STOCK, RETURNS)}
 
@@ -32,63 +35,123 @@ def main(argv: list[str] | None = None) -> None:
     loading.add_argument("table", choices=sorted(TABLES))
     loading.add_argument("source")
     loading.add_argument("target")
-    loading.add_argument("--rejects", help="where this batch's rows without a key go")
+    loading.add_argument("--rejects", help="where this batch's malformed lines and rows without a key go")
+    loading.add_argument("--schema", help="column types as DDL, for tables whose columns are not fixed")
     loading.add_argument("--batch-id", help="store the load history with each row under this name")
     profiling = commands.add_parser("profile", help="print what CSV files hold")
     profiling.add_argument("source")
     profiling.add_argument("--count", nargs="*", default=[], metavar="COLUMN", help="columns to count values of")
+    profiling.add_argument("--out", help="write each report there as a whole")
+    profiling.add_argument("--rows", type=int, default=200, help="rows of each report to print (200)")
+    profiling.add_argument("--line-breaks", action="store_true", help="values hold quoted line breaks")
     daily = commands.add_parser("daily", help="ingest the CSV files that arrived in a directory since the last run")
-    daily.add_argument("table", choices=sorted(t for t, spec in TABLES.items() if spec.schema))
+    daily.add_argument("table", choices=sorted(TABLES))
     daily.add_argument("directory")
     daily.add_argument("target")
     daily.add_argument("checkpoint", help="where the run notes which files it has seen")
-    daily.add_argument("--rejects", help="where rows without a key go, by micro-batch")
-    refining = commands.add_parser("refine", help="rebuild the cleaned and the star-schema tables")
+    daily.add_argument("--rejects", help="where malformed lines and rows without a key go, by run and micro-batch")
+    daily.add_argument("--batch-id", help="store the load history with each row under this name")
+    daily.add_argument("--schema", help="column types as DDL, for tables whose columns are not fixed")
+    refining = commands.add_parser("refine", help="bring the cleaned and the star-schema tables up to date")
     refining.add_argument("bronze")
     refining.add_argument("silver")
     refining.add_argument("gold")
+    refining.add_argument("--rebuild", action="store_true", help="clean all stored rows anew, not only those not cleaned yet")
+    refining.add_argument("--schema", help="types of the sales columns as DDL; sales are then cleaned too")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tidemark {args.command}").getOrCreate()
     if args.command == "ingest":
-        spec = TABLES[args.table]
-        batch = read_csv(spark, args.source, spec.schema, infer=spec.schema is None)
+        spec = typed(TABLES[args.table], args.schema)
+        batch = read_csv(spark, args.source, spec.schema, infer=spec.schema is None, keep_malformed=spec.schema is not None)
         if args.batch_id:
             batch, spec = with_load_columns(batch, args.batch_id), spec.with_load_columns()
         print(ingest(spark, batch, spec, args.target, rejects_uri=args.rejects))
     elif args.command == "daily":
-        spec = TABLES[args.table]
-        files = stream_csv(spark, args.directory, spec.schema)
-        for result in ingest_available(files, spec, args.target, args.checkpoint, rejects_uri=args.rejects):
+        spec = typed(TABLES[args.table], args.schema)
+        if spec.schema is None:
+            parser.error(f"{spec.name} has no fixed columns: --schema is needed")
+        files = stream_csv(spark, args.directory, spec.schema, keep_malformed=True)
+        if args.batch_id:
+            spec = spec.with_load_columns()
+        results = ingest_available(
+            files, spec, args.target, args.checkpoint, rejects_uri=args.rejects, batch_id=args.batch_id
+        )
+        for result in results:
             print(result)
     elif args.command == "profile":
-        profile(spark, args.source, args.count)
+        profile(spark, args.source, args.count, args.out, args.rows, multiLine=args.line_breaks)
     else:
-        refine(spark, args.bronze, args.silver, args.gold)
-
-
-def profile(spark: SparkSession, source: str, count: list[str]) -> None:
-    rows = read_csv_loose(spark, source)
-    rows.show(5)
-    reports = [column_info(rows), describe(rows), null_counts(rows)]
-    reports += [value_counts_multi(rows, count)] if count else []
-    for report in reports:
-        report.show(200, truncate=False)
-
+        refine(spark, args.bronze, args.silver, args.gold, rebuild=args.rebuild, sales_schema=args.schema)
+
+
+def typed(spec: TableSpec, schema: str | None) -> TableSpec:
+    """The table with the caller's column types, where it has no fixed ones."""
+    return replace(spec, schema=schema) if schema and spec.schema is None else spec
+
+
+def profile(
+    spark: SparkSession, source: str, count: list[str], out: str | None = None, rows: int = 200, **options: str | bool
+) -> None:
+    """Print reports, the first ``rows`` rows of each; ``out`` gets them whole.
+
+    The files are parsed and typed once: the reports read the typed rows from Parquet.
+    """
+    kept = fresh_dir(spark, "profile")
+    read_csv_loose(spark, source, **options).write.parquet(kept)
+    found = spark.read.parquet(kept)
+    reports = {
+        "head": head(found, [f"`{c}`" for c in found.columns]),
+        "columns": column_info(found),
+        "numbers": describe(found),
+        "nulls": null_counts(found),
+    }
+    if count:
+        reports["values"] = value_counts_multi(found, count)
+    for name, report in reports.items():
+        if out:
+            report.write.mode("overwrite").parquet(f"{out}/{name}")
+            report = spark.read.parquet(f"{out}/{name}")
+        report.show(rows, truncate=False)
+
+
+def refine(
+    spark: SparkSession, bronze: str, silver: str, gold: str, *, rebuild: bool = False, sales_schema: str | None = None
+) -> None:
+    """Clean the stored rows and build the star schema.
+
+    Stored rows never change, so only rows whose key is not cleaned yet are added; ``rebuild`` cleans
+    all of them again, which a changed rule needs.
+    """
+
+    def load(spec: TableSpec, fit: DataFrame, rejects: DataFrame) -> DataFrame:
+        uri = f"{silver}/{spec.name}"
+        if rebuild:
+            print(spec.name, "cleaned:", overwrite(fit, uri, spec.partition_by, spec.key))
+        else:
+            print(ingest(spark, fit, replace(spec, schema=_ddl(fit.schema)), uri))
+        print(spec.name, "rejected:", overwrite(rejects, f"{silver}/{spec.name}_rejects"))
+        return read_history(spark, uri, fit.schema)
 
-def refine(spark: SparkSession, bronze: str, silver: str, gold: str) -> None:
     cleaned = {}
     for spec in (RETURNS, STOCK):
         stored = read_history(spark, f"{bronze}/{spec.name}", spec.schema)
         if stored is None:
             raise SystemExit(f"nothing was ingested into {bronze}/{spec.name}")
-        fit, rejects = shop.silver(stored, spec)
-        print(spec.name, "cleaned:", overwrite(fit, f"{silver}/{spec.name}", spec.partition_by, spec.key))
-        print(spec.name, "rejected:", overwrite(rejects, f"{silver}/{spec.name}_rejects"))
-        cleaned[spec.name] = read_history(spark, f"{silver}/{spec.name}", fit.schema)
+        cleaned[spec.name] = load(spec, *shop.silver(stored, spec))
+    if sales_schema:
+        stored = read_history(spark, f"{bronze}/{SALES.name}", sales_schema)
+        if stored is None:
+            raise SystemExit(f"nothing was ingested into {bronze}/{SALES.name}")
+        fields = [Field(f.name, f.dataType.simpleString(), required=f.name in SALES.key) for f in stored.schema]
+        load(SALES, *split_rejects(clean(stored, fields)))
     for name, rows in shop.star(cleaned[RETURNS.name], cleaned[STOCK.name]).items():
         print(name, overwrite(rows, f"{gold}/{name}"))
 
 
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
 if __name__ == "__main__":
     main()

@@ -14,6 +14,10 @@ NULL_TOKENS = (
 )
 
 
+# Blanks, tabs, line breaks, no-break spaces and the byte order mark.
+BLANKS = " \t\n\x0b\x0c\r\u00a0\u2007\u202f\ufeff"
+
+
 def null_if_token(value: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     return F.when(value.isin(*tokens), None).otherwise(value)
 
@@ -25,5 +29,5 @@ def map_null_tokens(df: DataFrame, columns: Iterable[str], tokens: Sequence[str]
 
 def standard_text(value: Column, *, upper: bool = False, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Trimmed text with spelled-out nulls removed, upper-cased on request."""
-    cleaned = null_if_token(F.trim(value), tokens)
+    cleaned = null_if_token(F.trim(value, F.lit(BLANKS)), tokens)
     return F.upper(cleaned) if upper else cleaned

@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,6 @@ _LEAST_POOL_ROWS = 1_000
 # Wide tables are described in several passes, each reading its own columns.
 _COLUMNS_AT_ONCE = 16
 _SAMPLE_ROWS = 200_000
-_MOST_ROUNDS = 200
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, *, pool_rows:
     Instead each quartile is bracketed: a sample suggests two cut values, a counting
     pass gives their exact ranks, and this repeats until few enough values lie between
     them to be ordered by one task.  A poor sample costs another pass, never a wrong
-    result.  Up to ``pool_rows`` values no bracketing is needed.
+    result.  Up to ``pool_rows`` values (1,000 at least) no bracketing is needed.
     """
     names = list(columns) if columns is not None else [
         f.name for f in df.schema if isinstance(f.dataType, NumericType)
@@ -89,20 +89,20 @@ def _summary(values: DataFrame, names: list[str]) -> list[tuple]:
 
 
 def _quartiles(facts: tuple) -> list[_Bracket]:
-    name, count, _, _, low, high = facts
+    name, rows, _, _, low, high = facts
     found = []
-    for quarter in (1, 2, 3) if count else ():
-        rank, rest = divmod((count - 1) * quarter, 4)
-        found.append(_Bracket(name, quarter, rank, rest / 4, low, high, 0, 0, count, count))
+    for quarter in (1, 2, 3) if rows else ():
+        rank, rest = divmod((rows - 1) * quarter, 4)
+        found.append(_Bracket(name, quarter, rank, rest / 4, low, high, 0, 0, rows, rows))
     return found
 
 
 def _bracket(values: DataFrame, brackets: list[_Bracket], pool_rows: int) -> list[_Bracket]:
     """Narrow the brackets until each holds few enough values; a handful of rounds at any size."""
-    for seed in range(_MOST_ROUNDS):
+    for seed in count():
         wide = [b for b in brackets if b.between > max(pool_rows, _LEAST_POOL_ROWS)]
         if not wide:
-            return brackets
+            break
         cuts = _suggest(values, wide, seed)
         ranks = _ranks(values, {(b.column, v) for b, pair in cuts for v in pair})
         narrowed = {}
@@ -111,8 +111,25 @@ def _bracket(values: DataFrame, brackets: list[_Bracket], pool_rows: int) -> lis
             for value in pair:
                 after = after.cut(value, *ranks[bracket.column, value])
             narrowed[bracket] = after
+        stuck = [b for b, after in narrowed.items() if after.between >= b.between]
+        if stuck:
+            # The sample gave nothing new: a value from inside always narrows a bracket.
+            inner = _inside(values, stuck, seed)
+            ranks = _ranks(values, {(b.column, v) for b, v in inner.items()})
+            narrowed.update({b: narrowed[b].cut(v, *ranks[b.column, v]) for b, v in inner.items()})
         brackets = [narrowed.get(b, b) for b in brackets]
-    raise RuntimeError(f"quartiles of {sorted({b.column for b in wide})} were not found")
+    return brackets
+
+
+def _inside(values: DataFrame, brackets: list[_Bracket], seed: int) -> dict[_Bracket, float]:
+    """For each bracket some value between its ends; both ends are known, so there is one."""
+    drawn = values.withColumn("_draw", F.rand(-1 - seed))
+    measures = []
+    for i, b in enumerate(brackets):
+        column = F.col(f"`{b.column}`")
+        measures.append(F.min_by(column, F.when((column > b.low) & (column < b.high), F.col("_draw"))).alias(str(i)))
+    row = drawn.agg(*measures).first()
+    return {b: row[str(i)] for i, b in enumerate(brackets)}
 
 
 def _suggest(values: DataFrame, brackets: list[_Bracket], seed: int) -> list[tuple[_Bracket, list[float]]]:
@@ -158,14 +175,14 @@ def _pick(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
         [(parts.index((b.column, b.low, b.high)), b.column, b.quarter, b.rank - b.below, b.share) for b in brackets],
         "part int, `column` string, quarter int, rank bigint, share double",
     )
+    # A row gives only the values that lie in a bracket, mostly none.
     cells = [
-        F.struct(F.lit(i).alias("part"), F.when(F.col(f"`{c}`").between(low, high), F.col(f"`{c}`")).alias("value"))
+        F.when(F.col(f"`{c}`").between(low, high), F.struct(F.lit(i).alias("part"), F.col(f"`{c}`").alias("value")))
         for i, (c, low, high) in enumerate(parts)
     ]
     none = F.array().cast("array<struct<part:int,value:double>>")
     pool = (
-        values.select(F.inline(F.array(*cells) if cells else none))
-        .where(F.col("value").isNotNull())
+        values.select(F.inline(F.array_compact(F.array(*cells)) if cells else none))
         .groupBy("part", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

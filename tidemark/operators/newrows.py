@@ -14,6 +14,7 @@ from pyspark.sql.types import (
 )
 
 from tidemark.operators.dedupe import dedupe
+from tidemark.sources.csv import MALFORMED
 
 # Upper bound for the batch's keys, counted before duplicates are removed, up to which they are broadcast.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
@@ -25,6 +26,11 @@ def has_key(key: Sequence[str]) -> Column:
     return reduce(and_, (F.col(f"`{c}`").isNotNull() for c in key))
 
 
+def sound_rows(batch: DataFrame, key: Sequence[str]) -> Column:
+    """Whether a row has its key and is not a line that the CSV scan has set aside."""
+    return has_key(key) & F.col(MALFORMED).isNull() if MALFORMED in batch.columns else has_key(key)
+
+
 def new_rows(batch: DataFrame, history: DataFrame, key: Sequence[str]) -> DataFrame:
     """Batch rows whose key is not in ``history``; a null key matches nothing and stays."""
     return batch.join(history.select(*(f"`{c}`" for c in key)), on=list(key), how="left_anti").select(
@@ -37,10 +43,15 @@ class KeyProfile:
     """Exact facts about a batch's keys, from one pass that reads only the columns it needs."""
 
     rows: int
-    rows_without_key: int
+    rows_without_key: int  # malformed lines not among them
+    malformed: int
     key_bytes: int
     ranges: dict[str, tuple]  # column -> (lowest, highest, has nulls) over rows with a key
 
+    @property
+    def rejected(self) -> int:
+        return self.rows_without_key + self.malformed
+
     def may_hold(self) -> list[Column]:
         """Conditions every stored row with one of the batch's keys meets."""
         tests = []
@@ -55,7 +66,7 @@ class KeyProfile:
 
 def profile_keys(batch: DataFrame, key: Sequence[str], stable: Sequence[str] = ()) -> KeyProfile:
     """Count rows and rejected rows, and find the key ranges and the keys' size in bytes."""
-    keyed = has_key(key)
+    keyed = sound_rows(batch, key)
     ranged = [c for c in dict.fromkeys([*key, *stable]) if isinstance(batch.schema[c].dataType, _RANGED)]
 
     def of_keyed(name: str) -> Column:
@@ -73,10 +84,13 @@ def profile_keys(batch: DataFrame, key: Sequence[str], stable: Sequence[str] = (
             F.max(of_keyed(c)).alias(f"high:{c}"),
             F.count_if(keyed & F.col(f"`{c}`").isNull()).alias(f"nulls:{c}"),
         ]
+    if MALFORMED in batch.columns:
+        measures.append(F.count(MALFORMED).alias("malformed"))
     found = batch.agg(*measures).first().asDict()
     return KeyProfile(
         rows=found["rows"],
-        rows_without_key=found["rows"] - found["keyed"],
+        rows_without_key=found["rows"] - found["keyed"] - found.get("malformed", 0),
+        malformed=found.get("malformed", 0),
         key_bytes=found["keyed"] * _ROW_BYTES * len(key)
         + sum(v or 0 for name, v in found.items() if name.startswith("size:")),
         ranges={c: (found[f"low:{c}"], found[f"high:{c}"], found[f"nulls:{c}"] > 0) for c in ranged},

@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import to_amount
 from tidemark.operators.dedupe import dedupe
 
 
@@ -89,7 +88,7 @@ def sales_by_month(
     )
     names = places.select(F.col(place[1]).alias("_place"), F.col(place_name).alias("place"))
     return per_place.join(names, "_place", "left").groupBy("month", "place", "status").agg(
-        F.sum("rows").alias("orders"), to_amount(F.sum("revenue")).alias("revenue")
+        F.sum("rows").alias("orders"), F.sum("revenue").alias("revenue")
     )
 
 
@@ -104,8 +103,8 @@ def returns_by_month(
         "month",
         "product",
         F.col("rows").alias("returned_lines"),
-        to_amount(F.col("quantity")).alias("returned_quantity"),
-        to_amount(F.col("value")).alias("returned_value"),
+        F.col("quantity").alias("returned_quantity"),
+        F.col("value").alias("returned_value"),
     )
 
 
@@ -128,8 +127,8 @@ def return_rate(
         group,
         F.col("rows").alias("lines"),
         F.coalesce("returned_lines", F.lit(0)).alias("returned_lines"),
-        to_amount(F.coalesce("returned_value", F.lit(0))).alias("returned_value"),
-        (F.col("returned_lines") / F.col("rows")).alias("return_rate"),
+        F.coalesce("returned_value", F.lit(0)).alias("returned_value"),
+        (F.coalesce("returned_lines", F.lit(0)) / F.col("rows")).alias("return_rate"),
     )
 
 

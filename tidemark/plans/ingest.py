@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.dedupe import dedupe
-from tidemark.operators.newrows import BROADCAST_KEY_BYTES, has_key, profile_keys, unstored_rows
+from tidemark.operators.newrows import BROADCAST_KEY_BYTES, profile_keys, sound_rows, unstored_rows
 from tidemark.operators.sinks import append, overwrite
+from tidemark.sources.csv import MALFORMED, MalformedRows
 from tidemark.sources.history import read_history, stored_columns
 from tidemark.tables import TableSpec
 
@@ -37,9 +38,13 @@ _WIDENING = {
 
 
 def conform(batch: DataFrame, wanted: StructType) -> DataFrame:
-    """The batch with the columns, order and types of ``wanted``; raises when values could change."""
+    """The batch with the columns, order and types of ``wanted``; raises when values could change.
+
+    The lines a CSV scan has set aside stay beside it.
+    """
+    aside = [F.col(MALFORMED)] if MALFORMED in batch.columns else []
     missing = [f.name for f in wanted if f.name not in batch.columns]
-    extra = [c for c in batch.columns if c not in wanted.names]
+    extra = [c for c in batch.columns if c not in wanted.names and c != MALFORMED]
     if missing or extra:
         raise SchemaMismatch(f"columns missing from the batch: {missing}; not in the table: {extra}")
     kinds = dict(batch.dtypes)
@@ -51,7 +56,17 @@ def conform(batch: DataFrame, wanted: StructType) -> DataFrame:
     ]
     if wrong:
         raise SchemaMismatch("; ".join(wrong))
-    return batch.select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in wanted))
+    return batch.select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in wanted), *aside)
+
+
+def as_stored(batch: DataFrame, spec: TableSpec) -> DataFrame:
+    """Empty texts in partition columns as nulls, which is how a directory gives them back.
+
+    Rows are thus compared in the form in which they are stored.
+    """
+    kinds = dict(batch.dtypes)
+    texts = [c for c in spec.partition_by if kinds.get(c) == "string"]
+    return batch.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in texts}) if texts else batch
 
 
 def ingest(
@@ -68,34 +83,43 @@ def ingest(
     Running a batch again adds nothing, also after a failed run that stored a part of
     it.  A stored row never changes: a batch row with a known key and other attributes
     is left out.  Rows without a key are counted as rejected and never stored in the
-    table; with ``rejects_uri`` they replace what that path holds, so give each batch
-    its own.
+    table, and so are the lines that ``read_csv`` has set aside as malformed; with
+    ``rejects_uri`` they replace what that path holds, so give each batch its own.  Malformed lines without
+    ``rejects_uri`` raise ``MalformedRows``, before anything is written.
 
     One writer per table: two runs at the same time may both add the same key.
     """
     if spec.schema is not None:
         batch = conform(batch, StructType.fromDDL(spec.schema))
-    history = read_history(spark, uri, batch.schema)
+    batch = as_stored(batch, spec)
+    fields = batch.drop(MALFORMED).schema
+    history = read_history(spark, uri, fields)
     stored = None if history is None else stored_columns(history)
     if stored is None:
         history = None
     else:
         kinds = batch.dtypes
-        directories = [f for f in batch.schema if f.name in spec.partition_by]
+        directories = [f for f in fields if f.name in spec.partition_by]
         batch = conform(batch, StructType([*stored, *directories])).select(*(f"`{c}`" for c in batch.columns))
         if batch.dtypes != kinds:
-            history = read_history(spark, uri, batch.schema)
+            history = read_history(spark, uri, batch.drop(MALFORMED).schema)
 
+    sound = sound_rows(batch, spec.key)
     profile = profile_keys(batch, spec.key, spec.stable)
-    keyed = batch.where(has_key(spec.key))
+    if profile.malformed and rejects_uri is None:
+        raise MalformedRows(f"{profile.malformed} lines do not have the columns and types of {spec.name}")
+    keyed = batch.where(sound).drop(MALFORMED)
     if history is None:
         fresh = dedupe(keyed, spec.key, spec.preference())
     else:
         fresh = unstored_rows(
             keyed, history, spec.key, spec.preference(), profile, broadcast_key_bytes=broadcast_key_bytes
         )
-    if rejects_uri is not None and profile.rows_without_key:
-        overwrite(batch.where(~has_key(spec.key)), rejects_uri)
+    if rejects_uri is not None:
+        if profile.rejected:
+            overwrite(batch.where(~sound), rejects_uri)
+        elif read_history(spark, rejects_uri, batch.schema) is not None:
+            overwrite(batch.limit(0), rejects_uri)  # those of an earlier batch are not this one's
     # The write looks at the new rows once to find ranges before it moves them.  Kept on the
     # executors' disks, they are not joined and sorted twice; a lost copy is computed again.
     fresh = fresh.persist(StorageLevel.DISK_ONLY)
@@ -107,6 +131,6 @@ def ingest(
         table=spec.name,
         first_load=history is None,
         read=profile.rows,
-        rejected=profile.rows_without_key,
+        rejected=profile.rejected,
         appended=appended,
     )

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import to_amount
 from tidemark.operators.dedupe import dedupe
 from tidemark.plans import gold
 from tidemark.plans.silver import Field, clean, split_rejects
@@ -72,4 +71,4 @@ def returns_by(facts: DataFrame, groups: dict[str, Column]) -> DataFrame:
     """Returns, pieces and value per group, such as reason or month."""
     totals = {"pieces": F.col("quantidade_devolvida"), "value": F.col("valor_devolvido")}
     found = gold.fact(facts, groups, totals)
-    return found.select(*groups, F.col("rows").alias("returns"), "pieces", to_amount(F.col("value")).alias("value"))
+    return found.select(*groups, F.col("rows").alias("returns"), "pieces", "value")

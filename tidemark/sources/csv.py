@@ -1,14 +1,44 @@
-"""Headered CSV: one file, many files, or a directory that keeps growing."""
+"""Headered CSV: one file, many files, or a directory that keeps growing.
+
+A quote inside a quoted value is written twice, as spreadsheets and data-frame tools do; pass ``escape`` for
+files with another habit.  Line breaks inside quotes need ``multiLine=True``, which makes each file one task.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.text import map_null_tokens
 
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?inf(inity)?\s*$"
+#: Holds the whole line where a value is not of its type or the number of fields is not the header's.
+MALFORMED = "_malformed"
+
+
+class MalformedRows(ValueError):
+    """Lines that are not what the header and the types say."""
+
+
+def _declared(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
+def _strict(schema: StructType, keep_malformed: bool) -> tuple[StructType, dict[str, str | bool]]:
+    """Schema and options under which lines with another number of fields, and bad values that are read, are noticed."""
+    options = {"header": True, "escape": '"', "enforceSchema": False, "columnPruning": False}
+    if not keep_malformed:
+        return schema, {**options, "mode": "FAILFAST"}
+    flagged = StructType([*schema, StructField(MALFORMED, StringType())])
+    return flagged, {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+
+
+def _flagged(rows: DataFrame, schema: StructType) -> DataFrame:
+    """The scan notices bad values only in the columns that a query reads, so the flag is made to read them all."""
+    every = F.xxhash64(*(F.col(f"`{c}`") for c in schema.names))
+    flag = F.when(every % 2 == 0, F.col(MALFORMED)).otherwise(F.concat(F.col(MALFORMED), F.lit("")))
+    return rows.withColumn(MALFORMED, flag)
 
 
 def read_csv(
@@ -17,21 +47,26 @@ def read_csv(
     schema: StructType | str | None = None,
     *,
     infer: bool = False,
+    keep_malformed: bool = False,
     **options: str | bool,
 ) -> DataFrame:
     """Read headered, comma-separated UTF-8 files.
 
-    With a ``schema`` the header is checked against it (``enforceSchema=false``), so
-    a file with moved columns fails rather than filling the wrong columns.  Without
-    one, ``infer=True`` reads the input an extra time to find the types; otherwise
-    every column is text.
+    With a ``schema`` the header of every file is checked against it, so a file with moved columns
+    fails rather than filling the wrong columns.  A line with too many or too few fields fails as well, and one
+    with a value that is not of its type as soon as a query reads that column; with ``keep_malformed`` both are
+    kept instead, as text in the column ``_malformed``, which is null for sound lines.
+
+    Without a schema the first header gives the names, which the other files must repeat.
+    ``infer=True`` reads the input an extra time to find the types; otherwise every column is text.
     """
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    elif infer:
-        reader = reader.option("inferSchema", True)
-    return reader.options(**options).csv(path)
+    if schema is None:
+        names = spark.read.options(header=True, escape='"', inferSchema=infer).options(**options).csv(path).schema
+        return spark.read.schema(names).options(header=True, escape='"', enforceSchema=False).options(**options).csv(path)
+    schema = _declared(schema)
+    wanted, strict = _strict(schema, keep_malformed)
+    rows = spark.read.schema(wanted).options(**strict).options(**options).csv(path)
+    return _flagged(rows, schema) if keep_malformed else rows
 
 
 def read_csv_loose(spark: SparkSession, path: str | list[str], **options: str | bool) -> DataFrame:
@@ -39,12 +74,20 @@ def read_csv_loose(spark: SparkSession, path: str | list[str], **options: str |
 
     One pass over the input decides each column's type (integer, decimal number,
     true/false, text) from the values left after null tokens are mapped, so ``NA`` in
-    a number column does not turn the column into text.
+    a number column does not turn the column into text.  The same pass counts lines with another number of
+    fields than the header; if there are any, ``MalformedRows`` is raised.
     """
-    raw = read_csv(spark, path, **options)
-    text = map_null_tokens(raw, raw.columns)
-    kinds = text.agg(*(_narrowest_type(c).alias(c) for c in text.columns)).first()
-    return text.select(*(_typed(c, kinds[c]).alias(c) for c in text.columns))
+    names = read_csv(spark, path, **options).schema
+    raw = read_csv(spark, path, names, keep_malformed=True, **options)
+    text = map_null_tokens(raw, names.names)
+    measures = [_narrowest_type(c).alias(c) for c in names.names]
+    found = text.agg(*measures, F.count(MALFORMED).alias(MALFORMED)).first()
+    if found[MALFORMED]:
+        raise MalformedRows(
+            f"{found[MALFORMED]} lines have another number of fields than the header; "
+            "quoted line breaks need multiLine=True"
+        )
+    return text.select(*(_typed(c, found[c]).alias(c) for c in names.names))
 
 
 def _narrowest_type(name: str) -> Column:
@@ -55,7 +98,7 @@ def _narrowest_type(name: str) -> Column:
 
     return (
         F.when(F.count(value) == 0, "double")
-        .when(always(value.try_cast("bigint").isNotNull()), "bigint")
+        .when(always(value.try_cast("bigint").isNotNull() & value.rlike(r"^\s*[+-]?\d+\s*$")), "bigint")
         .when(always(value.rlike(NUMBER)), "double")
         .when(always(F.lower(value).isin("true", "false")), "boolean")
         .otherwise("string")
@@ -73,10 +116,14 @@ def stream_csv(
     schema: StructType | str,
     *,
     max_files_per_trigger: int | None = None,
+    keep_malformed: bool = False,
     **options: str | bool,
 ) -> DataFrame:
-    """Follow a directory of headered CSV files as a stream."""
-    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+    """Follow a directory of headered CSV files as a stream; malformed lines as in ``read_csv``."""
+    schema = _declared(schema)
+    wanted, strict = _strict(schema, keep_malformed)
+    reader = spark.readStream.schema(wanted).options(**strict)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.options(**options).csv(directory)
+    rows = reader.options(**options).csv(directory)
+    return _flagged(rows, schema) if keep_malformed else rows

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from tidemark.plans.bronze import with_load_columns
 from tidemark.plans.ingest import IngestResult, ingest
 from tidemark.tables import TableSpec
 
@@ -15,17 +18,25 @@ def ingest_available(
     checkpoint: str,
     *,
     rejects_uri: str | None = None,
+    batch_id: str | None = None,
 ) -> list[IngestResult]:
     """Ingest what ``stream`` has not delivered to this ``checkpoint`` yet, then stop.
 
     A micro-batch may be delivered twice after a failure; ingestion by key then adds
     nothing, so the table holds each key once.  For the same reason a lost checkpoint
-    only costs time.
+    only costs time.  Rejected rows of a run lie under a ``run=`` of its own in ``rejects_uri``, so no later
+    run replaces them; what is delivered twice is rejected twice.
+
+    With a ``batch_id`` the load history is stored with each row; ``spec`` is then that of the
+    table with its load columns, and ``stream`` a file scan.
     """
     results: list[IngestResult] = []
+    run = uuid.uuid4().hex
+    if batch_id is not None:
+        stream = with_load_columns(stream, batch_id)
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        rejects = None if rejects_uri is None else f"{rejects_uri}/batch={batch_id}"
+    def load(batch: DataFrame, number: int) -> None:
+        rejects = None if rejects_uri is None else f"{rejects_uri}/run={run}/batch={number}"
         results.append(ingest(batch.sparkSession, batch, spec, uri, rejects_uri=rejects))
 
     query = (
