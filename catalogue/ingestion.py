@@ -113,7 +113,8 @@ def _damaged_orders_csv(spark: SparkSession, sf_dir: str) -> str:
     for status in ("O", "F", "P"):
         part = lines.where(F.col("o_orderstatus") == status).select("value", F.lit(1).alias("_place"))
         part = header.select("value", F.lit(0).alias("_place")).unionByName(part)
-        part.repartitionByRange(1, "_place").sortWithinPartitions("_place").select("value").write.mode("append").text(path)
+        part = part.repartitionByRange(1, "_place").sortWithinPartitions("_place").select("value")
+        part.write.mode("append").text(path)
     return path
 
 
@@ -163,7 +164,8 @@ def ingest_empty_partition_value(spark: SparkSession, sf_dir: str) -> DataFrame:
         added = F.lit(sum(r.appended for r in results)).cast("bigint")
         rejected = F.lit(results[-1].rejected).cast("bigint")
         counts = _stored(spark, uri).groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
-        found.append(counts.select(F.lit(way).alias("way"), "month", "rows", added.alias("added"), rejected.alias("rejected")))
+        totals = (added.alias("added"), rejected.alias("rejected"))
+        found.append(counts.select(F.lit(way).alias("way"), "month", "rows", *totals))
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 

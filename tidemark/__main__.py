@@ -56,17 +56,18 @@ def main(argv: list[str] | None = None) -> None:
     refining.add_argument("bronze")
     refining.add_argument("silver")
     refining.add_argument("gold")
-    refining.add_argument("--rebuild", action="store_true", help="clean all stored rows anew, not only those not cleaned yet")
+    refining.add_argument("--rebuild", action="store_true", help="clean all stored rows anew, not only new ones")
     refining.add_argument("--schema", help="types of the sales columns as DDL; sales are then cleaned too")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tidemark {args.command}").getOrCreate()
     if args.command == "ingest":
         spec = typed(TABLES[args.table], args.schema)
-        batch = read_csv(spark, args.source, spec.schema, infer=spec.schema is None, keep_malformed=spec.schema is not None)
+        declared = spec.schema is not None
+        batch = read_csv(spark, args.source, spec.schema, infer=not declared, keep_malformed=declared)
         if args.batch_id:
             batch, spec = with_load_columns(batch, args.batch_id), spec.with_load_columns()
-        print(ingest(spark, batch, spec, args.target, rejects_uri=args.rejects))
+        print(ingest(spark, batch, spec, args.target, rejects_uri=args.rejects, read_once=True))
     elif args.command == "daily":
         spec = typed(TABLES[args.table], args.schema)
         if spec.schema is None:

@@ -77,6 +77,7 @@ def ingest(
     *,
     rejects_uri: str | None = None,
     broadcast_key_bytes: int = BROADCAST_KEY_BYTES,
+    read_once: bool = False,
 ) -> IngestResult:
     """Append to ``uri`` the batch rows whose key is not stored there, one row per key.
 
@@ -87,8 +88,19 @@ def ingest(
     ``rejects_uri`` they replace what that path holds, so give each batch its own.  Malformed lines without
     ``rejects_uri`` raise ``MalformedRows``, before anything is written.
 
+    The batch is looked at two or three times.  ``read_once`` keeps it on the executors' disks after the first,
+    which pays for input that is costly to read, such as CSV, where every look parses all columns.
+
     One writer per table: two runs at the same time may both add the same key.
     """
+    if read_once:
+        kept = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            return ingest(
+                spark, kept, spec, uri, rejects_uri=rejects_uri, broadcast_key_bytes=broadcast_key_bytes
+            )
+        finally:
+            kept.unpersist()
     if spec.schema is not None:
         batch = conform(batch, StructType.fromDDL(spec.schema))
     batch = as_stored(batch, spec)

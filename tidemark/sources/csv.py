@@ -61,8 +61,9 @@ def read_csv(
     ``infer=True`` reads the input an extra time to find the types; otherwise every column is text.
     """
     if schema is None:
-        names = spark.read.options(header=True, escape='"', inferSchema=infer).options(**options).csv(path).schema
-        return spark.read.schema(names).options(header=True, escape='"', enforceSchema=False).options(**options).csv(path)
+        settings = {"header": True, "escape": '"', **options}
+        names = spark.read.options(inferSchema=infer, **settings).csv(path).schema
+        return spark.read.schema(names).options(enforceSchema=False, **settings).csv(path)
     schema = _declared(schema)
     wanted, strict = _strict(schema, keep_malformed)
     rows = spark.read.schema(wanted).options(**strict).options(**options).csv(path)

@@ -37,7 +37,7 @@ def ingest_available(
 
     def load(batch: DataFrame, number: int) -> None:
         rejects = None if rejects_uri is None else f"{rejects_uri}/run={run}/batch={number}"
-        results.append(ingest(batch.sparkSession, batch, spec, uri, rejects_uri=rejects))
+        results.append(ingest(batch.sparkSession, batch, spec, uri, rejects_uri=rejects, read_once=True))
 
     query = (
         stream.writeStream.foreachBatch(load)
