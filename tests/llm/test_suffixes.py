@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import suffixes
-from tidemark.llm.suffixes import common_prefixes, suffix_order, types
+from tidemark.llm.suffixes import Prefixes, suffix_order, types
 
 TEXTS = [
     b"", b"a", b"aa", b"ab", b"ba", b"mississippi", b"a" * 300, b"ab" * 200, b"abcabcabc" * 40, bytes(range(256)) * 2, b"\0\0\1\0\0\1" * 30,
@@ -47,7 +47,7 @@ def test_common_prefixes():
         data = np.frombuffer(text, np.uint8)
         order = np.array(sorted(range(len(text)), key=lambda i: text[i:]))
         for most in (5, 20, 1000):
-            got = common_prefixes(data, order, most)
+            got = Prefixes(data, most)(order)
             for k, n in enumerate(got.tolist()):
                 a, b = text[order[k] :], text[order[k + 1] :]
                 real = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))

@@ -6,13 +6,13 @@ anchor. A run of places with one anchor, with the bytes that its strings cover,
 
 1. Fragments are known by hashes. An anchor that occurs once has no repeated string and goes no further.
    An anchor whose fragments are all equal repeats in all of its strings.
-2. Where the fragments of an anchor differ, their bytes are gathered, equal ones once, and dealt by anchor to shards. The
-   suffixes of a shard are ordered by external induced sorting (``suffixes``); strings that repeat are neighbours with
-   a common prefix of LENGTH or more.
+2. Where the fragments of an anchor differ, their bytes are gathered, equal ones once, and dealt by anchor to shards.
+   The suffixes of a shard are ordered by external induced sorting (``suffixes``); strings that repeat are neighbours
+   with a common prefix of LENGTH or more.
 3. What the repeated strings cover is joined to the documents.
 
-Texts are judged as they are given; null counts as empty; a document's matches may be in itself, and rows that agree in id
-and text are different documents. Texts shorter than LENGTH bytes have no strings. Other columns are not
+Texts are judged as they are given; null counts as empty; a document's matches may be in itself, and rows that agree
+in id and text are different documents. Texts shorter than LENGTH bytes have no strings. Other columns are not
 looked at. An empty table gives no rows.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_parts, known_rows, saved, utf8
-from tidemark.llm.suffixes import common_prefixes, suffix_order
+from tidemark.llm.suffixes import CHUNK, Prefixes, suffix_order
 from tidemark.llm.words import grouped, mixed, powers
 
 LENGTH = 200
@@ -100,7 +100,8 @@ def _fragments(texts: Iterable[bytes], anchors: Anchors, most: int = 500_000) ->
     for group in grouped(_sections(texts, anchors.length, most), most):
         part, start, counts, at, anchor, content = anchors([text for _, text in group])
         number, offset = (np.array([key[k] for key, _ in group], np.int64) for k in (0, 1))
-        yield number[part], start + offset[part], counts, at + offset[part], anchor.view(np.int64), content.view(np.int64)
+        places = start + offset[part], counts, at + offset[part]
+        yield number[part], *places, anchor.view(np.int64), content.view(np.int64)
 
 
 def fragments(rows: DataFrame, length: int) -> DataFrame:
@@ -127,15 +128,22 @@ def repeated_places(fragments: list[bytes], counts: list[int], length: int, limi
     for begin, n, occurrences in zip(bounds[:-1].tolist(), places, counts, strict=True):
         wanted[begin : begin + n] = True
         repeated[begin : begin + n] = occurrences > 1
-    last = np.empty(0, np.int64)
-    for part in suffix_order(text, length, limit):
-        part = np.concatenate([last, part[wanted[part]]])
-        if not len(part):
-            continue
-        shared = common_prefixes(text, part, length) >= length
+    prefixes = Prefixes(text, length)
+    held: list[np.ndarray] = []
+
+    def compare() -> None:
+        part = np.concatenate(held)
+        shared = prefixes(part) >= length
         repeated[part[:-1][shared]] = True
         repeated[part[1:][shared]] = True
-        last = part[-1:]
+        held[:] = [part[-1:]]
+
+    for part in suffix_order(text, length, limit):
+        held.append(part[wanted[part]])
+        if sum(map(len, held)) >= CHUNK:
+            compare()
+    if held:
+        compare()
     return [repeated[begin : begin + n] for begin, n in zip(bounds[:-1].tolist(), places, strict=True)]
 
 
@@ -199,8 +207,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, shard: int = SHARD, li
     anchors = kinds.groupBy("anchor").agg(F.sum("n").alias("all"), F.count("*").alias("kinds")).where("all > 1")
     repeats = saved(found.join(anchors.select("anchor", "kinds"), "anchor"), "repeated-anchors")
     uniform = repeats.where("kinds = 1").select(
-        "id", "n_chars", "mark", F.col("start").alias("from"), (F.col("start") + F.col("places") + length - 1).alias("to")
-    )
+        "id", "n_chars", "mark",
+        F.col("start").alias("from"), (F.col("start") + F.col("places") + length - 1).alias("to"),
+    )
 
     # One occurrence of each different fragment gives its bytes.
     differing = repeats.where("kinds > 1")
@@ -220,7 +229,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, shard: int = SHARD, li
     # Rows that agree in id and text give their fragments more than once.
     cut = cut.repartition("anchor").sortWithinPartitions("anchor", "content").dropDuplicates(["anchor", "content"])
     cut = cut.sortWithinPartitions("anchor", "content")
-    sorted_ = cut.mapInArrow(_sorted_shards(length, shard, limit), "content bigint, anchor bigint, `from` bigint, `to` bigint")
+    schema = "content bigint, anchor bigint, `from` bigint, `to` bigint"
+    sorted_ = cut.mapInArrow(_sorted_shards(length, shard, limit), schema)
     relative = saved(sorted_, "sorted-spans")
     spans = differing.join(relative, ["anchor", "content"]).select(
         "id", "n_chars", "mark", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to")
@@ -238,7 +248,9 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[first], ends[np.append(first[1:] - 1, len(ends) - 1)]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **options) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **options
+) -> DataFrame:
     """Rows (id, n_bytes, n_removed, n_spans, kept), one for each row of ``docs``; ``kept`` is what is left, as bytes.
 
     Options are those of ``repeated_spans``.
@@ -246,7 +258,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = known_rows(docs, id_col, text_col)
     spans = repeated_spans(rows, length, **options)
     per_text = spans.groupBy("id", "n_chars", "mark").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
-    per_text = per_text.select(F.col("id").alias("_id"), F.col("n_chars").alias("_chars"), F.col("mark").alias("_mark"), "spans")
+    renamed = {"id": "_id", "n_chars": "_chars", "mark": "_mark"}
+    per_text = per_text.withColumnsRenamed(renamed)
     same = F.expr("id <=> _id and n_chars = _chars and mark = _mark")
     joined = rows.join(per_text, same, "left").select("id", "text", "spans")
 

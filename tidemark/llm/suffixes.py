@@ -68,16 +68,27 @@ class Queue:
         part = self._parts[i]
         return part if isinstance(part, np.ndarray) else self._store.read(*part)
 
+    def _joined(self, first: int, step: int) -> tuple[np.ndarray, int]:
+        """Parts from one on, or back, together about CHUNK positions; and the part after them."""
+        parts, size = [], 0
+        while 0 <= first < len(self._parts) and size < CHUNK:
+            parts.append(self._part(first)[::step])
+            size += len(parts[-1])
+            first += step
+        return np.concatenate(parts), first
+
     def __iter__(self) -> Iterator[np.ndarray]:
-        """All parts, those included that are put in meanwhile."""
+        """All positions, those included that are put in meanwhile."""
         i = 0
         while i < len(self._parts):
-            yield self._part(i)
-            i += 1
+            part, i = self._joined(i, 1)
+            yield part
 
     def backwards(self) -> Iterator[np.ndarray]:
-        for i in range(len(self._parts) - 1, -1, -1):
-            yield self._part(i)[::-1]
+        i = len(self._parts) - 1
+        while i >= 0:
+            part, i = self._joined(i, -1)
+            yield part
 
 
 def types(text: np.ndarray) -> np.ndarray:
@@ -189,7 +200,10 @@ def _equal(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -
 
 
 def suffix_order(text: np.ndarray, depth: int, limit: int = IN_MEMORY) -> Iterator[np.ndarray]:
-    """All positions, in chunks, in the order of their suffixes; suffixes that agree in ``depth`` bytes stand together."""
+    """All positions, in chunks, in the order of their suffixes.
+
+    Suffixes that agree in ``depth`` bytes stand together.
+    """
     if not len(text):
         return
     store = Store(limit)
@@ -204,20 +218,29 @@ def suffix_order(text: np.ndarray, depth: int, limit: int = IN_MEMORY) -> Iterat
         store.close()
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """For neighbours in an order of positions, the length of their common prefix, up to ``most``."""
-    padded = np.concatenate([text, np.zeros(most + 8, np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    a, b = order[:-1], order[1:]
-    out = np.zeros(len(a), np.int64)
-    at = np.arange(len(a))
-    done = 0
-    while len(at) and done < most:
-        alike = words[a[at] + done] == words[b[at] + done]
-        whole = alike.all(1)
-        out[at[~whole]] = done + alike[~whole].argmin(1)
-        done += 8
-        out[at[whole]] = done
-        at = at[whole]
-    # What lies behind the end is no common prefix.
-    return np.minimum(np.minimum(out, most), len(text) - np.maximum(a, b))
+class Prefixes:
+    """Common prefixes of suffixes, up to ``most`` bytes, eight bytes at a time."""
+
+    def __init__(self, text: np.ndarray, most: int) -> None:
+        padded = np.concatenate([text, np.zeros(most + 16, np.uint8)])
+        self._length, self._most = len(text), most
+        self._words = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+
+    def __call__(self, order: np.ndarray) -> np.ndarray:
+        """For neighbours in an order of positions, the length of what they share."""
+        a, b = order[:-1], order[1:]
+        out = np.full(len(a), self._most, np.int64)
+        at = np.arange(len(a))
+        for done in range(0, self._most, 8):
+            differing = self._words[a[at] + done] ^ self._words[b[at] + done]
+            ends = differing != 0
+            if ends.any():
+                first = differing[ends]
+                # Bits below the lowest one that differs, in whole bytes.
+                below = (first & (~first + np.uint64(1))) - np.uint64(1)
+                out[at[ends]] = done + np.bitwise_count(below).astype(np.int64) // 8
+                at = at[~ends]
+                if not len(at):
+                    break
+        # What lies behind the end is no common prefix.
+        return np.minimum(np.minimum(out, self._most), self._length - np.maximum(a, b))
