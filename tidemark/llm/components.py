@@ -26,9 +26,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("u"), F.least("a", "low").alias("low"))
-        large = both.join(low, F.col("a") == F.col("u")).where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = saved(_no_loops(large), "edges")
+        low = both.groupBy("a").agg(F.min("b").alias("low"))
+        low = low.select(F.col("a").alias("u"), F.least("a", "low").alias("low"))
+        large = both.join(low, F.col("a") == F.col("u")).where("b > a")
+        large = saved(_no_loops(large.select(F.col("b").alias("a"), F.col("low").alias("b"))), "edges")
         low = large.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "u")
         small = large.join(low, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("low").alias("b"))
         now = saved(_no_loops(small.unionByName(low.select(F.col("u").alias("a"), F.col("low").alias("b")))), "edges")

@@ -179,7 +179,7 @@ def near_duplicates(
     classes = rows.where("sound").groupBy(*same).agg(
         F.count("*").alias("size"), F.min("id").alias("low"), F.first("embedding").alias("embedding")
     )
-    classes = classes.withColumn("dim", F.size("embedding").cast("bigint")).withColumn("cid", F.monotonically_increasing_id())
+    classes = classes.withColumns({"dim": F.size("embedding").cast("bigint"), "cid": F.monotonically_increasing_id()})
     classes = saved(classes, "vectors")
     most = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
     bits, tables = tables_needed(most, threshold, recall)
@@ -188,7 +188,8 @@ def near_duplicates(
     cell = coded.select("label", "dim", "cid", F.posexplode("codes").alias("t", "code"))
     large = cell.groupBy("label", "dim", "t", "code").count().where(F.col("count") > block)
     large = saved(large.withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).drop("count"), "large-buckets")
-    spread = coded.select("*", F.posexplode("codes").alias("t", "code")).join(large, ["label", "dim", "t", "code"], "left")
+    bucket = ["label", "dim", "t", "code"]
+    spread = coded.select("*", F.posexplode("codes").alias("t", "code")).join(large, bucket, "left")
     # A large bucket is cut into blocks, and each pair of its blocks is a cell.
     own = F.coalesce(F.pmod(F.xxhash64("cid"), F.col("blocks")), F.lit(0)).cast("int")
     spread = spread.withColumn("own", own).withColumn(
@@ -225,21 +226,26 @@ def near_duplicates(
 
 #: All pairs; for small tables.
 ORACLE_SQL = f"""
-    WITH RECURSIVE rows AS (SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS v, label FROM embeddings),
+    WITH RECURSIVE rows AS (
+        SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS v, label FROM embeddings
+    ),
     sound AS (
         SELECT * FROM rows
         WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
               AND len(list_filter(v, lambda x: x <> 0)) > 0
     ),
     links AS (
-        SELECT a.row AS a, b.row AS b FROM sound a JOIN sound b ON a.label = b.label AND len(a.v) = len(b.v) AND a.row <> b.row
+        SELECT a.row AS a, b.row AS b
+        FROM sound a JOIN sound b ON a.label = b.label AND len(a.v) = len(b.v) AND a.row <> b.row
         WHERE list_cosine_similarity(a.v, b.v) >= {THRESHOLD}
     ),
     reach AS (
         SELECT row AS a, row AS b FROM rows
         UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
     ),
-    component AS (SELECT r.a AS row, min(o.vec_id) AS component_id FROM reach r JOIN rows o ON o.row = r.b GROUP BY r.a),
+    component AS (
+        SELECT r.a AS row, min(o.vec_id) AS component_id FROM reach r JOIN rows o ON o.row = r.b GROUP BY r.a
+    ),
     degree AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a)
     SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id,
            vec_id IS NOT DISTINCT FROM component_id AS kept

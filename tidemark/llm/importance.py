@@ -79,9 +79,12 @@ def ngram_buckets(words: Words) -> tuple[np.ndarray, np.ndarray]:
     upper, lower, digit = (_sums((raw >= a) & (raw <= b)) for a, b in ((65, 90), (97, 122), (48, 57)))
     n_upper, n_lower, n_digit = (s[stop] - s[core] for s in (upper, lower, digit))
     titled = (raw[core] >= 65) & (raw[core] <= 90)
-    case = np.where(n_lower > 0, np.where(titled, np.where(n_upper > 1, 3, 1), np.where(n_upper > 0, 3, 0)), np.where(n_upper > 1, 2, titled))
+    # 0: lower case, 1: a capital first, 2: capitals only, 3: capitals elsewhere.
+    mixed_case = np.where(titled, np.where(n_upper > 1, 3, 1), np.where(n_upper > 0, 3, 0))
+    case = np.where(n_lower > 0, mixed_case, np.where(n_upper > 1, 2, titled)).astype(np.uint64)
     before, behind = _four(raw, start, np.minimum(core - start, 2)), _four(raw, stop, np.minimum(end - stop, 4))
-    shape = mixed(before ^ mixed(behind ^ (case.astype(np.uint64) << np.uint64(40)) ^ ((n_digit > 0).astype(np.uint64) << np.uint64(44))))
+    signs = (case << np.uint64(40)) ^ ((n_digit > 0).astype(np.uint64) << np.uint64(44))
+    shape = mixed(before ^ mixed(behind ^ signs))
     shape = np.where(has, shape, mixed(begins ^ np.uint64(7 << 50)))
     joined = np.zeros(len(text), bool)
     joined[1:] = text[1:] == text[:-1]
@@ -89,7 +92,7 @@ def ngram_buckets(words: Words) -> tuple[np.ndarray, np.ndarray]:
     again[1:] = (begins[1:] == begins[:-1]) & (ends[1:] == ends[:-1]) & (length[1:] == length[:-1]) & joined[1:]
     previous = np.where(joined, np.concatenate([[np.uint64(0)], shape[:-1]]), np.uint64(0))
     pair = mixed(previous) ^ shape ^ again.astype(np.uint64)
-    kinds = np.concatenate([mixed(begins ^ np.uint64(1 << 60)), mixed(ends ^ np.uint64(2 << 60)), mixed(pair ^ np.uint64(3 << 60))])
+    kinds = np.concatenate([mixed(x ^ np.uint64(kind << 60)) for kind, x in ((1, begins), (2, ends), (3, pair))])
     return np.tile(text, 3), (kinds % np.uint64(BUCKETS)).astype(np.int64)
 
 
@@ -213,11 +216,14 @@ class Weigher:
             yield key, weight, self.sharpness * weight + noise
 
 
-def weighed(docs: DataFrame, weigher: Weigher, labels: Labels, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def weighed(
+    docs: DataFrame, weigher: Weigher, labels: Labels, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Rows (id, log_weight, key, label), one for each row of ``docs``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("id", pa.int64()), ("log_weight", pa.float64()), ("key", pa.float64()), ("label", pa.int32())])
+        numbers = [("log_weight", pa.float64()), ("key", pa.float64()), ("label", pa.int32())]
+        out = pa.schema([("id", pa.int64()), *numbers])
         yield from in_parts(((*row, labels.of(row[0])) for row in weigher.weigh(_items(batches))), out)
 
     return _rows(docs, id_col, text_col).mapInArrow(run, "id bigint, log_weight double, key double, label int")
@@ -228,7 +234,8 @@ def best_cut(rows: DataFrame) -> float:
 
     Weights are counted in steps of 1/64.
     """
-    steps = rows.where(f"label in ({_GOOD}, {_BAD})").groupBy(F.floor(F.col("log_weight") * 64).alias("step"), "label").count()
+    measured = rows.where(f"label in ({_GOOD}, {_BAD})")
+    steps = measured.groupBy(F.floor(F.col("log_weight") * 64).alias("step"), "label").count()
     good: dict[int, int] = {}
     bad: dict[int, int] = {}
     for r in steps.collect():
@@ -253,7 +260,8 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
         if low + width == low:
             return _kth_of(inside, column, k)
         step = F.least(F.floor((F.col(column) - low) / width), F.lit(1023)).alias("step")
-        counts = inside.groupBy(step).agg(F.count("*").alias("n"), F.min(column).alias("low"), F.max(column).alias("high"))
+        ends = F.min(column).alias("low"), F.max(column).alias("high")
+        counts = inside.groupBy(step).agg(F.count("*").alias("n"), *ends)
         for r in sorted(counts.collect(), key=lambda r: -r["step"]):
             if k <= r["n"]:
                 break
@@ -301,7 +309,9 @@ def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return found.rows.select("id", "log_weight", "key", (F.col("key") >= found.least_key).alias("kept"))
 
 
-def keep_selected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def keep_selected(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
     """The rows of ``docs`` that are selected, with all their columns.
 
     The rows are weighed once more where they are read, which spares a shuffle of all texts.

@@ -28,13 +28,16 @@ def word_hashes(words: Words) -> np.ndarray:
     up, down = powers(n)
     terms = _BYTES[words.data] * up[: len(words.data)]
     sums = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
-    return mixed((sums[words.end] - sums[words.start]) * down[words.start] + (words.end - words.start).astype(np.uint64))
+    values = (sums[words.end] - sums[words.start]) * down[words.start]
+    return mixed(values + (words.end - words.start).astype(np.uint64))
 
 
 _BYTES = mixed(np.arange(1, 257))
 
 
-def shingle_sets(items: Iterable[tuple[object, bytes]], n_words: int = WORDS, seed: int = 0) -> Iterator[tuple[object, np.ndarray]]:
+def shingle_sets(
+    items: Iterable[tuple[object, bytes]], n_words: int = WORDS, seed: int = 0
+) -> Iterator[tuple[object, np.ndarray]]:
     """Each text with the sorted different hashes of its shingles.
 
     A text with fewer words has one shingle, the whole sequence; one without words has none. Long texts are
@@ -88,7 +91,8 @@ def _joined(words: np.ndarray, n: int, salt: np.uint64) -> np.ndarray:
 
 def set_hashes(shingles: np.ndarray) -> tuple[int, int]:
     """128 bits that know a set: two sums over its elements, as signed numbers."""
-    first, second = mixed(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64), mixed(shingles + np.uint64(0x5BD1E995)).sum(dtype=np.uint64)
+    first = mixed(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
+    second = mixed(shingles + np.uint64(0x5BD1E995)).sum(dtype=np.uint64)
     ends = mixed(np.array([first + np.uint64(len(shingles)), second], np.uint64)).view(np.int64)
     return int(ends[0]), int(ends[1])
 
@@ -210,7 +214,9 @@ def folded(sketches: np.ndarray, words: int) -> np.ndarray:
     return sketches
 
 
-def may_link(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+def may_link(
+    a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int = PERCENT
+) -> np.ndarray:
     """For rows of equally long sketches, whether sizes and bits allow a link."""
     total = size_a + size_b
     most = total - 2 * -(-percent * total // (100 + percent))

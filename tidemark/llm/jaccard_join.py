@@ -1,8 +1,8 @@
 """Groups of documents whose word shingles are similar: an exact set similarity join.
 
 1. Documents with equal sets are one class; from here on there are classes only.
-2. Each class has keys from its segments (``jaccard``). Keys are shuffled and sorted, and the runs of classes with one key
-   are read in a stream.
+2. Each class has keys from its segments (``jaccard``). Keys are shuffled and sorted, and the runs of classes with one
+   key are read in a stream.
 3. A key of very many classes tells little. Classes whose spare segments do not make up for such keys get a second set
    of keys, their rarest shingles: so many that two linked sets must share one.
 4. Of the classes of a key, the one with most shared keys is measured against all others. What links is joined to
@@ -51,9 +51,8 @@ def _with_sets(rows: DataFrame, n_words: int, seed: int) -> DataFrame:
             got = [(len(s), *jaccard.set_hashes(s)) for _, s in _sets([batch], n_words, seed)]
             columns = zip(*got, strict=True) if got else ([], [], [])
             kept = [batch[c] for c in ("id", "n_chars", "mark")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, *(pa.array(c, pa.int64()) for c in columns)], names=["id", "n_chars", "mark", "n", "cid", "check"]
-            )
+            names = ["id", "n_chars", "mark", "n", "cid", "check"]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, pa.int64()) for c in columns)], names=names)
 
     return rows.mapInArrow(run, "id bigint, n_chars bigint, mark bigint, n bigint, cid bigint, check bigint")
 
@@ -97,10 +96,12 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     long_key: int | None = None
     last: tuple[int, int] | None = None
 
-    def out(rows: list[np.ndarray], long: int | None, final: bool) -> tuple[pa.RecordBatch, list[np.ndarray], int | None]:
+    def out(
+        rows: list[np.ndarray], long: int | None, final: bool
+    ) -> tuple[pa.RecordBatch, list[np.ndarray], int | None]:
         """Emit all runs but the last, which may go on."""
         keys = rows[0]
-        starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1]) if len(keys) else np.empty(0, np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
         counts = np.diff(np.append(starts, len(keys)))
         frequent = counts > FREQUENT
         if len(keys) and long is not None and keys[0] == long:
@@ -112,7 +113,8 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             long = int(keys[-1]) if frequent[-1] else None
         take = np.repeat(several & done, counts)
         keep = np.repeat(~done, counts)
-        batch = pa.RecordBatch.from_arrays([*(pa.array(x[take]) for x in rows), pa.array(np.repeat(frequent, counts)[take])], names=names)
+        columns = [x[take] for x in (*rows, np.repeat(frequent, counts))]
+        batch = pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=names)
         return batch, [x[keep] for x in rows], long
 
     for batch in batches:
@@ -124,18 +126,24 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh[1:] = (new[0][1:] != new[0][:-1]) | (new[1][1:] != new[1][:-1])
         fresh[0] = last != (int(new[0][0]), int(new[1][0]))
         last = int(new[0][-1]), int(new[1][-1])
-        found, held, long_key = out([np.concatenate([h, x[fresh]]) for h, x in zip(held, new, strict=True)], long_key, False)
+        rows = [np.concatenate([h, x[fresh]]) for h, x in zip(held, new, strict=True)]
+        found, held, long_key = out(rows, long_key, False)
         yield found
     yield out(held, long_key, True)[0]
 
 
-def _members(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n_words: int, seed: int, percent: int) -> DataFrame:
+def _members(
+    docs: DataFrame, classes: DataFrame, wanted: DataFrame, n_words: int, seed: int, percent: int
+) -> DataFrame:
     """Rows (cid, n, sketch, shingles) of the wanted classes, from one document of each."""
-    chosen = classes.join(wanted, "cid", "left_semi").select(F.col("low").alias("_low"), F.col("low_chars").alias("_chars"), F.col("low_mark").alias("_mark"))
+    chosen = classes.join(wanted, "cid", "left_semi").select(
+        F.col("low").alias("_low"), F.col("low_chars").alias("_chars"), F.col("low_mark").alias("_mark")
+    )
     texts = docs.join(chosen, F.expr("id <=> _low and n_chars = _chars and mark = _mark"), "left_semi")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("cid", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+        lists = [("sketch", pa.binary()), ("shingles", pa.list_(pa.int64()))]
+        out = pa.schema([("cid", pa.int64()), ("n", pa.int64()), *lists])
 
         def rows() -> Iterator[tuple]:
             for _, s in _sets(batches, n_words, seed):
@@ -146,29 +154,33 @@ def _members(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n_words: in
     sets = texts.select("text").mapInArrow(run, "cid bigint, n bigint, sketch binary, shingles array<bigint>")
     # Rows that agree in id and text give a class twice.
     sets = sets.join(wanted, "cid", "left_semi")
-    return sets.groupBy("cid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("shingles").alias("shingles"))
+    return sets.groupBy("cid").agg(*(F.first(c).alias(c) for c in ("n", "sketch", "shingles")))
 
 
 def _rare_keys(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Rows (key, cid): the rarest shingles of classes for which frequent keys are too many."""
     few = keys.where("frequent").groupBy("cid", "spare").count().where(F.col("count") > F.greatest("spare", F.lit(0)))
-    exposed = sets.join(few.select("cid").distinct(), "cid", "left_semi").select("cid", "n", F.explode("shingles").alias("key"))
-    exposed = saved(exposed, "exposed-shingles")
+    exposed = sets.join(few.select("cid").distinct(), "cid", "left_semi")
+    exposed = saved(exposed.select("cid", "n", F.explode("shingles").alias("key")), "exposed-shingles")
     counts = exposed.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
     # A shingle of one class only is no key, but takes its place among the rarest.
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     shared = exposed.join(counts, "key")
     alone = exposed.groupBy("cid").agg(F.count("*").alias("all"))
-    own = shared.groupBy("cid").agg(F.count("*").alias("shared"), F.sort_array(F.collect_list(F.struct("df", "key"))).alias("ranked"), F.first("n").alias("n"))
-    own = own.join(alone, "cid").withColumn("left", prefix - (F.col("all") - F.col("shared")))
-    return own.where("left > 0").select("cid", F.explode(F.slice("ranked", F.lit(1), F.col("left").cast("int"))).alias("r")).select(
-        F.xxhash64("r.key", F.lit("rare")).alias("key"), "cid"
+    own = shared.groupBy("cid").agg(
+        F.count("*").alias("shared"),
+        F.sort_array(F.collect_list(F.struct("df", "key"))).alias("ranked"),
+        F.first("n").alias("n"),
     )
+    own = own.join(alone, "cid").withColumn("left", prefix - (F.col("all") - F.col("shared"))).where("left > 0")
+    rarest = own.select("cid", F.explode(F.slice("ranked", F.lit(1), F.col("left").cast("int"))).alias("r"))
+    return rarest.select(F.xxhash64("r.key", F.lit("rare")).alias("key"), "cid")
 
 
 def _one_key_for_each_company(keys: DataFrame) -> DataFrame:
     """Of keys that the same classes have, one; without keys that one class has."""
-    company = keys.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("cid").cast("decimal(20,0)")).alias("sum"))
+    known_by = F.sum(F.xxhash64("cid").cast("decimal(20,0)")).alias("sum")
+    company = keys.groupBy("key").agg(F.count("*").alias("n"), known_by)
     kept = company.where("n > 1").groupBy("n", "sum").agg(F.min("key").alias("key"))
     return keys.join(kept.select("key", "n"), "key")
 
@@ -208,12 +220,14 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def beside(rows: DataFrame, column: str, name: str, *more: str) -> DataFrame:
         for side in ("a", "b"):
-            other = sets.select(F.col("cid").alias(side), F.col(column).alias(f"{name}_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in more))
+            also = (F.col(c).alias(f"{c}_{side}") for c in more)
+            other = sets.select(F.col("cid").alias(side), F.col(column).alias(f"{name}_{side}"), *also)
             rows = rows.join(other, side)
         return rows
 
     near = saved(beside(pairs, "sketch", "sketch", "n").mapInArrow(by_sketch, "a bigint, b bigint"), "near-pairs")
-    return saved(beside(near, "shingles", "set").select("a", "b", "set_a", "set_b").mapInArrow(by_set, "a bigint, b bigint"), "links")
+    sets_of = beside(near, "shingles", "set").select("a", "b", "set_a", "set_b")
+    return saved(sets_of.mapInArrow(by_set, "a bigint, b bigint"), "links")
 
 
 _CELL = ["key", "i", "j"]
@@ -284,8 +298,11 @@ def similar_groups(
     while True:
         found = saved(_with_sets(rows, n_words, seed), "sets")
         first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "n_chars", "mark"))
-        classes = found.where("n > 0").groupBy("cid", "check", "n").agg(first.alias("first"), F.count("*").alias("size"))
-        classes = saved(classes.select("cid", "check", "n", "size", F.col("first.id").alias("low"), F.col("first.n_chars").alias("low_chars"), F.col("first.mark").alias("low_mark")), "classes")
+        classes = found.where("n > 0").groupBy("cid", "check", "n")
+        classes = classes.agg(first.alias("first"), F.count("*").alias("size"))
+        low = {"low": "first.id", "low_chars": "first.n_chars", "low_mark": "first.mark"}
+        named = (F.col(value).alias(name) for name, value in low.items())
+        classes = saved(classes.select("cid", "check", "n", "size", *named), "classes")
         # 64 bits stand for a class; should two classes share them, other hashes are taken.
         if classes.groupBy("cid").count().where("count > 1").isEmpty():
             break
@@ -310,20 +327,26 @@ def similar_groups(
     # Classes of one key in different components; a key of two classes is settled.
     open_ = companies.where("n > 2").join(component.withColumnRenamed("node", "cid"), "cid", "left")
     open_ = open_.withColumn("component", F.coalesce("component", "cid"))
-    mixed = open_.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_ = open_.join(mixed.select("key"), "key").join(sets.select("cid", F.col("n").alias("size"), "sketch"), "cid")
+    ends = F.min("component").alias("low"), F.max("component").alias("high")
+    unsettled = open_.groupBy("key").agg(*ends).where("low < high").select("key")
+    open_ = open_.join(unsettled, "key").join(sets.select("cid", F.col("n").alias("size"), "sketch"), "cid")
     blocks = F.ceil(F.col("n") / block).cast("int")
     open_ = open_.withColumn("own", F.pmod(F.xxhash64("cid"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))
     )
-    cells = open_.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "component", F.col("size").alias("n"), "sketch")
+    place = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    cells = open_.select("key", *place, "own", "cid", "component", F.col("size").alias("n"), "sketch")
     cells = cells.repartition(*_CELL).sortWithinPartitions(*_CELL)
     more = cells.mapInArrow(_open_pairs(percent), "a bigint, b bigint").distinct().join(stars, ["a", "b"], "left_anti")
     links = links.unionByName(_similar(saved(more, "open-pairs"), sets, percent))
 
     component = connected_components(links)
-    root = classes.join(component.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("component", "cid"))
-    order = F.struct(F.col("low").isNull().alias("last"), F.col("low").alias("id"), F.col("low_chars").alias("n_chars"), F.col("low_mark").alias("mark"))
+    root = classes.join(component.withColumnRenamed("node", "cid"), "cid", "left")
+    root = root.withColumn("root", F.coalesce("component", "cid"))
+    order = F.struct(
+        F.col("low").isNull().alias("last"), F.col("low").alias("id"),
+        F.col("low_chars").alias("n_chars"), F.col("low_mark").alias("mark"),
+    )
     first = root.groupBy("root").agg(F.min(order).alias("first"))
     groups = root.select("cid", "root").join(first, "root").select("cid", "first")
     # The classes of empty sets are left out: each such row is a group of its own.

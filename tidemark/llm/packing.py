@@ -167,7 +167,8 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int) -> list[Run]:
 
     def two_over(b: int, room: int, j: int) -> bool:
         """Whether two pieces longer than b fit into the room together."""
-        over = [x for x in lengths[bisect_right(lengths, b) : bisect_right(lengths, b) + 3] for _ in range(min(2, counts[x] - (x == j)))]
+        first = bisect_right(lengths, b)
+        over = [x for x in lengths[first : first + 3] for _ in range(min(2, counts[x] - (x == j)))]
         return len(over) > 1 and over[0] + over[1] <= room
 
     def fix(j: int) -> bool:
@@ -240,7 +241,9 @@ def plan(counts: dict[int, int], capacity: int) -> list[Run]:
     return reduce_by_dominance(counts, capacity) + best_fit(counts, capacity)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, order: Sequence[str] = ("id", "piece", "start", "ids_crc32")) -> DataFrame:
+def pack(
+    pieces: DataFrame, capacity: int = CAPACITY, order: Sequence[str] = ("id", "piece", "start", "ids_crc32")
+) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with a ``length`` of 1 to ``capacity``.
 
     The pieces must come from stored rows, for they are read three times.
@@ -285,8 +288,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, order: Sequence[str] = ("i
             k = place - start
             found = [base + k // each, offset + k % each * length]
             kept = [i for i, name in enumerate(batch.schema.names) if name != "_place"]
-            fields = [batch.schema.field(i) for i in kept] + [pa.field(c, pa.int64()) for c in ("sequence_id", "offset")]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in kept] + [pa.array(x) for x in found], schema=pa.schema(fields))
+            columns = [batch.column(i) for i in kept] + list(map(pa.array, found))
+            names = [batch.schema.names[i] for i in kept] + ["sequence_id", "offset"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kept = [f"`{c}`" for c in pieces.columns]
     schema = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes)

@@ -222,7 +222,8 @@ class PieceCodec:
 
         def finish(which: np.ndarray) -> None:
             whole = (rows[which] < merges.none) & (merges.rank[np.minimum(rows[which], merges.none)] != _NEVER)
-            for i, symbols, simple in zip(place[which].tolist(), rows[which].tolist(), whole.all(1).tolist(), strict=True):
+            ended = zip(place[which].tolist(), rows[which].tolist(), whole.all(1).tolist(), strict=True)
+            for i, symbols, simple in ended:
                 out[i] = tuple(symbols) if simple else self._with_bytes(symbols, words[i])
 
         while len(rows):

@@ -106,7 +106,8 @@ def _located(rows: DataFrame, name: str, pattern: str) -> DataFrame:
     found, ends = f"_{name}_found", f"_{name}_ends"
     rows = rows.withColumn(found, F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)))
     gaps = F.split("_text", pattern, -1)
-    steps = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: (F.length(g) + F.length(m)).cast("bigint"))
+    before = F.slice(gaps, F.lit(1), F.size(found))
+    steps = F.zip_with(found, before, lambda m, g: (F.length(g) + F.length(m)).cast("bigint"))
     none = F.array().cast("array<bigint>")
     # Hardly any text has matches; the others are not split.
     rows = rows.withColumn(f"_{name}_steps", F.when(F.size(found) > 0, steps).otherwise(none))
@@ -252,9 +253,10 @@ def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _listed(spans: str) -> Column:
-    return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
-    )
+    def spelled(s: Column) -> Column:
+        return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    return F.array_join(F.transform(spans, spelled), ",")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,9 +289,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """The rows of ``docs`` with every span of their text replaced by ``mark``."""
     pair = "array<struct<start:bigint,end:bigint>>"
-    start = F.struct(
-        F.lit(-1).cast("bigint").alias("from"), F.lit(-1).cast("bigint").alias("to"), F.array().cast(pair).alias("closed")
-    )
+    nowhere = F.lit(-1).cast("bigint")
+    start = F.struct(nowhere.alias("from"), nowhere.alias("to"), F.array().cast(pair).alias("closed"))
 
     def last(state: Column) -> Column:
         return F.array_append(state["closed"], F.struct(state["from"].alias("start"), state["to"].alias("end")))

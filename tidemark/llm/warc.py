@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved
+from tidemark.llm.common import in_parts, saved
 
 #: Bytes of an archive, about.
 ARCHIVE = 16 << 20
@@ -49,10 +49,13 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
     )
 
 
-def archive(pages: DataFrame, size: int = ARCHIVE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def archive(
+    pages: DataFrame, size: int = ARCHIVE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+) -> DataFrame:
     """Rows (file, id, record): the records of all pages, dealt by id to archives of about ``size`` bytes."""
     page_id = F.col(f"`{id_col}`").cast("bigint")
-    rows = pages.select(page_id.alias("id"), record(page_id, F.col(f"`{url_col}`"), F.col(f"`{html_col}`")).alias("record"))
+    text = record(page_id, F.col(f"`{url_col}`"), F.col(f"`{html_col}`"))
+    rows = pages.select(page_id.alias("id"), text.alias("record"))
     total = rows.agg(F.sum(F.octet_length("record").cast("bigint"))).first()[0] or 0
     files = max(1, -(-total // size))
     return rows.select(F.coalesce(F.pmod("id", F.lit(files)), F.lit(0)).alias("file"), "id", "record")
@@ -64,8 +67,9 @@ def leaves(records: DataFrame) -> DataFrame:
         "file", "id", F.octet_length("record").cast("bigint").alias("length"), F.sha2("record", 256).alias("digest")
     )
     # Unknown ids come first; equal records are interchangeable.
-    order = Window.partitionBy("file").orderBy(F.col("id").asc_nulls_first(), "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return hashed.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0))).select("file", "id", "offset", "length", "digest")
+    order = Window.partitionBy("file").orderBy(F.col("id").asc_nulls_first(), "digest")
+    ahead = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return hashed.select("file", "id", F.coalesce(ahead, F.lit(0)).alias("offset"), "length", "digest")
 
 
 @dataclass
@@ -76,6 +80,10 @@ class Tree:
     levels: list[DataFrame]
 
 
+def _spelled(child: Column) -> Column:
+    return F.concat_ws(":", child["start"].cast("string"), child["end"].cast("string"), child["digest"])
+
+
 def tree(found: DataFrame, ranges: tuple[int, ...] = RANGES) -> Tree:
     """The Merkle trees over the leaves of all archives."""
     below = found.withColumns({"start": F.col("offset"), "end": F.col("offset") + F.col("length")})
@@ -83,7 +91,7 @@ def tree(found: DataFrame, ranges: tuple[int, ...] = RANGES) -> Tree:
     for log2 in (*ranges, None):
         node = F.lit(0).cast("bigint") if log2 is None else F.shiftright("start", log2)
         children = F.sort_array(F.collect_list(F.struct("start", "end", "digest")))
-        spelled = F.transform("children", lambda c: F.concat_ws(":", c["start"].cast("string"), c["end"].cast("string"), c["digest"]))
+        spelled = F.transform("children", _spelled)
         nodes = (
             below.withColumn("node", node)
             .groupBy("file", "node")
@@ -110,8 +118,8 @@ def _unequal(one: DataFrame, other: DataFrame, inside: DataFrame | None, key: Co
 def audit(one: Tree, other: Tree, ranges: tuple[int, ...] = RANGES) -> DataFrame:
     """The records of ``one`` and ``other`` that do not agree: (file, id, offset, length, digest, found, status).
 
-    ``found`` is the hash in ``other``. A record with another hash at its offset is corrupt; one that stands elsewhere in
-    its archive has moved; others are missing or, if only in ``other``, extra. Offset, length and digest are
+    ``found`` is the hash in ``other``. A record with another hash at its offset is corrupt; one that stands elsewhere
+    in its archive has moved; others are missing or, if only in ``other``, extra. Offset, length and digest are
     those of ``one`` but for extra records.
     """
     inside = None
@@ -135,13 +143,15 @@ def audit(one: Tree, other: Tree, ranges: tuple[int, ...] = RANGES) -> DataFrame
     place = F.expr("x.file = y.file and x.offset = y.offset")
     status = F.expr("case when x.file is null then 'extra' when y.file is null then 'missing' else 'corrupt' end")
     changed = at_x.alias("x").join(at_y.alias("y"), place, "full").select(
-        *(F.coalesce(f"x.{c}", f"y.{c}").alias(c) for c in columns), F.col("y.digest").alias("found"), status.alias("status")
+        *(F.coalesce(f"x.{c}", f"y.{c}").alias(c) for c in columns),
+        F.col("y.digest").alias("found"),
+        status.alias("status"),
     )
     return changed.unionByName(moved)
 
 
 def fixity(records: DataFrame, replica: DataFrame, ranges: tuple[int, ...] = RANGES) -> DataFrame:
-    """Rows (file, id, offset, length, digest, status): every record of both, ``intact`` unless the audit says otherwise.
+    """Rows (file, id, offset, length, digest, status): every record of both, ``intact`` where the audit finds nothing.
 
     ``records`` and ``replica`` have (file, id, offset, length, digest), as ``leaves`` gives them.
     """
@@ -172,27 +182,34 @@ def read_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         if data[end : end + 4] != b"\r\n\r\n":
             raise ValueError(f"the record at offset {at} does not end at {end}")
         lines = (line.partition(b":") for line in head[1].splitlines())
-        yield at, {k.decode().strip(): v.decode("utf-8", "replace").strip() for k, _, v in lines}, data[head.end() : end]
+        headers = {k.decode().strip(): v.decode("utf-8", "replace").strip() for k, _, v in lines}
+        yield at, headers, data[head.end() : end]
         at = end + 4
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (path, offset, headers, content) of the uncompressed archives at a path. One task reads one archive at a time."""
+    """Rows (path, offset, headers, content) of the uncompressed archives at a path.
+
+    One task reads one archive at a time.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("path", pa.string()), ("offset", pa.int64()), ("headers", pa.map_(pa.string(), pa.string())), ("content", pa.binary())])
+        headers_type = pa.map_(pa.string(), pa.string())
+        out = pa.schema(
+            [("path", pa.string()), ("offset", pa.int64()), ("headers", headers_type), ("content", pa.binary())]
+        )
         for batch in batches:
             for name, data in zip(batch["path"], batch["content"], strict=True):
-                for offset, headers, content in read_records(data.as_py()):
-                    rows = [[name.as_py()], [offset], [list(headers.items())], [content]]
-                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(rows, out, strict=True)], schema=out)
+                records = read_records(data.as_py())
+                rows = ((name.as_py(), offset, list(headers.items()), content) for offset, headers, content in records)
+                yield from in_parts(rows, out, 100)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, "path string, offset bigint, headers map<string,string>, content binary")
 
 
 def damaged(records: DataFrame) -> DataFrame:
-    """A replica with faults that storage makes, by a rule on the record: some bytes change, some archives lose their tail.
+    """A replica with faults that storage makes, by a rule on the record: a byte of some of them changes.
 
     ``records`` has (file, id, record).
     """
@@ -216,12 +233,13 @@ _SQL_RECORD = (
 ORACLE_SQL = f"""
     WITH records AS (SELECT page_id, {_SQL_RECORD} AS record FROM pages),
     placed AS (
-        SELECT page_id, record, page_id % (SELECT greatest(1, ceil(sum(strlen(record)) / {ARCHIVE}.0))::BIGINT FROM records) AS file
-        FROM records
+        SELECT page_id, record, page_id % files AS file
+        FROM records, (SELECT greatest(1, ceil(sum(strlen(record)) / {ARCHIVE}.0))::BIGINT AS files FROM records)
     ),
     leaves AS (
         SELECT file, page_id, strlen(record) AS length, sha256(record) AS digest, md5(record)[1:2] = '00' AS sick,
-               coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+               (sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id ROWS UNBOUNDED PRECEDING)
+                - strlen(record))::BIGINT AS start,
                sum(strlen(record)) OVER (PARTITION BY file)::BIGINT AS total
         FROM placed
     )
