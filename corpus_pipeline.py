@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved, table
 from tidemark.llm.exact_dedup import drop_exact_copies
@@ -40,9 +39,7 @@ def similar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark; ``n_chars`` follows the text."""
-    changed = redact(docs.withColumn("_before", F.col("text")))
-    n_chars = F.when(F.col("text").eqNullSafe(F.col("_before")), F.col("n_chars")).otherwise(F.length("text"))
-    return changed.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).drop("_before")
+    return redact(docs, length_col="n_chars")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,8 +73,10 @@ def test_spans_equal_brute_force(spark):
 
 def test_redaction(spark):
     every = TEXTS + random_texts(200)
-    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(every)], "doc_id bigint, text string, lang string, start string")
-    got = redact(docs)
+    rows = [(i, t, "x", "y", -1, 7) for i, t in enumerate(every)]
+    names = "doc_id bigint, text string, _text string, _spans string, n int, _row int"
+    docs = spark.createDataFrame(rows, names)
+    got = redact(docs, length_col="n")
     assert got.columns == docs.columns
     for r in got.collect():
         text = every[r["doc_id"]]
@@ -86,7 +88,8 @@ def test_redaction(spark):
                 merged.append([start, end])
         for start, end in reversed(merged):
             text = text[:start] + "[secret]" + text[end:]
-        assert r["text"] == text
+        assert r["text"] == text and r["n"] == (len(text) if merged else -1)
+        assert (r["_text"], r["_spans"], r["_row"]) == ("x", "y", 7)
 
 
 def test_empty_table(spark):

@@ -286,8 +286,13 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
 
 
-def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
-    """The rows of ``docs`` with every span of their text replaced by ``mark``."""
+def redact(
+    docs: DataFrame, text_col: str = "text", mark: str = "[secret]", length_col: str | None = None
+) -> DataFrame:
+    """The rows of ``docs`` with every span of their text replaced by ``mark``.
+
+    ``length_col`` names a column that gets the new number of characters where the text has changed.
+    """
     pair = "array<struct<start:bigint,end:bigint>>"
     nowhere = F.lit(-1).cast("bigint")
     start = F.struct(nowhere.alias("from"), nowhere.alias("to"), F.array().cast(pair).alias("closed"))
@@ -304,18 +309,22 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> D
             F.when(joined | (state["from"] < 0), state["closed"]).otherwise(last(state)).alias("closed"),
         )
 
-    rows = with_spans(docs, text_col).withColumn("_spans", F.aggregate("_spans", start, step, last))
+    # The given columns wait in a struct, so that none of their names meets one used here.
+    given = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"), F.col(f"`{text_col}`").alias("_given"))
+    rows = with_spans(given, "_given").withColumn("_spans", F.aggregate("_spans", start, step, last))
     n = F.size("_spans")
     begins = F.transform(F.sequence(F.lit(0), n), lambda i: F.when(i == 0, 0).otherwise(F.get("_spans", i - 1)["end"]))
     ends = F.transform(
         F.sequence(F.lit(0), n), lambda i: F.when(i == n, F.length("_text")).otherwise(F.get("_spans", i)["start"])
     )
     between = F.zip_with(begins, ends, lambda b, e: F.substring("_text", b.cast("int") + 1, (e - b).cast("int")))
-    own = F.col(f"`{text_col}`")
     found = F.expr("exists(_spans, s -> s.start >= 0)")
-    return rows.withColumn(text_col, F.when(found, F.array_join(between, mark)).otherwise(own)).select(
-        *(f"`{c}`" for c in docs.columns)
-    )
+    rows = rows.withColumn("_new", F.when(found, F.array_join(between, mark)))
+    changed = {text_col: F.coalesce("_new", "_given")}
+    if length_col is not None:
+        kind = docs.schema[length_col].dataType
+        changed[length_col] = F.coalesce(F.length("_new").cast(kind), F.col(f"_row.`{length_col}`"))
+    return rows.select(*(changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def _sql_spans(kind: str, pattern: str) -> str:
