@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import column_info, describe, head, null_counts, value_counts, value_counts_multi
+from tidemark.operators.describe import _within
 
 
 ROWS = 8_001
@@ -56,6 +57,15 @@ def test_quartiles_of_any_values(spark, values, copies, step):
     assert found == pytest.approx(list(expected), rel=1e-9, abs=1e-12)
 
 
+def test_values_outside_the_brackets_generate_no_rows(spark):
+    rows = spark.range(1000).selectExpr("double(id) as a", "if(id % 2 = 0, double(id), null) as b")
+    found = _within(rows, [("a", 10.0, 19.0), ("b", 0.0, 9.0)])
+    assert sorted(map(tuple, found.collect())) == [(0, float(v)) for v in range(10, 20)] + [(1, float(v)) for v in range(0, 10, 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # The nulls are taken out of the array, not out of generated rows.
+    assert plan.startswith("Generate inline(") and "filter(array(" in plan
+
+
 def test_describe_with_a_hot_value(spark):
     df = spark.range(0, 300_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 1000).otherwise(F.col("id") * 7919 % 300_007).alias("x")

@@ -168,6 +168,16 @@ def _ranks(values: DataFrame, cuts: set[tuple[str, float]]) -> dict[tuple[str, f
     return {cut: (row[f"less{i}"], row[f"equal{i}"]) for i, cut in enumerate(ordered)}
 
 
+def _within(values: DataFrame, parts: list[tuple[str, float, float]]) -> DataFrame:
+    """Rows (part, value) for the values that lie in a part's bracket; other values generate none."""
+    cells = [
+        F.when(F.col(f"`{c}`").between(low, high), F.struct(F.lit(i).alias("part"), F.col(f"`{c}`").alias("value")))
+        for i, (c, low, high) in enumerate(parts)
+    ]
+    none = F.array().cast("array<struct<part:int,value:double>>")
+    return values.select(F.inline(F.array_compact(F.array(*cells)) if cells else none))
+
+
 def _pick(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
     """Read the order statistics off the brackets' values, equal values counted together first."""
     parts = list(dict.fromkeys((b.column, b.low, b.high) for b in brackets))
@@ -175,17 +185,7 @@ def _pick(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
         [(parts.index((b.column, b.low, b.high)), b.column, b.quarter, b.rank - b.below, b.share) for b in brackets],
         "part int, `column` string, quarter int, rank bigint, share double",
     )
-    # A row gives only the values that lie in a bracket, mostly none.
-    cells = [
-        F.when(F.col(f"`{c}`").between(low, high), F.struct(F.lit(i).alias("part"), F.col(f"`{c}`").alias("value")))
-        for i, (c, low, high) in enumerate(parts)
-    ]
-    none = F.array().cast("array<struct<part:int,value:double>>")
-    pool = (
-        values.select(F.inline(F.array_compact(F.array(*cells)) if cells else none))
-        .groupBy("part", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    pool = _within(values, parts).groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
     seen = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = pool.withColumn("upto", F.sum("n").over(seen))
 
