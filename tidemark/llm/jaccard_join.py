@@ -33,6 +33,8 @@ from tidemark.llm.jaccard import PERCENT, WORDS, shingle_sets
 FREQUENT = 32
 #: Classes compared with each other at a time.
 BLOCK = 1024
+#: Groups of shingles that are counted together to tell rare ones.
+BUCKETS = 1 << 16
 #: Keys handed on together.
 KEYS_AT_ONCE = 200_000
 
@@ -157,24 +159,50 @@ def _members(
     return sets.groupBy("cid").agg(*(F.first(c).alias(c) for c in ("n", "sketch", "shingles")))
 
 
+def _bucket_counts(sets: DataFrame) -> np.ndarray:
+    """In how many sets a shingle of each bucket occurs, counted into one array for each task."""
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            if "shingles" in batch.schema.names:
+                total += np.bincount(_buckets(batch["shingles"].flatten().to_numpy()), minlength=BUCKETS)
+            else:
+                for counts in batch["counts"]:
+                    total += np.frombuffer(counts.as_py(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["counts"])
+
+    parts = sets.select("shingles").mapInArrow(add, "counts binary")
+    few = parts.repartition(16).mapInArrow(add, "counts binary")
+    return sum((np.frombuffer(r["counts"], np.int64) for r in few.collect()), np.zeros(BUCKETS, np.int64))
+
+
+def _buckets(shingles: np.ndarray) -> np.ndarray:
+    return (jaccard.mixed(shingles.view(np.uint64)) % np.uint64(BUCKETS)).astype(np.int64)
+
+
 def _rare_keys(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Rows (key, cid): the rarest shingles of classes for which frequent keys are too many."""
+    """Rows (key, cid): the rarest shingles of classes for which frequent keys are too many.
+
+    A set of n and one that it links with share percent * n / 100 shingles at least. So each, ordered by any rule
+    that is the same for all, has one of them among its first n - percent * n / 100 + 1. The rule is how often
+    a shingle's bucket occurs: a poor count makes keys more frequent and loses nothing.
+    """
     few = keys.where("frequent").groupBy("cid", "spare").count().where(F.col("count") > F.greatest("spare", F.lit(0)))
-    exposed = sets.join(few.select("cid").distinct(), "cid", "left_semi")
-    exposed = saved(exposed.select("cid", "n", F.explode("shingles").alias("key")), "exposed-shingles")
-    counts = exposed.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
-    # A shingle of one class only is no key, but takes its place among the rarest.
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    shared = exposed.join(counts, "key")
-    alone = exposed.groupBy("cid").agg(F.count("*").alias("all"))
-    own = shared.groupBy("cid").agg(
-        F.count("*").alias("shared"),
-        F.sort_array(F.collect_list(F.struct("df", "key"))).alias("ranked"),
-        F.first("n").alias("n"),
-    )
-    own = own.join(alone, "cid").withColumn("left", prefix - (F.col("all") - F.col("shared"))).where("left > 0")
-    rarest = own.select("cid", F.explode(F.slice("ranked", F.lit(1), F.col("left").cast("int"))).alias("r"))
-    return rarest.select(F.xxhash64("r.key", F.lit("rare")).alias("key"), "cid")
+    exposed = saved(sets.join(few.select("cid").distinct(), "cid", "left_semi").select("cid", "shingles"), "exposed")
+    counts = _bucket_counts(exposed)
+
+    def rarest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cid, shingles in zip(batch["cid"], batch["shingles"], strict=True):
+                own = shingles.values.to_numpy()
+                order = np.lexsort((own, counts[_buckets(own)]))
+                first = own[order[: len(own) + percent * -len(own) // 100 + 1]]
+                found = jaccard.mixed(first.view(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+                cids = np.full(len(found), cid.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(cids)], names=["key", "cid"])
+
+    return exposed.mapInArrow(rarest, "key bigint, cid bigint")
 
 
 def _one_key_for_each_company(keys: DataFrame) -> DataFrame:
