@@ -186,7 +186,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     prints = saved(fingerprints(docs, id_col, text_col, huge), "fingerprints")
     same_print = ["fa", "fb", "n_bytes"]
     shared = prints.groupBy(*same_print).agg(F.count("*").alias("n")).where("n > 1 and n_bytes > 0")
-    wanted = prints.join(shared, same_print, "left_semi")
+    # Stored sums meet the rows in joins whose large partitions Spark can split.
+    wanted = prints.join(saved(shared, "shared-prints"), same_print, "left_semi")
     wrong = saved(false_matches(docs, wanted, id_col, text_col), "false-matches")
     return settle(prints, wrong)
 
@@ -204,7 +205,7 @@ def settle(prints: DataFrame, wrong: DataFrame) -> DataFrame:
     members = rows.groupBy(*key, *_KEY).agg(F.count("*").alias("copies"))
     # Most characters, then the smallest id, a null id last.
     best = F.max(F.struct("n_chars", F.col("id").isNotNull().alias("known"), F.bitwise_not("id").alias("down"), "mark"))
-    groups = members.groupBy(*key).agg(F.sum("copies").alias("group_size"), best.alias("best"))
+    groups = saved(members.groupBy(*key).agg(F.sum("copies").alias("group_size"), best.alias("best")), "groups")
     same = F.expr(" and ".join(f"m.{c} <=> g.{c}" for c in key))
     joined = members.alias("m").join(groups.alias("g"), same).select(
         *(f"m.{c}" for c in _KEY), F.bitwise_not("g.best.down").alias("keep_id"), "g.group_size", "g.best", "m.copies"

@@ -210,7 +210,8 @@ def _one_key_for_each_company(keys: DataFrame) -> DataFrame:
     known_by = F.sum(F.xxhash64("cid").cast("decimal(20,0)")).alias("sum")
     company = keys.groupBy("key").agg(F.count("*").alias("n"), known_by)
     kept = company.where("n > 1").groupBy("n", "sum").agg(F.min("key").alias("key"))
-    return keys.join(kept.select("key", "n"), "key")
+    # Stored sums meet the rows in joins whose large partitions Spark can split.
+    return keys.join(saved(kept.select("key", "n"), "kept-keys"), "key")
 
 
 def _numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -345,7 +346,7 @@ def similar_groups(
     # The class with most company is measured against the others.
     score = companies.groupBy("cid").agg(F.sum("n").alias("score"))
     scored = companies.join(score, "cid")
-    middle = scored.groupBy("key").agg(F.max(F.struct("score", "cid")).alias("middle"))
+    middle = saved(scored.groupBy("key").agg(F.max(F.struct("score", "cid")).alias("middle")), "middles")
     stars = companies.join(middle, "key").where("cid <> middle.cid")
     stars = stars.select(F.least("cid", "middle.cid").alias("a"), F.greatest("cid", "middle.cid").alias("b")).distinct()
     stars = saved(stars, "stars")
@@ -357,7 +358,7 @@ def similar_groups(
     open_ = open_.withColumn("component", F.coalesce("component", "cid"))
     ends = F.min("component").alias("low"), F.max("component").alias("high")
     unsettled = open_.groupBy("key").agg(*ends).where("low < high").select("key")
-    open_ = open_.join(unsettled, "key").join(sets.select("cid", F.col("n").alias("size"), "sketch"), "cid")
+    open_ = open_.join(saved(unsettled, "unsettled-keys"), "key").join(sets.select("cid", F.col("n").alias("size"), "sketch"), "cid")
     blocks = F.ceil(F.col("n") / block).cast("int")
     open_ = open_.withColumn("own", F.pmod(F.xxhash64("cid"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))
