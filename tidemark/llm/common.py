@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -90,3 +92,34 @@ def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(list(c), field.type) for c, field in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], key: Sequence[str]) -> Iterator[Iterator[pa.Table]]:
+    """For rows that come ordered by integer keys: the groups that each batch completes.
+
+    The last group of a batch may go on in the next and waits for it.
+    """
+
+    def cuts(rows: pa.Table) -> np.ndarray:
+        """Where a row is of another group than the one before."""
+        different = np.zeros(max(0, len(rows) - 1), bool)
+        for c in key:
+            values = rows[c].to_numpy()
+            different |= values[1:] != values[:-1]
+        return np.flatnonzero(different) + 1
+
+    def groups(rows: pa.Table) -> Iterator[pa.Table]:
+        bounds = [0, *cuts(rows).tolist(), len(rows)]
+        return (rows.slice(a, b - a) for a, b in pairwise(bounds) if b > a)
+
+    waiting: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        if waiting is not None:
+            rows = pa.concat_tables([waiting, rows])
+        ends = cuts(rows)
+        done = int(ends[-1]) if len(ends) else 0
+        yield groups(rows.slice(0, done))
+        waiting = rows.slice(done)
+    if waiting is not None:
+        yield groups(waiting)

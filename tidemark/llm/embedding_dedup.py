@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved
+from tidemark.llm.common import in_parts, saved, whole_groups
 from tidemark.llm.components import connected_components
 
 THRESHOLD = 0.98
@@ -103,7 +103,6 @@ def measured(ids, vectors, codes, sizes, left, right, table: int, threshold: flo
 
 def _cells(threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come ordered by cell; a cell that may go on in the next batch waits for it."""
         out = pa.schema([(c, pa.int64()) for c in ("cid", "links", "root")])
 
         def cell(rows: pa.Table) -> Iterator[tuple[int, int, int]]:
@@ -119,36 +118,12 @@ def _cells(threshold: float):
                 own == i, own == j, int(numbers("t")[0]), threshold,
             )
 
-        def found(rows: pa.Table) -> pa.RecordBatch:
-            bounds = [0, *(np.flatnonzero(_steps(rows)) + 1).tolist(), len(rows)]
-            got = [x for a, b in zip(bounds, bounds[1:], strict=False) if b - a > 1 for x in cell(rows.slice(a, b - a))]
-            columns = zip(*got, strict=True) if got else ([], [], [])
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=out)
-
-        waiting: pa.Table | None = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if waiting is not None:
-                rows = pa.concat_tables([waiting, rows])
-            ends = np.flatnonzero(_steps(rows))
-            done = int(ends[-1]) + 1 if len(ends) else 0
-            yield found(rows.slice(0, done))
-            waiting = rows.slice(done)
-        if waiting is not None:
-            yield found(waiting)
+        for groups in whole_groups(batches, _KEY):
+            yield from in_parts((x for rows in groups if len(rows) > 1 for x in cell(rows)), out)
 
     return run
 
 
-def _steps(rows: pa.Table) -> np.ndarray:
-    """Whether each row but the first is of another cell than the one before."""
-    different = np.zeros(max(0, len(rows) - 1), bool)
-    for c in _KEY:
-        values = rows[c].to_numpy()
-        different |= values[1:] != values[:-1]
-    return different
-
-
 def near_duplicates(
     vectors: DataFrame,
     threshold: float = THRESHOLD,
@@ -210,7 +185,8 @@ def near_duplicates(
         .join(component.withColumnRenamed("node", "cid"), "cid", "left")
         .withColumn("component", F.coalesce("component", "cid"))
     )
-    lowest = found.groupBy("component").agg(F.min("low").alias("component_id"))
+    # Stored, the smallest ids meet their rows in a join whose large partitions Spark can split.
+    lowest = saved(found.groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
     found = found.join(lowest, "component").select(
         *(F.col(c).alias(f"_{c}") for c in same),
         (F.coalesce(F.col("links"), F.lit(0)) + F.col("size") - 1).alias("n_links"),

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard
-from tidemark.llm.common import in_parts, known_rows, rows_that_stay, saved, utf8
+from tidemark.llm.common import in_parts, known_rows, rows_that_stay, saved, utf8, whole_groups
 from tidemark.llm.components import connected_components
 from tidemark.llm.jaccard import PERCENT, WORDS, shingle_sets
 
@@ -279,36 +279,15 @@ def _open_pairs(percent: int):
             b.append(np.maximum(cids[near], cids[x]))
         return np.concatenate([np.empty(0, np.int64), *a]), np.concatenate([np.empty(0, np.int64), *b])
 
-    def found(rows: pa.Table) -> pa.RecordBatch:
-        bounds = [0, *(np.flatnonzero(_steps(rows)) + 1).tolist(), len(rows)]
-        got = [cell(rows.slice(x, y - x)) for x, y in zip(bounds, bounds[1:], strict=False) if y - x > 1]
-        pairs = np.unique(np.concatenate([np.empty((2, 0), np.int64), *(np.stack(p) for p in got)], axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: pa.Table | None = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if waiting is not None:
-                rows = pa.concat_tables([waiting, rows])
-            ends = np.flatnonzero(_steps(rows))
-            done = int(ends[-1]) + 1 if len(ends) else 0
-            yield found(rows.slice(0, done))
-            waiting = rows.slice(done)
-        if waiting is not None:
-            yield found(waiting)
+        for groups in whole_groups(batches, _CELL):
+            found = [np.stack(cell(rows)) for rows in groups if len(rows) > 1]
+            pairs = np.unique(np.concatenate([np.empty((2, 0), np.int64), *found], axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     return run
 
 
-def _steps(rows: pa.Table) -> np.ndarray:
-    different = np.zeros(max(0, len(rows) - 1), bool)
-    for c in _CELL:
-        values = rows[c].to_numpy()
-        different |= values[1:] != values[:-1]
-    return different
-
-
 def similar_groups(
     docs: DataFrame,
     percent: int = PERCENT,
@@ -376,7 +355,7 @@ def similar_groups(
         F.col("low").isNull().alias("last"), F.col("low").alias("id"),
         F.col("low_chars").alias("n_chars"), F.col("low_mark").alias("mark"),
     )
-    first = root.groupBy("root").agg(F.min(order).alias("first"))
+    first = saved(root.groupBy("root").agg(F.min(order).alias("first")), "firsts")
     groups = root.select("cid", "root").join(first, "root").select("cid", "first")
     # The classes of empty sets are left out: each such row is a group of its own.
     joined = found.join(groups.withColumnRenamed("cid", "_cid"), F.expr("cid = _cid and n > 0"), "left")
