@@ -18,11 +18,11 @@ looked at. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_parts, known_rows, saved, utf8
@@ -105,17 +105,33 @@ def _fragments(texts: Iterable[bytes], anchors: Anchors, most: int = 500_000) ->
 
 
 def fragments(rows: DataFrame, length: int) -> DataFrame:
-    """Rows (id, n_chars, mark, start, places, at, anchor, content) of all fragments."""
+    """Rows (id, n_chars, mark, anchor, content, places, left, ats): the different fragments of each text.
+
+    ``ats`` has the anchor's places and ``left`` the bytes from a fragment's start to them. A text that repeats
+    itself thus has a fragment once.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
+        names = ["id", "n_chars", "mark", "anchor", "content", "places", "left", "ats"]
         for batch in batches:
-            for number, *columns in _fragments(utf8(batch["text"]), anchors):
-                own = [batch[c].take(pa.array(number)) for c in ("id", "n_chars", "mark")]
-                names = ["id", "n_chars", "mark", "start", "places", "at", "anchor", "content"]
-                yield pa.RecordBatch.from_arrays([*own, *map(pa.array, columns)], names=names)
-
-    return rows.mapInArrow(run, f"{_KEY}, start bigint, places bigint, at bigint, anchor bigint, content bigint")
+            for number, start, counts, at, anchor, content in _fragments(utf8(batch["text"]), anchors):
+                order = np.lexsort((at, content, anchor, number))
+                number, start, counts, at, anchor, content = (
+                    x[order] for x in (number, start, counts, at, anchor, content)
+                )
+                fresh = np.ones(len(at), bool)
+                fresh[1:] = False
+                for x in (number, anchor, content):
+                    fresh[1:] |= x[1:] != x[:-1]
+                first = np.flatnonzero(fresh)
+                ats = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int32()), pa.array(at))
+                own = [batch[c].take(pa.array(number[first])) for c in ("id", "n_chars", "mark")]
+                columns = [pa.array(x[first]) for x in (anchor, content, counts, at - start)]
+                yield pa.RecordBatch.from_arrays([*own, *columns, ats], names=names)
+
+    schema = f"{_KEY}, anchor bigint, content bigint, places bigint, left bigint, ats array<bigint>"
+    return rows.mapInArrow(run, schema)
 
 
 def repeated_places(fragments: list[bytes], counts: list[int], length: int, limit: int) -> list[np.ndarray]:
@@ -198,28 +214,34 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, shard: int = SHARD, limit: int = 8_000_000) -> DataFrame:
-    """Rows (id, n_chars, mark, from, to): byte ranges that repeated strings cover; they may overlap.
+    """Rows (id, n_chars, mark, spans): byte ranges (from, to) that repeated strings cover; they may overlap.
 
     ``rows`` has (id, n_chars, mark, text).
     """
     found = fragments(rows, length)
-    kinds = found.groupBy("anchor", "content").agg(F.count("*").alias("n"))
+    kinds = found.groupBy("anchor", "content").agg(F.sum(F.size("ats")).alias("n"))
     anchors = kinds.groupBy("anchor").agg(F.sum("n").alias("all"), F.count("*").alias("kinds")).where("all > 1")
-    repeats = saved(found.join(anchors.select("anchor", "kinds"), "anchor"), "repeated-anchors")
-    uniform = repeats.where("kinds = 1").select(
-        "id", "n_chars", "mark",
-        F.col("start").alias("from"), (F.col("start") + F.col("places") + length - 1).alias("to"),
-    )
+    # Stored, the anchors meet the fragments in a join whose large partitions Spark can split.
+    anchors = saved(anchors.select("anchor", "kinds"), "anchors")
+    repeats = saved(found.join(anchors, "anchor"), "repeated-anchors")
+    owner = ["id", "n_chars", "mark"]
+
+    def covered(start: Callable[[Column], Column], end: Callable[[Column], Column]) -> Column:
+        return F.transform("ats", lambda at: F.struct(start(at).alias("from"), end(at).alias("to"))).alias("spans")
+
+    whole = covered(lambda at: at - F.col("left"), lambda at: at - F.col("left") + F.col("places") + length - 1)
+    uniform = repeats.where("kinds = 1").select(*owner, whole)
 
     # One occurrence of each different fragment gives its bytes.
     differing = repeats.where("kinds > 1")
-    place = F.min(F.struct("id", "n_chars", "mark", "start", "places", "at"))
-    one = differing.groupBy("anchor", "content").agg(place.alias("f"), F.count("*").alias("n"))
+    place = F.min(F.struct(*owner, F.get("ats", F.lit(0)).alias("at"), "places", "left"))
+    one = differing.groupBy("anchor", "content").agg(place.alias("f"), F.sum(F.size("ats")).alias("n"))
+    start = F.col("f.at") - F.col("f.left")
     wanted = one.select(
         F.col("f.id").alias("_id"), F.col("f.n_chars").alias("_chars"), F.col("f.mark").alias("_mark"),
         F.struct(
-            "anchor", "content", "n", (F.col("f.at") - F.col("f.start")).alias("left"), F.col("f.start").alias("start"),
-            (F.col("f.start") + F.col("f.places") + length - 1).alias("stop"),
+            "anchor", "content", "n", F.col("f.left").alias("left"), start.alias("start"),
+            (start + F.col("f.places") + length - 1).alias("stop"),
         ).alias("w"),
     )
     wanted = wanted.groupBy("_id", "_chars", "_mark").agg(F.collect_list("w").alias("wanted"))
@@ -232,10 +254,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, shard: int = SHARD, li
     schema = "content bigint, anchor bigint, `from` bigint, `to` bigint"
     sorted_ = cut.mapInArrow(_sorted_shards(length, shard, limit), schema)
     relative = saved(sorted_, "sorted-spans")
-    spans = differing.join(relative, ["anchor", "content"]).select(
-        "id", "n_chars", "mark", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to")
-    )
-    return uniform.unionByName(spans)
+    part = covered(lambda at: at + F.col("from"), lambda at: at + F.col("to"))
+    return uniform.unionByName(differing.join(relative, ["anchor", "content"]).select(*owner, part))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -257,7 +277,7 @@ def remove_repeats(
     """
     rows = known_rows(docs, id_col, text_col)
     spans = repeated_spans(rows, length, **options)
-    per_text = spans.groupBy("id", "n_chars", "mark").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    per_text = spans.groupBy("id", "n_chars", "mark").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     renamed = {"id": "_id", "n_chars": "_chars", "mark": "_mark"}
     per_text = per_text.withColumnsRenamed(renamed)
     same = F.expr("id <=> _id and n_chars = _chars and mark = _mark")
