@@ -71,11 +71,12 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, *, pool_rows:
 def _describe(df: DataFrame, names: list[str], pool_rows: int) -> DataFrame:
     values = df.select(*(present(df, c).cast("double").alias(c) for c in names))
     summary = _summary(values, names)
-    brackets = _bracket(values, [b for s in summary for b in _quartiles(s)], pool_rows)
+    widest = [b for s in summary for b in _quartiles(s)]
+    brackets = _bracket(values, widest, pool_rows)
     facts = df.sparkSession.createDataFrame(
         summary, "`column` string, `count` bigint, mean double, std double, `min` double, `max` double"
     )
-    return facts.join(F.broadcast(_pick(values, brackets)), "column", "left").select(
+    return facts.join(F.broadcast(_pick(values, brackets, brackets != widest)), "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
@@ -168,24 +169,29 @@ def _ranks(values: DataFrame, cuts: set[tuple[str, float]]) -> dict[tuple[str, f
     return {cut: (row[f"less{i}"], row[f"equal{i}"]) for i, cut in enumerate(ordered)}
 
 
-def _within(values: DataFrame, parts: list[tuple[str, float, float]]) -> DataFrame:
-    """Rows (part, value) for the values that lie in a part's bracket; other values generate none."""
+def _within(values: DataFrame, parts: list[tuple[str, float, float]], narrow: bool = True) -> DataFrame:
+    """Rows (part, value) for the values that lie in a part's bracket; other values generate none.
+
+    Where the brackets hold all values but nulls (not ``narrow``), taking these out of the rows is cheaper.
+    """
     cells = [
         F.when(F.col(f"`{c}`").between(low, high), F.struct(F.lit(i).alias("part"), F.col(f"`{c}`").alias("value")))
         for i, (c, low, high) in enumerate(parts)
     ]
     none = F.array().cast("array<struct<part:int,value:double>>")
+    if not narrow and cells:
+        return values.select(F.inline(F.array(*cells))).where("part IS NOT NULL")
     return values.select(F.inline(F.array_compact(F.array(*cells)) if cells else none))
 
 
-def _pick(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
+def _pick(values: DataFrame, brackets: list[_Bracket], narrow: bool) -> DataFrame:
     """Read the order statistics off the brackets' values, equal values counted together first."""
     parts = list(dict.fromkeys((b.column, b.low, b.high) for b in brackets))
     targets = values.sparkSession.createDataFrame(
         [(parts.index((b.column, b.low, b.high)), b.column, b.quarter, b.rank - b.below, b.share) for b in brackets],
         "part int, `column` string, quarter int, rank bigint, share double",
     )
-    pool = _within(values, parts).groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
+    pool = _within(values, parts, narrow).groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
     seen = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = pool.withColumn("upto", F.sum("n").over(seen))
 

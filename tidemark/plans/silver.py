@@ -52,8 +52,10 @@ def clean(df: DataFrame, fields: Sequence[Field], tokens: Sequence[str] = NULL_T
 def _exactly(value: Column, kind: str) -> Column:
     """A text as a value of a type, null where that would change its value."""
     if kind in ("tinyint", "smallint", "int", "bigint"):
-        whole = F.regexp_replace(value, r"\.0*$", "")
-        return F.when(whole.rlike(r"^[+-]?\d+$"), whole.try_cast(kind))
+        whole = F.substring_index(value, ".", 1)
+        return F.when(value.rlike(r"^[+-]?\d+$"), value.try_cast(kind)).when(
+            value.rlike(r"^[+-]?\d+\.0*$"), whole.try_cast(kind)
+        )
     typed = value.try_cast(kind)
     if kind.startswith("decimal"):
         scale = int(kind.rstrip(") ").rpartition(",")[2]) if "," in kind else 0
