@@ -134,3 +134,66 @@ def test_held_out_accuracy(spark):
     good = F.expr("quality = 1 and toxic = 0")
     r = seen.agg(F.avg(F.when(good, F.col("kept").cast("int"))).alias("good"), F.avg(F.when(~good, F.col("kept").cast("int"))).alias("bad")).first()
     assert r["good"] > 0.98 and r["bad"] < 0.2, r
+
+
+def brute_lowest(text, ratios, window):
+    """By all windows of the whole text at once."""
+    words = split_words([text])
+    values = [math.fsum(ratios[b]) for b in x.ngram_buckets(words)[1].reshape(3, -1).T]
+    sums = [math.fsum(values[i : i + window]) for i in range(max(1, len(values) - window + 1))]
+    return (min(sums) if values else 0.0), len(sums)
+
+
+@pytest.mark.parametrize("window", [1, 2, 5])
+def test_lowest_windows_equal_brute_force(window):
+    ratios = np.random.default_rng(4).normal(size=x.BUCKETS)
+    texts = [t.encode() for t in TEXTS] + [b"one two one two three " * 40]
+    got = list(x.lowest_windows(enumerate(texts), ratios, window))
+    for (key, lowest, n), text in zip(got, texts, strict=True):
+        expected = brute_lowest(text, ratios, window)
+        assert (lowest, n) == (pytest.approx(expected[0]), expected[1])
+        assert next(x.lowest_windows([(key, text)], ratios, window)) == (key, lowest, n)
+
+
+def test_windows_go_on_over_sections(monkeypatch):
+    ratios = np.random.default_rng(5).normal(size=x.BUCKETS)
+    text = " ".join(f"w{i}x" for i in range(200)).encode()
+    whole = list(x.lowest_windows([(0, text), (1, b"a b")], ratios, 3))
+    monkeypatch.setattr(x.sections, "__defaults__", (12,))
+    # A pair of shapes at a cut may differ, the n-grams of a word may not: leave pairs out of the ratios.
+    plain = x.ngram_buckets
+    monkeypatch.setattr(x, "ngram_buckets", lambda w: (plain(w)[0], np.where(np.arange(3 * len(w.start)) < 2 * len(w.start), plain(w)[1], 0)))
+    cut = list(x.lowest_windows([(0, text), (1, b"a b")], ratios, 3))
+    monkeypatch.setattr(x.sections, "__defaults__", (500_000,))
+    assert cut == list(x.lowest_windows([(0, text), (1, b"a b")], ratios, 3))
+    assert [n for *_, n in whole] == [n for *_, n in cut] == [198, 1]
+
+
+def clean_kept(spark, known, joined=0):
+    """For clean documents whose labels the fit does not get: (length, kept), shortest first; with ``joined`` also
+    whether each text made of so many of them stays."""
+    directory = SMOKE_DIR.replace("sf0.001", "sf0.1")
+    labels = table(spark, directory, "labels")
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    good = "min(quality) = 1 and max(toxic) = 0"
+    judged = labels.groupBy("doc_id").agg(F.expr(good).alias("good"))
+    unseen = judged.where("good").join(labels.where(known), "doc_id", "left_anti")
+    texts = [(r["doc_id"], r["text"]) for r in docs.join(unseen, "doc_id").orderBy("doc_id").collect()]
+    long_ones = [(-1 - k, "\n".join(t for _, t in texts[k : k + joined])) for k in range(0, len(texts) - joined, joined)] if joined else []
+    rows = docs.unionByName(spark.createDataFrame(long_ones, docs.schema)) if joined else docs
+    kept = {r["id"]: r["kept"] for r in select(rows, labels.where(known)).collect()}
+    return sorted((len(t), kept[i]) for i, t in texts), [kept[i] for i, _ in long_ones]
+
+
+def test_long_clean_texts_stay_with_a_small_target(spark):
+    """The target has 2 % of the rows."""
+    found, _ = clean_kept(spark, "doc_id % 8 = 0")
+    longest = [kept for _, kept in found[-len(found) // 10 :]]
+    assert sum(longest) > 0.97 * len(longest)
+    assert sum(kept for _, kept in found) > 0.98 * len(found)
+
+
+def test_clean_texts_joined_stay(spark):
+    found, long_ones = clean_kept(spark, "doc_id % 2 = 0", 100)
+    assert len(long_ones) >= 10 and all(long_ones)
+    assert sum(kept for _, kept in found) > 0.99 * len(found)

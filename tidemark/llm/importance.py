@@ -9,10 +9,17 @@ again) of two words in a row. A model holds, for each of 2**18 buckets, in how m
 its n-grams occurs, so a repeated line counts once.
 
 Two things differ from plain resampling, because this is a filter that must not lose clean documents or let length
-outvote a few bad words. The log weight sums the ``worst`` lowest ratios of a document (None: all). Weights
-are raised to the power ``sharpness`` before the noise, and k is the number of documents whose weight
-reaches the value that best parts wanted from unwanted labelled documents, of which the target has not seen
-the half that is measured.
+outvote a few bad words. The log ratio is summed over all n-grams of each ``window`` words in a row, said again or
+not, and a document weighs as its lowest window. The lowest of many windows is lower by chance: the log weight adds
+``by_length`` for each factor e in the number of windows, the slope that the measured wanted documents
+show, so that a long clean text weighs as a short one does. Counts are smoothed by documents of the target,
+however few it has. Weights are raised to the power ``sharpness`` before the noise, and k is the number of
+documents whose weight reaches the value that best parts wanted from unwanted labelled documents, of which the
+target has not seen the half that is measured; of values whose errors differ by chance only, the lowest.
+
+``fit`` without a window weighs by the ``worst`` lowest ratios of a document's different buckets (None: all), which
+fall as a text grows, smooths by documents of all kinds and takes the value of fewest errors. ``select`` and
+``keep_selected`` use windows.
 
 Labels: wanted means quality 1 and toxic 0. Of several labels for one id the worst counts; null labels are ignored.
 Without wanted or without unwanted labels every document is kept. A null text counts as empty; an empty text has weight
@@ -21,6 +28,7 @@ Without wanted or without unwanted labels every document is kept. A null text co
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -39,6 +47,9 @@ WORST = 2
 SHARPNESS = 20.0
 #: Documents added to each bucket, so that one of few occurrences proves little.
 SMOOTHING = 10.0
+#: With windows: words in a row that are weighed together, and documents of the target added to each bucket.
+WINDOW = 2
+TARGET_SMOOTHING = 2.0
 _TARGET, _GOOD, _BAD = 1, 2, 3
 
 _LETTER = np.zeros(256, bool)
@@ -123,6 +134,51 @@ def document_buckets(items: Iterable[tuple[object, bytes]]) -> Iterator[tuple[ob
                 rest = []
 
 
+def _lowest(values: np.ndarray, window: int) -> float:
+    """The lowest sum of so many values in a row (of all, if there are fewer); added in order, so that it is exact."""
+    n = max(1, len(values) - window + 1)
+    sums = values[:n].copy()
+    for j in range(1, min(window, len(values))):
+        sums += values[j : j + n]
+    return float(sums.min())
+
+
+def lowest_windows(
+    items: Iterable[tuple[object, bytes]], ratios: np.ndarray, window: int
+) -> Iterator[tuple[object, float, int]]:
+    """Each document with its lowest window's log ratio (0 without words) and its number of windows, at least 1.
+
+    Long texts are read in sections; windows go on over the cuts.
+    """
+
+    def parts() -> Iterator[tuple[tuple[object, bool], bytes]]:
+        for key, text in items:
+            open_ = None
+            for part in sections(text):
+                if open_ is not None:
+                    yield (key, False), open_
+                open_ = part
+            yield (key, True), open_
+
+    ending, lowest, n_words = np.zeros(0), math.inf, 0
+    for group in grouped(parts()):
+        text, bucket = ngram_buckets(split_words([part for _, part in group]))
+        kinds = ratios[bucket].reshape(3, -1)
+        values = kinds[0] + kinds[1] + kinds[2]
+        own = text[: len(values)]
+        bounds = np.searchsorted(own, np.arange(len(group) + 1))
+        for i, ((key, last), _) in enumerate(group):
+            n_words += int(bounds[i + 1] - bounds[i])
+            here = np.concatenate([ending, values[bounds[i] : bounds[i + 1]]])
+            if len(here) >= window or (last and n_words < window and len(here)):
+                lowest = min(lowest, _lowest(here, window))
+            if last:
+                yield key, lowest if n_words else 0.0, max(1, n_words - window + 1)
+                ending, lowest, n_words = ending[:0], math.inf, 0
+            else:
+                ending = here[max(0, len(here) - window + 1) :]
+
+
 @dataclass
 class Labels:
     """Ids in order, and what each is: for the target, or to measure by (good, bad)."""
@@ -156,9 +212,18 @@ def _items(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int | None, byte
         yield from zip(batch["id"].to_pylist(), utf8(batch["text"]), strict=True)
 
 
-def log_ratios(docs: DataFrame, labels: Labels, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
+def log_ratios(
+    docs: DataFrame,
+    labels: Labels,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    target_smoothing: float | None = None,
+) -> np.ndarray:
     """For each bucket, the log of its share in the target over its share in all documents.
 
+    ``target_smoothing`` documents of the target are added to each bucket, and as many of all documents as the target
+    is smaller; without it, ``SMOOTHING`` of all documents.
+
     Every task counts into two arrays and passes on the buckets it has met, so that what is shuffled is bounded by
     the number of buckets for each task.
     """
@@ -183,7 +248,8 @@ def log_ratios(docs: DataFrame, labels: Labels, id_col: str = "doc_id", text_col
     if not target.any():
         return np.zeros(BUCKETS)
     share = target.sum() / raw.sum()
-    return np.log((target + SMOOTHING * share) / target.sum()) - np.log((raw + SMOOTHING) / raw.sum())
+    added = SMOOTHING if target_smoothing is None else target_smoothing / share
+    return np.log((target + added * share) / target.sum()) - np.log((raw + added) / raw.sum())
 
 
 def gumbel(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -201,6 +267,8 @@ class Weigher:
     worst: int | None = WORST
     sharpness: float = SHARPNESS
     seed: int = 17
+    window: int | None = None
+    by_length: float = 0.0
 
     def weight(self, buckets: np.ndarray) -> float:
         found = self.ratios[buckets]
@@ -208,31 +276,46 @@ class Weigher:
             found = np.partition(found, self.worst - 1)[: self.worst]
         return float(np.sort(found).sum())
 
-    def weigh(self, items: Iterable[tuple[int | None, bytes]]) -> Iterator[tuple[int | None, float, float]]:
-        """(id, log weight, key)."""
-        for key, buckets in document_buckets(items):
-            weight = self.weight(buckets)
-            noise = float(gumbel(np.array([-1 if key is None else key]), self.seed)[0])
-            yield key, weight, self.sharpness * weight + noise
+    def parts(self, items: Iterable[tuple[int | None, bytes]]) -> Iterator[tuple[int | None, float, float, float]]:
+        """(id, lowest window, log of the number of windows, noise)."""
+        if self.window is None:
+            found = ((key, self.weight(buckets), 1) for key, buckets in document_buckets(items))
+        else:
+            found = lowest_windows(items, self.ratios, self.window)
+        for key, lowest, n in found:
+            yield key, lowest, math.log(n), float(gumbel(np.array([-1 if key is None else key]), self.seed)[0])
+
+    def weighed(self, lowest, spread, noise):
+        """(log weight, key), of numbers or of columns: both give the same to the last bit."""
+        weight = lowest + spread * self.by_length
+        return weight, weight * self.sharpness + noise
 
 
 def weighed(
     docs: DataFrame, weigher: Weigher, labels: Labels, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Rows (id, log_weight, key, label), one for each row of ``docs``."""
+    """Rows (id, lowest, spread, noise, label), one for each row of ``docs``; see ``Weigher.parts``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = [("log_weight", pa.float64()), ("key", pa.float64()), ("label", pa.int32())]
-        out = pa.schema([("id", pa.int64()), *numbers])
-        yield from in_parts(((*row, labels.of(row[0])) for row in weigher.weigh(_items(batches))), out)
+        numbers = [(c, pa.float64()) for c in ("lowest", "spread", "noise")]
+        out = pa.schema([("id", pa.int64()), *numbers, ("label", pa.int32())])
+        yield from in_parts(((*row, labels.of(row[0])) for row in weigher.parts(_items(batches))), out)
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, "id bigint, log_weight double, key double, label int")
+    schema = "id bigint, lowest double, spread double, noise double, label int"
+    return _rows(docs, id_col, text_col).mapInArrow(run, schema)
 
 
-def best_cut(rows: DataFrame) -> float:
+def fall_by_length(rows: DataFrame) -> float:
+    """By how much the lowest window of measured wanted documents falls for each factor e in their windows."""
+    slope = rows.where(f"label = {_GOOD}").agg(F.regr_slope("lowest", "spread")).first()[0]
+    return max(0.0, -round(slope, 6)) if slope is not None else 0.0
+
+
+def best_cut(rows: DataFrame, by_chance: bool = False) -> float:
     """The log weight that parts measured good from bad with the fewest errors; the lowest of equals.
 
-    Weights are counted in steps of 1/64.
+    With ``by_chance`` all count as equal whose errors exceed the fewest by no more than these's square root, what
+    another draw of labels may differ by. Weights are counted in steps of 1/64.
     """
     measured = rows.where(f"label in ({_GOOD}, {_BAD})")
     steps = measured.groupBy(F.floor(F.col("log_weight") * 64).alias("step"), "label").count()
@@ -243,12 +326,13 @@ def best_cut(rows: DataFrame) -> float:
     if not good or not bad:
         return float("-inf")
     errors = sum(bad.values())  # with everything kept
-    best, cut = errors, min([*good, *bad])
+    found = [(min([*good, *bad]), errors)]
     for step in sorted({*good, *bad}):
         errors += good.get(step, 0) - bad.get(step, 0)
-        if errors < best:
-            best, cut = errors, step + 1
-    return cut / 64
+        found.append((step + 1, errors))
+    least = min(n for _, n in found)
+    most = least + math.sqrt(least) if by_chance else least
+    return next(cut for cut, n in found if n <= most) / 64
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> float:
@@ -295,34 +379,51 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ``rows`` has (id, log_weight, key, label), one for each row of ``docs``. Options are those of ``Weigher``.
     """
     known = read_labels(labels)
-    weigher = Weigher(log_ratios(docs, known, id_col, text_col), **options)
-    rows = saved(weighed(docs, weigher, known, id_col, text_col), "weights")
-    cut = best_cut(rows) if weigher.ratios.any() else float("-inf")
+    smoothing = TARGET_SMOOTHING if options.get("window") is not None else None
+    weigher = Weigher(log_ratios(docs, known, id_col, text_col, smoothing), **options)
+    found = saved(weighed(docs, weigher, known, id_col, text_col), "weights")
+    if weigher.window is not None:
+        weigher.by_length = fall_by_length(found)
+    weight, key = weigher.weighed(F.col("lowest"), F.col("spread"), F.col("noise"))
+    rows = found.select("id", weight.alias("log_weight"), key.alias("key"), "label")
+    cut = best_cut(rows, weigher.window is not None) if weigher.ratios.any() else float("-inf")
     k = rows.where(F.col("log_weight") >= cut).count()
     least = kth_largest(rows, "key", k) if k else float("inf")
     return Selection(weigher, known, least, rows)
 
 
-def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def select(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int | None = WINDOW,
+    **options,
+) -> DataFrame:
     """Rows (id, log_weight, key, kept), one for each row of ``docs``."""
-    found = fit(docs, labels, id_col, text_col, **options)
+    found = fit(docs, labels, id_col, text_col, window=window, **options)
     return found.rows.select("id", "log_weight", "key", (F.col("key") >= found.least_key).alias("kept"))
 
 
 def keep_selected(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int | None = WINDOW,
+    **options,
 ) -> DataFrame:
     """The rows of ``docs`` that are selected, with all their columns.
 
     The rows are weighed once more where they are read, which spares a shuffle of all texts.
     """
-    found = fit(docs, labels, id_col, text_col, **options)
+    found = fit(docs, labels, id_col, text_col, window=window, **options)
     weigher, least = found.weigher, found.least_key
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             items = zip(batch[id_col].cast(pa.int64()).to_pylist(), utf8(batch[text_col]), strict=True)
-            kept = [key >= least for *_, key in weigher.weigh(items)]
+            kept = [weigher.weighed(*found)[1] >= least for _, *found in weigher.parts(items)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
