@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, secrets, vector_codes, warc
+from tidemark.llm import divergence, embedding_dedup, secrets, vector_codes, warc
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.importance import select
@@ -95,6 +95,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, secrets.ORACLE_SQL),
     "op2_jaccard_join": (op2_jaccard_join, None),
@@ -107,4 +111,5 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_importance_resampling": (op10_importance_resampling, None),
     "op11_vector_codes": (op11_vector_codes, vector_codes.ORACLE_SQL),
+    "op12_source_divergence": (op12_source_divergence, divergence.ORACLE_SQL),
 }
