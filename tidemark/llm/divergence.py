@@ -309,7 +309,8 @@ ORACLE_SQL = rf"""
         FROM groups JOIN kept USING (lang) JOIN vocabulary USING (lang) LEFT JOIN totals USING (lang, source)
              LEFT JOIN counts USING (lang, source, term)
     ),
-    lang_counts AS (SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total FROM counts GROUP BY ALL),
+    lang_sums AS (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL),
+    lang_counts AS (SELECT lang, term, n, sum(n) OVER (PARTITION BY lang) AS total FROM lang_sums),
     lang_priced AS (
         SELECT lang, term, 1 + ({SCALE}::HUGEINT * (n + {SMOOTHING})) // (total + {SMOOTHING} * v) AS q
         FROM lang_counts JOIN vocabulary USING (lang)
