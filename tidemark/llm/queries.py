@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import divergence, embedding_dedup, secrets, vector_codes, warc
-from tidemark.llm.common import table
+from tidemark.llm import chat, divergence, embedding_dedup, secrets, vector_codes, warc
+from tidemark.llm.common import saved, table
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.importance import select
 from tidemark.llm.jaccard_join import similar_groups
@@ -99,6 +99,13 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and a hostile one, read back from their stored formatted texts."""
+    columns = ["conv_id", "turn", "role", "text"]
+    turns = table(spark, sf_dir, "conversations").select(*columns).unionByName(chat.hostile_rows(spark))
+    return chat.read_back(saved(chat.format_turns(turns), "formatted"))
+
+
 ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, secrets.ORACLE_SQL),
     "op2_jaccard_join": (op2_jaccard_join, None),
@@ -112,4 +119,5 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "op10_importance_resampling": (op10_importance_resampling, None),
     "op11_vector_codes": (op11_vector_codes, vector_codes.ORACLE_SQL),
     "op12_source_divergence": (op12_source_divergence, divergence.ORACLE_SQL),
+    "op13_chat_formatting": (op13_chat_formatting, chat.ORACLE_SQL),
 }
