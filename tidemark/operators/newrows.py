@@ -14,6 +14,7 @@ from pyspark.sql.types import (
 )
 
 from tidemark.operators.dedupe import dedupe
+from tidemark.operators.keybitmap import MOST_BITS, bitmap_for
 from tidemark.sources.csv import MALFORMED
 
 # Upper bound for the batch's keys, counted before duplicates are removed, up to which they are broadcast.
@@ -109,6 +110,7 @@ def unstored_rows(
     profile: KeyProfile,
     *,
     broadcast_key_bytes: int = BROADCAST_KEY_BYTES,
+    bitmap_bits: int = MOST_BITS,
 ) -> DataFrame:
     """One row per key that has no stored row.  ``batch`` must hold no null keys.
 
@@ -121,7 +123,9 @@ def unstored_rows(
     before the batch is shuffled to drop duplicates.
 
     Large batch: duplicates are dropped first, which leaves one row per key and task
-    before the shuffle; the anti-join then uses that same partitioning by key.
+    before the shuffle; the anti-join then uses that same partitioning by key.  Of the
+    history only rows that pass a bitmap of the batch's keys are shuffled, which matters where
+    ranges do not tell the keys apart (hashed ids); a batch with too many keys for ``bitmap_bits`` goes without.
     """
     names = [f"`{c}`" for c in key]
     stored = reduce(DataFrame.where, profile.may_hold(), history).select(*names)
@@ -129,4 +133,7 @@ def unstored_rows(
         wanted = F.broadcast(batch.select(*names))
         known = F.broadcast(stored.join(wanted, on=list(key), how="left_semi").distinct())
         return dedupe(new_rows(batch, known, key), key, prefer)
+    bitmap = bitmap_for(profile.rows, [stored.schema[c].dataType for c in key], bitmap_bits) if bitmap_bits else None
+    if bitmap is not None:
+        stored = bitmap.thin_out(stored, batch.select(*names), key)
     return new_rows(dedupe(batch, key, prefer), stored, key)

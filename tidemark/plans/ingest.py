@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.dedupe import dedupe
+from tidemark.operators.keybitmap import MOST_BITS
 from tidemark.operators.newrows import BROADCAST_KEY_BYTES, profile_keys, sound_rows, unstored_rows
 from tidemark.operators.sinks import append, overwrite
 from tidemark.sources.csv import MALFORMED, MalformedRows
@@ -77,6 +78,7 @@ def ingest(
     *,
     rejects_uri: str | None = None,
     broadcast_key_bytes: int = BROADCAST_KEY_BYTES,
+    bitmap_bits: int = MOST_BITS,
     read_once: bool = False,
 ) -> IngestResult:
     """Append to ``uri`` the batch rows whose key is not stored there, one row per key.
@@ -88,7 +90,7 @@ def ingest(
     ``rejects_uri`` they replace what that path holds, so give each batch its own.  Malformed lines without
     ``rejects_uri`` raise ``MalformedRows``, before anything is written.
 
-    The batch is looked at two or three times.  ``read_once`` keeps it on the executors' disks after the first,
+    The batch is looked at two or three times, large ones once more for the bitmap of their keys.  ``read_once`` keeps it on the executors' disks after the first,
     which pays for input that is costly to read, such as CSV, where every look parses all columns.
 
     One writer per table: two runs at the same time may both add the same key.
@@ -97,8 +99,9 @@ def ingest(
         kept = batch.persist(StorageLevel.DISK_ONLY)
         try:
             return ingest(
-                spark, kept, spec, uri, rejects_uri=rejects_uri, broadcast_key_bytes=broadcast_key_bytes
-            )
+                spark, kept, spec, uri, rejects_uri=rejects_uri, broadcast_key_bytes=broadcast_key_bytes,
+                bitmap_bits=bitmap_bits,
+            )
         finally:
             kept.unpersist()
     if spec.schema is not None:
@@ -125,8 +128,9 @@ def ingest(
         fresh = dedupe(keyed, spec.key, spec.preference())
     else:
         fresh = unstored_rows(
-            keyed, history, spec.key, spec.preference(), profile, broadcast_key_bytes=broadcast_key_bytes
-        )
+            keyed, history, spec.key, spec.preference(), profile,
+            broadcast_key_bytes=broadcast_key_bytes, bitmap_bits=bitmap_bits,
+        )
     if rejects_uri is not None:
         if profile.rejected:
             overwrite(batch.where(~sound), rejects_uri)
