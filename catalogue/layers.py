@@ -10,7 +10,9 @@ from tidemark.functions import money, to_amount
 from tidemark.operators import dedupe
 from tidemark.plans import Field, clean, gold, ignored_values, ingest, split_rejects, with_load_columns
 from tidemark.plans.gold import month_of
+from tidemark.plans.increment import read_silver, refresh_fact, refresh_silver
 from tidemark.sources import read_csv, read_history
+from tidemark.tables import TableSpec
 from tidemark.workspace import fresh_dir
 
 
@@ -96,6 +98,63 @@ def silver_optional_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ignored_values(clean(untidy, _PART_FIELDS), ["p_partkey"])
 
 
+_RAW_ORDERS = TableSpec(
+    name="raw orders",
+    key=("o_orderkey",),
+    partition_by=("month",),
+    schema=(
+        "o_orderkey string, o_custkey string, o_orderstatus string, o_totalprice string, o_orderdate string, month string"
+    ),
+)
+_ORDER_FIELDS = (
+    Field("o_orderkey", "bigint", required=True),
+    Field("o_custkey", "bigint"),
+    Field("o_orderstatus", upper=True),
+    Field("o_totalprice", "double", required=True),
+    Field("o_orderdate", "timestamp_ntz", required=True),
+    Field("month"),
+)
+
+
+class _DailyLayers:
+    """Raw and cleaned orders that take in one load after the other."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, unusable: Column) -> None:
+        self.spark = spark
+        self.raw, self.silver, self.rejects = (fresh_dir(spark, label) for label in ("raw", "silver", "rejects"))
+        untidy = orders(spark, sf_dir).select(
+            F.concat(F.lit(" "), F.col("o_orderkey").cast("string")).alias("o_orderkey"),
+            F.col("o_custkey").cast("string"),
+            F.lower("o_orderstatus").alias("o_orderstatus"),
+            F.when(unusable, "?").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+            F.col("o_orderdate").cast("string"),
+            "month",
+        )
+        late = ~F.expr("o_orderdate < '1998-01-01'")
+        # The last load brings all rows again.
+        self.loads = {"first": untidy.where(~late), "second": untidy.where(late & (F.col("o_orderstatus") != "p")), "third": untidy}
+
+    def load(self, name: str) -> DataFrame:
+        batch = with_load_columns(self.loads[name], name, from_files=False)
+        ingest(self.spark, batch, _RAW_ORDERS.with_load_columns(), self.raw)
+        refresh_silver(self.spark, self.raw, self.silver, _RAW_ORDERS, _ORDER_FIELDS, rejects_uri=self.rejects)
+        return read_silver(self.spark, self.silver, _RAW_ORDERS, _ORDER_FIELDS)
+
+
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned and rejected orders after three loads, each followed by a refresh that takes up what is new."""
+    layers = _DailyLayers(spark, sf_dir, F.col("o_orderpriority") == "5-LOW")
+    for name in layers.loads:
+        cleaned = layers.load(name)
+    kept = cleaned.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", F.lit("").alias("problem"))
+    refused = spark.read.parquet(layers.rejects).select(
+        F.trim("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint"), "o_orderstatus",
+        F.lit(None).cast("double").alias("o_totalprice"), F.col("o_orderdate").cast("timestamp_ntz"),
+        F.array_join("_problems", ",").alias("problem"),
+    )
+    return kept.unionByName(refused)
+
+
 # --- gold --------------------------------------------------------------------------------------
 
 
@@ -137,6 +196,24 @@ def fact_sales_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_doubles(found, "revenue")
 
 
+def fact_sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after three loads; each rebuilds only the months that its new rows touch."""
+    layers, uri = _DailyLayers(spark, sf_dir, F.lit(False)), fresh_dir(spark, "fact")
+    customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+
+    def build(rows: DataFrame) -> DataFrame:
+        return gold.sales_by_month(
+            rows, customers, nations, date="o_orderdate", status="o_orderstatus", value=money("o_totalprice"),
+            customer=("o_custkey", "c_custkey"), place=("c_nationkey", "n_nationkey"), place_name="n_name",
+        )
+
+    for name in layers.loads:
+        refresh_fact(spark, layers.load(name), build, uri, {"month": F.col("month")})
+    schema = "place string, status string, orders bigint, revenue decimal(38,2), month string"
+    found = read_history(spark, uri, schema)
+    return _as_doubles(found, "revenue")
+
+
 def _net_price() -> Column:
     return money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
 
@@ -171,6 +248,12 @@ def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _NET_SQL = "l_extendedprice::DECIMAL(12,2) * (1 - l_discount::DECIMAL(4,2))"
+_SALES_SQL = """
+    SELECT strftime(o_orderdate, '%Y-%m') AS month, n_name AS place, o_orderstatus AS status,
+           count(*) AS orders, sum(o_totalprice::DECIMAL(12,2))::DOUBLE AS revenue
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+    GROUP BY 1, 2, 3
+"""
 
 ENTRIES: Entries = {
     "bronze_load_history": (
@@ -200,6 +283,15 @@ ENTRIES: Entries = {
         UNION ALL SELECT *, 'invalid: o_totalprice' FROM untidy WHERE o_totalprice = '?'
         """,
     ),
+    "silver_incremental": (
+        silver_incremental,
+        """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, '' AS problem FROM orders
+        WHERE o_orderpriority IS DISTINCT FROM '5-LOW'
+        UNION ALL SELECT o_orderkey, o_custkey, lower(o_orderstatus), NULL, o_orderdate, 'invalid: o_totalprice' FROM orders
+        WHERE o_orderpriority = '5-LOW'
+        """,
+    ),
     "silver_optional_problems": (
         silver_optional_problems,
         """
@@ -223,15 +315,8 @@ ENTRIES: Entries = {
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
         """,
     ),
-    "fact_sales_month": (
-        fact_sales_month,
-        """
-        SELECT strftime(o_orderdate, '%Y-%m') AS month, n_name AS place, o_orderstatus AS status,
-               count(*) AS orders, sum(o_totalprice::DECIMAL(12,2))::DOUBLE AS revenue
-        FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
-        GROUP BY 1, 2, 3
-        """,
-    ),
+    "fact_sales_month": (fact_sales_month, _SALES_SQL),
+    "fact_sales_incremental": (fact_sales_incremental, _SALES_SQL),
     "fact_returns": (
         fact_returns,
         f"""

@@ -15,12 +15,16 @@ from __future__ import annotations
 import argparse
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from tidemark.operators import column_info, describe, head, null_counts, overwrite, value_counts_multi
-from tidemark.plans import Field, clean, ingest, shop, split_rejects, with_load_columns
-from tidemark.sources import read_csv, read_csv_loose, read_history, stream_csv
+from tidemark.plans import Field, ingest, shop, with_load_columns
+from tidemark.plans.increment import (
+    REFINED, last_refined, new_since, read_silver, rebuild_silver, refresh_fact, refresh_silver,
+)
+from tidemark.plans.marks import read_mark, write_mark
+from tidemark.sources import read_csv, read_csv_loose, stream_csv
 from tidemark.streaming import ingest_available
 from tidemark.tables import RETURNS, SALES, STOCK, TableSpec
 from tidemark.workspace import fresh_dir
@@ -119,39 +123,49 @@ def profile(
 def refine(
     spark: SparkSession, bronze: str, silver: str, gold: str, *, rebuild: bool = False, sales_schema: str | None = None
 ) -> None:
-    """Clean the stored rows and build the star schema.
+    """Bring the cleaned tables and the star schema up to date with the rows that came since the last run.
 
-    Stored rows never change, so only rows whose key is not cleaned yet are added; ``rebuild`` cleans
-    all of them again, which a changed rule needs.
+    Stored rows never change, so only rows whose key is not cleaned yet are taken up, and only what they touch in the
+    star schema is written; no table is ever empty meanwhile. ``rebuild`` replaces every table by all stored rows
+    cleaned anew, which a changed rule needs; readers should wait for it.
     """
-
-    def load(spec: TableSpec, fit: DataFrame, rejects: DataFrame) -> DataFrame:
-        uri = f"{silver}/{spec.name}"
-        if rebuild:
-            print(spec.name, "cleaned:", overwrite(fit, uri, spec.partition_by, spec.key))
-        else:
-            print(ingest(spark, fit, replace(spec, schema=_ddl(fit.schema)), uri))
-        print(spec.name, "rejected:", overwrite(rejects, f"{silver}/{spec.name}_rejects"))
-        return read_history(spark, uri, fit.schema)
-
+    fields = dict(shop.FIELDS)
+    tables = [RETURNS, STOCK]
+    if sales_schema:
+        sales = replace(SALES, schema=sales_schema)
+        columns = StructType.fromDDL(sales_schema)
+        fields[SALES.name] = [Field(f.name, f.dataType.simpleString(), required=f.name in SALES.key) for f in columns]
+        tables.append(sales)
     cleaned = {}
-    for spec in (RETURNS, STOCK):
-        stored = read_history(spark, f"{bronze}/{spec.name}", spec.schema)
-        if stored is None:
+    for spec in tables:
+        uri, rejects = f"{silver}/{spec.name}", f"{silver}/{spec.name}_rejects"
+        refresh = rebuild_silver if rebuild else refresh_silver
+        result = refresh(spark, f"{bronze}/{spec.name}", uri, spec, fields[spec.name], rejects_uri=rejects)
+        if result is None:
             raise SystemExit(f"nothing was ingested into {bronze}/{spec.name}")
-        cleaned[spec.name] = load(spec, *shop.silver(stored, spec))
-    if sales_schema:
-        stored = read_history(spark, f"{bronze}/{SALES.name}", sales_schema)
-        if stored is None:
-            raise SystemExit(f"nothing was ingested into {bronze}/{SALES.name}")
-        fields = [Field(f.name, f.dataType.simpleString(), required=f.name in SALES.key) for f in stored.schema]
-        load(SALES, *split_rejects(clean(stored, fields)))
-    for name, rows in shop.star(cleaned[RETURNS.name], cleaned[STOCK.name]).items():
-        print(name, overwrite(rows, f"{gold}/{name}"))
-
-
-def _ddl(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        print(result)
+        cleaned[spec.name] = read_silver(spark, uri, spec, fields[spec.name])
+
+    returns, stock = cleaned[RETURNS.name], cleaned[STOCK.name]
+    high = {name: last_refined(rows) for name, rows in cleaned.items()}
+    if rebuild:
+        for name, rows in shop.star(returns.drop(REFINED), stock.drop(REFINED)).items():
+            print(name, overwrite(rows, f"{gold}/{name}"))
+        print("fato_devolucoes_mes", overwrite(shop.returns_per_month(returns), f"{gold}/fato_devolucoes_mes", ["mes"]))
+        if high[RETURNS.name] is not None:
+            write_mark(spark, f"{gold}/fato_devolucoes_mes", "refined", high[RETURNS.name])
+    else:
+        new = [
+            new_since(rows, read_mark(spark, gold, spec.name), high[spec.name]).drop(REFINED)
+            for spec, rows in ((RETURNS, returns), (STOCK, stock))
+        ]
+        for name, rows in shop.star(*new).items():
+            print(ingest(spark, rows, TableSpec(name, shop.STAR_KEYS[name]), f"{gold}/{name}"))
+        months = refresh_fact(spark, returns, shop.returns_per_month, f"{gold}/fato_devolucoes_mes", shop.month_directory())
+        print("fato_devolucoes_mes", months)
+    for spec in (RETURNS, STOCK):
+        if high[spec.name] is not None:
+            write_mark(spark, gold, spec.name, high[spec.name])
 
 
 if __name__ == "__main__":

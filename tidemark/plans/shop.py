@@ -67,6 +67,34 @@ def star(returns: DataFrame, stock: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+#: The keys of the tables of ``star``. Their rows follow from single cleaned rows, which never change.
+STAR_KEYS = {
+    "dim_produto": ("produto_id",),
+    "dim_cliente": ("cliente_id",),
+    "dim_data": ("date_key",),
+    "fato_devolucoes": ("devolucao_id",),
+    "fato_estoque": ("produto_id",),
+}
+
+
+def month_directory() -> dict[str, Column]:
+    """Where a return's rows of ``returns_per_month`` lie."""
+    return {"mes": gold.month_of("data_devolucao")}
+
+
+def returns_per_month(returns: DataFrame) -> DataFrame:
+    """Returns, pieces and value per month and product; the month is the directory."""
+    found = gold.returns_by_month(
+        returns, date="data_devolucao", product="produto_id",
+        quantity=F.col("quantidade_devolvida"), value=F.col("valor_devolvido"),
+    )
+    return found.select(
+        F.col("product").alias("produto_id"), F.col("returned_lines").alias("devolucoes"),
+        F.col("returned_quantity").alias("quantidade"), F.col("returned_value").alias("valor"),
+        F.col("month").alias("mes"),
+    )
+
+
 def returns_by(facts: DataFrame, groups: dict[str, Column]) -> DataFrame:
     """Returns, pieces and value per group, such as reason or month."""
     totals = {"pieces": F.col("quantidade_devolvida"), "value": F.col("valor_devolvido")}
