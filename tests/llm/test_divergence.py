@@ -54,7 +54,7 @@ def corpus(seed, n, sources, words=60, langs=("en", "de", None, "")):
     return rows
 
 
-@pytest.mark.parametrize("block,tile", [(1 << 16, 4), (7, 1), (20, 3)])
+@pytest.mark.parametrize("block,tile", [(1 << 12, 4), (7, 1), (20, 3)])
 def test_equals_brute_force(spark, block, tile):
     rows = corpus(1, 700, 6)
     assert found(spark, rows, block=block, tile=tile, least_docs=10, top=5) == brute(rows, 10, 5)

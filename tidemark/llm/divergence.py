@@ -37,7 +37,7 @@ SCALE = 1_000_000_000
 #: Terms listed for each group.
 TOP = 50
 #: Kept terms in a block, about.
-BLOCK = 1 << 16
+BLOCK = 1 << 12
 #: Sources in a tile.
 TILE = 4
 #: Different (group, term) counts that a task holds before it passes them on.
