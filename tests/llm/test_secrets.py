@@ -1,13 +1,14 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 from math import log2
 
 import pytest
 
 from tidemark.llm import secrets
-from tidemark.llm.secrets import ALLOWED, CLASSES, KINDS, find, redact
+from tidemark.llm.secrets import ALLOWED, CLASSES, KINDS, PLACEHOLDERS, SEPARATOR, UUID, WORDS, find, redact
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -23,12 +24,16 @@ def brute(text):
     extra = []
     for kind in CLASSES:
         for m in re.finditer(kind.pattern, text):
-            if re.fullmatch("|".join(ALLOWED), m[0]):
-                continue
+            judged = re.sub(UUID, WORDS, m[0])
+            clear, at = set(), 0  # places of characters in allowed parts
+            for part in re.split(SEPARATOR, judged):
+                if re.fullmatch("|".join(ALLOWED), part) or any(p in part for p in PLACEHOLDERS):
+                    clear |= set(range(at, at + len(part)))
+                at += len(part) + 1
             w, spans = kind.window, []
-            for i in range(len(m[0]) - w + 1):
-                counts = Counter(m[0][i : i + w]).values()
-                if log2(w) - sum(c * log2(c) for c in counts) / w >= kind.bits - 1e-6:
+            for i in range(len(judged) - w + 1):
+                counts = Counter(judged[i : i + w]).values()
+                if clear.isdisjoint(range(i, i + w)) and log2(w) - sum(c * log2(c) for c in counts) / w >= kind.bits - 1e-6:
                     if spans and m.start() + i <= spans[-1][1]:
                         spans[-1][1] = m.start() + i + w
                     else:
@@ -49,7 +54,8 @@ TEXTS = [
     "a" * 23 + "g", "a" * 24, "deadbeef" * 3 + "G" + "0" * 30, "secret=" + "deadbeef" * 4, f"漢 {RANDOM} 漢", RANDOM + "." + RANDOM[::-1],
     "DEADBEEF01234567FEDCBA9876543210", "1234567890" * 5, "Donaudampfschifffahrtsgesellschaftskapitaen",
     "123e4567-e89b-12d3-a456-426614174000 0A1B2C3D-e89b-12d3-a456-426614174000", "A" * 60 + RANDOM + "b1" * 40 + RANDOM[:30], RANDOM + "EXAMPLE",
-    "password=" * 300, ("tok " + RANDOM[:40] + "\n") * 600, "token=" + RANDOM * 40, "password : x" + RANDOM,
+    f"docs/example/{RANDOM[:40]}", f"example_key={RANDOM[:40]}", f"{RANDOM}/XXXX/{RANDOM[::-1]}", f"v1/user-123e4567-e89b-12d3-a456-426614174000/{RANDOM[:30]}",
+    f"{RANDOM[:23]}/word/{RANDOM[:23]}", f"123456/{RANDOM[:24]}/abc1234", "password=" * 300, ("tok " + RANDOM[:40] + "\n") * 600, "token=" + RANDOM * 40, "password : x" + RANDOM,
 ]
 
 
@@ -92,6 +98,43 @@ def test_redaction(spark):
         assert (r["_text"], r["_spans"], r["_row"]) == ("x", "y", 7)
 
 
+@pytest.mark.parametrize("text", [f"docs/example/{RANDOM[:40]}", f"example_key={RANDOM[:40]}", f"key/{RANDOM}/XXXX"])
+def test_words_beside_a_key_do_not_hide_it(spark, text):
+    (row,) = find(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    assert "entropy_base64" in row["spans"]
+
+
+def _seconds(spark, text, scan):
+    begun = time.perf_counter()
+    scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    return time.perf_counter() - begun
+
+
+MEGABYTE = 1 << 20
+LONG = {
+    "path": "ab1/" * (MEGABYTE // 4), "dashes": "a-" * (MEGABYTE // 2), "letter": "z" * MEGABYTE, "camel": "AbcDef" * (MEGABYTE // 6),
+    "base64": "".join(random.Random(5).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=MEGABYTE)),
+    "hex": "".join(random.Random(6).choices("0123456789abcdef", k=MEGABYTE)), "assignments": "token=abcdef " * 5_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_a_megabyte_of_anything(spark, name):
+    docs = spark.createDataFrame([(1, LONG[name])], "doc_id bigint, text string")
+    (row,) = find(docs).collect()
+    found = {"base64": "entropy_base64", "hex": "hex:0:1048576", "assignments": "assign"}.get(name)
+    assert (found in row["spans"]) if found else row["spans"] == ""
+    (row,) = redact(docs).collect()
+    assert (row["text"] == LONG[name]) == (found is None)
+
+
+def test_time_grows_with_length(spark):
+    run = LONG["base64"]
+    _seconds(spark, run[:10_000], find)
+    short, long = (min(_seconds(spark, run[:n], find) for _ in range(2)) for n in (1 << 17, 1 << 18))
+    assert long < 2.5 * short
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert find(docs).collect() == [] and redact(docs).collect() == []

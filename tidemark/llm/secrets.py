@@ -3,12 +3,14 @@
 Known forms are found by pattern. Beyond them, a window of fixed length slides over every candidate string of a
 character class. The counts of its characters change by one that comes and one that goes, and with them the sum of
 c * log2(c), which gives the window's Shannon entropy. Windows at or above the class's limit are joined
-into spans, unless the candidate is on the allow-list (plain numbers, words and names, UUIDs, placeholders,
-alphabets) or the span lies inside a known form.
-
-All of this is column expressions over one row: nothing is shuffled and no Python runs. Positions count code points,
-ends are exclusive. Null counts as an empty text, which has no spans. Rows may repeat; other columns are kept by
-``redact`` and left out by ``find``.
+into spans. The allow-list judges the parts of a candidate between ``+ / _ = -``: a part that is a plain number, a word or
+name, or holds a placeholder or alphabet ends the window, and so does a UUID; what stands beside it is still looked
+at. Spans inside a known form are left out.
+
+All of this is column expressions over one row: nothing is shuffled and no Python runs. Patterns repeat single
+characters only, never groups, so that they need no stack, and time grows with a string's length however long it is.
+Positions count code points, ends are exclusive. Null counts as an empty text, which has no spans. Rows may repeat;
+other columns are kept by ``redact`` and left out by ``find``. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -55,22 +57,21 @@ CLASSES = (
     CharacterClass("entropy_hex", "0-9A-Fa-f", 24, 3.0),
     CharacterClass("entropy_base64", "A-Za-z0-9+/_=-", 24, 4.0),
 )
-#: Candidates that fit one of these as a whole are no secrets.
-ALLOWED = (
-    r"[0-9]+",
-    r"[A-Za-z+/_=-]+",
-    r"(?:[A-Za-z]+[0-9]{0,4}[+/_=-]+)*[A-Za-z]+[0-9]{0,4}",
-    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-    r".*(?:EXAMPLE|example|XXXX|xxxx|0123456789|ABCDEFGH|abcdefgh).*",
-)
+#: What separates the parts of a candidate, and the parts that are no secrets.
+SEPARATOR = "[+/_=-]"
+ALLOWED = (r"[0-9]+", r"[A-Za-z]{3,}[0-9]{0,4}")
+PLACEHOLDERS = ("EXAMPLE", "example", "XXXX", "xxxx", "0123456789", "ABCDEFGH", "abcdefgh")
+UUID = "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+#: Words as long as a UUID's parts, which stand in for one.
+WORDS = "aaaaaaaa-aaaa-aaaa-aaaa-aaaaaaaaaaaa"
 KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
 _BLOCK = 256
 
 
-def _running_sums(values: Column) -> Column:
-    """The sum up to and with each number of an array.
+def _running(values: Column, add: Callable[[Column, Column], Column], zero: int) -> Column:
+    """The sum, or what ``add`` makes, of the numbers of an array up to and with each.
 
-    Appending copies an array, so the sums are made in blocks and these put together.
+    Appending copies an array, so the results are made in blocks and these put together.
     """
     blocks = F.when(F.size(values) == 0, F.array().cast("array<array<bigint>>")).otherwise(
         F.transform(
@@ -78,26 +79,30 @@ def _running_sums(values: Column) -> Column:
             lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)),
         )
     )
+    nothing = F.lit(zero).cast("bigint").alias("all")
 
     def inside(block: Column) -> Column:
-        start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<bigint>").alias("sums"))
         return F.aggregate(
             block,
-            start,
-            lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.array_append(s["sums"], s["sum"] + x).alias("sums")),
+            F.struct(nothing, F.array().cast("array<bigint>").alias("each")),
+            lambda s, x: F.struct(add(s["all"], x).alias("all"), F.array_append(s["each"], add(s["all"], x)).alias("each")),
         )
 
     def shifted(done: Column, part: Column) -> Column:
-        ahead = done["sum"]
+        ahead = done["all"]
         return F.struct(
-            (ahead + part["sum"]).alias("sum"),
-            F.array_append(done["parts"], F.transform(part["sums"], lambda x: x + ahead)).alias("parts"),
+            add(ahead, part["all"]).alias("all"),
+            F.array_append(done["parts"], F.transform(part["each"], lambda x: add(ahead, x))).alias("parts"),
         )
 
-    start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<array<bigint>>").alias("parts"))
+    start = F.struct(nothing, F.array().cast("array<array<bigint>>").alias("parts"))
     return F.aggregate(F.transform(blocks, inside), start, shifted, lambda s: F.flatten(s["parts"]))
 
 
+def _running_sums(values: Column) -> Column:
+    return _running(values, lambda a, b: a + b, 0)
+
+
 def _located(rows: DataFrame, name: str, pattern: str) -> DataFrame:
     """Adds array ``name`` of (start, end, found) of the leftmost non-overlapping matches in ``_text``.
 
@@ -133,90 +138,165 @@ def _with_kind(spans: Column, kind: str) -> Column:
     )
 
 
-def random_windows(candidate: Column, kind: CharacterClass) -> Column:
-    """The spans (start, end) of a string in which some window has the class's entropy.
+def allowed_places(candidate: Column) -> Column:
+    """A string as long as the candidate: a blank where a character is in an allowed part, else an x."""
+    fits = "^(?:" + "|".join(ALLOWED) + ")$|" + "|".join(PLACEHOLDERS)
+    parts = F.transform(
+        F.split(candidate, SEPARATOR, -1), lambda p: F.repeat(F.when(p.rlike(fits), " ").otherwise("x"), F.length(p))
+    )
+    return F.array_join(parts, "x")
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is used.
+
+    An aggregate over nothing hands its start to its last step as it is; a transform would copy the result.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, use)
+
+
+def _touching_joined(spans: Column) -> Column:
+    """Sorted spans, those that touch or overlap as one."""
+    starts = F.filter(spans, lambda s, i: F.coalesce(F.get(spans, i - 1)["end"] < s["start"], F.lit(True)))
+    ends = F.filter(spans, lambda s, i: F.coalesce(F.get(spans, i + 1)["start"] > s["end"], F.lit(True)))
+    return F.zip_with(starts, ends, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end")))
+
+
+def random_windows(candidate: Column, places: Column, kind: CharacterClass) -> Column:
+    """The spans (start, end) of a string in which some window without a blank in ``places`` has the class's entropy.
 
     The state holds the counts of the window's characters, by their place among the string's different
-    characters; a step changes two of them.
+    characters, several packed into one number; a step changes two of them. An allowed part starts the window anew.
     """
-    letters = F.split(candidate, "")
-    places = "array<struct<start:bigint,end:bigint>>"
+    spans = "array<struct<start:bigint,end:bigint>>"
     weight = F.array(*(F.lit(w) for w in kind.weights))
     width = kind.window
+    bits = width.bit_length()
+    packed = 62 // bits
+
+    def count(counts: Column, code: Column) -> Column:
+        word = F.call_function("shiftright", F.get(counts, code["word"]), code["shift"])
+        return word.bitwiseAND((1 << bits) - 1).cast("int")
 
     def steps(parts: Column) -> Column:
-        codes, n_kinds = parts["codes"], parts["n_kinds"]
+        codes, none = parts["codes"], parts["none"]
         zero = F.struct(
-            F.array_repeat(F.lit(0), n_kinds).alias("counts"),
+            none.alias("counts"),
             F.lit(0).cast("bigint").alias("sum"),
+            F.lit(0).alias("run"),
             F.lit(-1).cast("bigint").alias("from"),
             F.lit(-1).cast("bigint").alias("to"),
-            F.array().cast(places).alias("closed"),
+            F.array().cast(spans).alias("closed"),
         )
 
         def step(state: Column, i: Column) -> Column:
-            """Character i, from 0, comes in; character i - width goes out."""
-            comes = F.element_at(codes, i + 1)
-            goes = F.when(i >= width, F.element_at(codes, F.greatest(i - width + 1, F.lit(1)))).otherwise(F.lit(0))
-            counts = F.transform(
-                state["counts"],
-                lambda c, k: c + F.when(k + 1 == comes, 1).otherwise(0) - F.when(k + 1 == goes, 1).otherwise(0),
-            )
-            old = F.element_at(state["counts"], comes)
-            gain = F.when(comes == goes, F.lit(0)).otherwise(
-                F.get(weight, old + 1)
-                - F.get(weight, old)
-                + F.when(
-                    goes > 0,
-                    F.get(weight, F.element_at(state["counts"], F.greatest(goes, F.lit(1))) - 1)
-                    - F.get(weight, F.element_at(state["counts"], F.greatest(goes, F.lit(1)))),
-                ).otherwise(F.lit(0))
-            )
-            total = (state["sum"] + gain).cast("bigint")
-            hit = (i >= width - 1) & (total <= kind.most)
-            begins = (i - width + 1).cast("bigint")
-            joined = begins <= state["to"]
-            opened = state["from"] >= 0
-            return F.struct(
-                counts.alias("counts"),
-                total.alias("sum"),
-                F.when(hit & ~(joined & opened), begins).otherwise(state["from"]).alias("from"),
-                F.when(hit, (i + 1).cast("bigint")).otherwise(state["to"]).alias("to"),
-                F.when(
-                    hit & opened & ~joined,
-                    F.array_append(state["closed"], F.struct(state["from"].alias("start"), state["to"].alias("end"))),
+            """Character i, from 0, comes in; if the window is full, character i - width goes out."""
+
+            def counted(moved: Column) -> Column:
+                comes, goes = moved["comes"], moved["goes"]
+                more = count(state["counts"], comes)
+                less = count(state["counts"], goes)
+                gain = F.get(weight, more + 1) - F.get(weight, more)
+                loss = F.when(goes.isNull(), 0).otherwise(F.get(weight, less) - F.get(weight, less - 1))
+                same = F.coalesce(comes == goes, F.lit(False))
+                counts = F.transform(
+                    state["counts"],
+                    lambda c, k: c
+                    + F.when(k == comes["word"], comes["unit"]).otherwise(0)
+                    - F.when(k == goes["word"], goes["unit"]).otherwise(0),
                 )
-                .otherwise(state["closed"])
-                .alias("closed"),
-            )
+                return _bound(
+                    F.struct(
+                        F.when(same, state["sum"]).otherwise(state["sum"] + gain - loss).cast("bigint").alias("sum"),
+                        F.when(same, state["counts"]).otherwise(counts).alias("counts"),
+                        F.least(state["run"] + 1, F.lit(width)).alias("run"),
+                    ),
+                    advanced,
+                )
+
+            def advanced(now: Column) -> Column:
+                hit = (now["run"] >= width) & (now["sum"] <= kind.most)
+                begins = (i - width + 1).cast("bigint")
+                joined = begins <= state["to"]
+                opened = state["from"] >= 0
+                closed = F.struct(state["from"].alias("start"), state["to"].alias("end"))
+                return F.struct(
+                    now["counts"].alias("counts"),
+                    now["sum"].alias("sum"),
+                    now["run"].alias("run"),
+                    F.when(hit & ~(joined & opened), begins).otherwise(state["from"]).alias("from"),
+                    F.when(hit, (i + 1).cast("bigint")).otherwise(state["to"]).alias("to"),
+                    F.when(hit & opened & ~joined, F.array_append(state["closed"], closed))
+                    .otherwise(state["closed"])
+                    .alias("closed"),
+                )
+
+            comes = F.element_at(codes, i + 1)
+            full = state["run"] >= width
+            goes = F.when(full, F.element_at(codes, F.greatest(i - width + 1, F.lit(1))))
+            emptied = F.struct(
+                none.alias("counts"), zero["sum"].alias("sum"), zero["run"].alias("run"),
+                state["from"].alias("from"), state["to"].alias("to"), state["closed"].alias("closed"),
+            )
+            moved = F.struct(comes.alias("comes"), goes.alias("goes"))
+            return F.when(comes["word"] < 0, emptied).otherwise(_bound(moved, counted))
 
         def close(state: Column) -> Column:
             last = F.struct(state["from"].alias("start"), state["to"].alias("end"))
             return F.when(state["from"] >= 0, F.array_append(state["closed"], last)).otherwise(state["closed"])
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step, close)
+        def block(b: Column) -> Column:
+            """The windows that end in a block; those before only fill its first one."""
+            first = F.greatest(b * _BLOCK - (width - 1), F.lit(0))
+            last = F.least((b + 1) * _BLOCK, F.size(codes)) - 1
+            return F.aggregate(F.sequence(first, last), zero, step, close)
+
+        # Every step copies the state with its closed spans, so a state lives for one block only.
+        blocks = F.sequence(F.lit(0), F.floor((F.size(codes) - 1) / _BLOCK).cast("int"))
+        return _bound(F.flatten(F.transform(blocks, block)), _touching_joined)
+
+    def coded(read: Column) -> Column:
+        def code(letter: Column, place: Column) -> Column:
+            return _bound(
+                F.when(place == " ", -1).otherwise(F.array_position(read["kinds"], letter).cast("int") - 1),
+                lambda n: F.struct(
+                    F.floor(n / packed).cast("int").alias("word"),
+                    (F.pmod(n, F.lit(packed)) * bits).alias("shift"),
+                    F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(n, F.lit(packed)) * bits).alias("unit"),
+                ),
+            )
+
+        words = F.floor((F.size(read["kinds"]) - 1) / packed).cast("int") + 1
+        return F.struct(
+            F.zip_with(read["letters"], read["places"], code).alias("codes"),
+            F.array_repeat(F.lit(0).cast("bigint"), words).alias("none"),
+        )
 
-    def coded(all_letters: Column) -> Column:
-        kinds = F.array_distinct(all_letters)
+    def read(letters: Column) -> Column:
         return F.struct(
-            F.transform(all_letters, lambda c: F.array_position(kinds, c).cast("int")).alias("codes"),
-            F.size(kinds).alias("n_kinds"),
+            letters.alias("letters"), F.array_distinct(letters).alias("kinds"), F.split(places, "").alias("places")
         )
 
-    # A one-element array binds the codes, so that they are not worked out at every step.
-    return F.flatten(F.transform(F.transform(F.array(letters), coded), steps))
+    return _bound(F.split(candidate, ""), lambda letters: _bound(read(letters), lambda r: _bound(coded(r), steps)))
 
 
 def _random_spans(rows: DataFrame, kind: CharacterClass) -> DataFrame:
     rows = _located(rows, f"_{kind.kind}", kind.pattern)
-    fits: Callable[[Column], Column] = lambda m: m.rlike("^(?:" + "|".join(ALLOWED) + ")$")
-    kept = F.filter(f"_{kind.kind}", lambda s: ~fits(s["found"]))
+    judged = F.transform(
+        F.transform(
+            f"_{kind.kind}",
+            lambda s: F.struct(s["start"].alias("start"), F.regexp_replace(s["found"], UUID, WORDS).alias("found")),
+        ),
+        lambda s: F.struct(s["start"], s["found"], allowed_places(s["found"]).alias("places")),
+    )
+    # Most candidates are words and numbers all through; no window is slid over these.
+    kept = F.filter(judged, lambda s: s["places"].rlike(f"x{{{kind.window}}}"))
     rows = rows.withColumn(f"_{kind.kind}", kept)
     spans = F.flatten(
         F.transform(
             f"_{kind.kind}",
             lambda s: F.transform(
-                random_windows(s["found"], kind),
+                random_windows(s["found"], s["places"], kind),
                 lambda w: F.struct((s["start"] + w["start"]).alias("start"), (s["start"] + w["end"]).alias("end")),
             ),
         )
@@ -293,33 +373,21 @@ def redact(
 
     ``length_col`` names a column that gets the new number of characters where the text has changed.
     """
-    pair = "array<struct<start:bigint,end:bigint>>"
-    nowhere = F.lit(-1).cast("bigint")
-    start = F.struct(nowhere.alias("from"), nowhere.alias("to"), F.array().cast(pair).alias("closed"))
-
-    def last(state: Column) -> Column:
-        return F.array_append(state["closed"], F.struct(state["from"].alias("start"), state["to"].alias("end")))
-
-    def step(state: Column, s: Column) -> Column:
-        """Overlapping spans become one."""
-        joined = (state["from"] >= 0) & (s["start"] < state["to"])
-        return F.struct(
-            F.when(joined, state["from"]).otherwise(s["start"]).alias("from"),
-            F.when(joined, F.greatest(state["to"], s["end"])).otherwise(s["end"]).alias("to"),
-            F.when(joined | (state["from"] < 0), state["closed"]).otherwise(last(state)).alias("closed"),
-        )
-
     # The given columns wait in a struct, so that none of their names meets one used here.
     given = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"), F.col(f"`{text_col}`").alias("_given"))
-    rows = with_spans(given, "_given").withColumn("_spans", F.aggregate("_spans", start, step, last))
+    rows = with_spans(given, "_given").withColumn("_to", _running(F.col("_spans.end"), F.greatest, -1))
+    # Overlapping spans become one: it ends at the furthest end up to where the next span starts beyond that.
+    starts = F.filter("_spans", lambda s, i: F.coalesce(F.get("_to", i - 1) <= s["start"], F.lit(True)))
+    ends = F.filter("_to", lambda to, i: F.coalesce(F.get("_spans", i + 1)["start"] >= to, F.lit(True)))
+    joined = F.zip_with(starts, ends, lambda s, to: F.struct(s["start"].alias("start"), to.alias("end")))
+    rows = rows.withColumn("_spans", joined)
     n = F.size("_spans")
     begins = F.transform(F.sequence(F.lit(0), n), lambda i: F.when(i == 0, 0).otherwise(F.get("_spans", i - 1)["end"]))
     ends = F.transform(
         F.sequence(F.lit(0), n), lambda i: F.when(i == n, F.length("_text")).otherwise(F.get("_spans", i)["start"])
     )
     between = F.zip_with(begins, ends, lambda b, e: F.substring("_text", b.cast("int") + 1, (e - b).cast("int")))
-    found = F.expr("exists(_spans, s -> s.start >= 0)")
-    rows = rows.withColumn("_new", F.when(found, F.array_join(between, mark)))
+    rows = rows.withColumn("_new", F.when(n > 0, F.array_join(between, mark)))
     changed = {text_col: F.coalesce("_new", "_given")}
     if length_col is not None:
         kind = docs.schema[length_col].dataType
@@ -345,7 +413,7 @@ def _sql_spans(kind: str, pattern: str) -> str:
 
 def _sql_windows(kind: CharacterClass) -> str:
     """Each window's entropy from its own counts."""
-    allowed = "^(?:" + "|".join(ALLOWED) + ")$"
+    fits = "^(?:" + "|".join(ALLOWED) + ")$|" + "|".join(PLACEHOLDERS)
     return f"""
         SELECT row, kind, rank, min(place) AS start, max(place) + {kind.window} AS "end"
         FROM (
@@ -356,14 +424,21 @@ def _sql_windows(kind: CharacterClass) -> str:
                 FROM (
                     SELECT row, kind, rank, start, start + w AS place,
                            list_transform(
-                               list_distinct(string_split(substr(found, w + 1, {kind.window}), '')),
+                               list_distinct(string_split(substr(judged, w + 1, {kind.window}), '')),
                                lambda x: {kind.weights}[1 + {kind.window}
-                                   - length(replace(substr(found, w + 1, {kind.window}), x, ''))]) AS weights
+                                   - length(replace(substr(judged, w + 1, {kind.window}), x, ''))]) AS weights
                     FROM (
-                        SELECT *, unnest(range(length(found) - {kind.window} + 1)) AS w
-                        FROM ({_sql_spans(kind.kind, kind.pattern)})
-                        WHERE NOT regexp_matches(found, '{allowed}')
+                        SELECT *, unnest(range(length(judged) - {kind.window} + 1)) AS w,
+                               array_to_string(list_transform(
+                                   regexp_split_to_array(judged, '{SEPARATOR}'),
+                                   lambda p: repeat(CASE WHEN regexp_matches(p, '{fits}') THEN ' ' ELSE 'x' END, length(p))
+                               ), 'x') AS places
+                        FROM (
+                            SELECT *, regexp_replace(found, '{UUID}', '{WORDS}', 'g') AS judged
+                            FROM ({_sql_spans(kind.kind, kind.pattern)})
+                        )
                     )
+                    WHERE strpos(substr(places, w + 1, {kind.window}), ' ') = 0
                 )
                 WHERE list_sum(weights) <= {kind.most}
             )
