@@ -162,3 +162,13 @@ def test_plans():
                     if 100 * min(a, b) >= percent * max(a, b):
                         assert plan.segments + plan.deleted > largest_difference(a, b, percent) + plan.spare - 1
     assert any(allocate(b, 85).deleted for b in range(20)) and allocate(30, 85).spare > 0
+
+
+def test_long_words_that_polynomials_confuse(spark):
+    """The Thue-Morse word and its complement agree in every polynomial hash modulo a power of two with an odd base."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"{word} {other} x y z"), (4, f"{other} {other} x y z"), (5, word.upper())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["id"]: (r["n_shingles"], r["component_id"]) for r in similar_groups(docs).collect()}
+    assert found == {1: (1, 1), 2: (1, 2), 3: (2, 3), 4: (2, 4), 5: (1, 1)}

@@ -77,7 +77,6 @@ def test_plan_is_near_the_bound():
 
 def test_ids_equal_the_library(monkeypatch):
     exact = Tokenizer.from_file(TOKENIZER)
-    exact.encode_special_tokens = True
     pick = random.Random(3)
     letters = [chr(c) for c in range(0x250)] + list("漢😀한  �")
     batch = ["", " ", "\n\n x", "a<|endoftext|>b", "x" * 5000]
@@ -133,3 +132,24 @@ def test_empty_table_and_wrong_lengths(spark):
     assert pack_documents(docs, TOKENIZER).collect() == []
     with pytest.raises(ValueError):
         pack(spark.range(1).selectExpr("id", "0 as piece", "0L as start", "2049L as length", "id as ids_crc32"))
+
+
+def test_special_tokens_in_texts_are_tokens(spark):
+    exact = Tokenizer.from_file(TOKENIZER)
+    cases = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|endoftext|", " é<|endoftext|>  <|endoftext|>", "<|endoftext|> " * 90]
+    encode = ByteEncoder(TOKENIZER)
+    for text in cases:
+        assert encode(text).tolist() == exact.encode(text, add_special_tokens=False).ids
+    assert encode(cases[0]).tolist() == [64, 220, 50256, 275]
+    rows = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")
+    packed = {r["id"]: r for r in pack_documents(rows, TOKENIZER).collect()}
+    for key, text in enumerate(cases):
+        ids = np.array([*exact.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert packed[key]["length"] == len(ids) and packed[key]["ids_crc32"] == zlib.crc32(ids.tobytes())
+
+
+def test_cuts_leave_special_tokens_whole(monkeypatch):
+    monkeypatch.setattr(packing, "AT_ONCE", 5)
+    encode, exact = ByteEncoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    for text in ("word <|endoftext|> word <|endoftext|>word", "ab cd<|endoftext|> ef gh " * 5):
+        assert encode(text).tolist() == exact.encode(text, add_special_tokens=False).ids

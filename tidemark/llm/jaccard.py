@@ -8,6 +8,7 @@ neighbourhood still meets its counterpart when one element differs and so is wor
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -20,16 +21,26 @@ from tidemark.llm.words import Words, grouped, mixed, powers, sections, split_wo
 #: Similarity in hundredths, so that the test is exact.
 PERCENT = 85
 WORDS = 4
+#: Bytes of a word beyond which its hash is a cryptographic one.
+LONG_WORD = 256
 
 
 def word_hashes(words: Words) -> np.ndarray:
-    """A 64-bit hash of each word: a polynomial in its bytes, from running sums, then scrambled."""
+    """A 64-bit hash of each word: a polynomial in its bytes, from running sums, then scrambled.
+
+    Modulo a power of two such polynomials agree for certain pairs of long words, whatever the base, so long words get
+    a cryptographic hash.
+    """
     n = 1 << max(16, int(len(words.data)).bit_length())
     up, down = powers(n)
     terms = _BYTES[words.data] * up[: len(words.data)]
     sums = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
     values = (sums[words.end] - sums[words.start]) * down[words.start]
-    return mixed(values + (words.end - words.start).astype(np.uint64))
+    hashes = mixed(values + (words.end - words.start).astype(np.uint64))
+    for i in np.flatnonzero(words.end - words.start > LONG_WORD).tolist():
+        digest = hashlib.blake2b(words.data[words.start[i] : words.end[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
 
 
 _BYTES = mixed(np.arange(1, 257))

@@ -44,18 +44,21 @@ _PLAIN = re.compile("[\0-ɏ]*")
 
 
 class ByteEncoder:
-    """Ids of a byte-level vocabulary file; strings of special tokens in a text are ordinary text.
+    """Ids of a byte-level vocabulary file, as ``tokenizers`` gives them without adding special tokens.
 
-    Plain texts go through ``tiktoken`` over the ranks in the file, several times faster and
-    with the same ids; texts with other characters go through ``tokenizers``.
+    The string of a special token in a text is that token. Plain texts go through ``tiktoken`` over the ranks in
+    the file, several times faster and with the same ids; texts with other characters or with special tokens
+    go through ``tokenizers``.
     """
 
     def __init__(self, path: str) -> None:
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
-        special = set(self.exact.get_added_tokens_decoder())
+        special = self.exact.get_added_tokens_decoder()
+        self.special = [token.content for token in special.values()]
+        if any(_CUT.search(content) for content in self.special):
+            raise ValueError("texts are cut at blanks, so special tokens must not hold any")
         letters = {c: b for b, c in _byte_letters().items()}
         ranks = {bytes(letters[c] for c in piece): i for piece, i in model["vocab"].items() if i not in special}
         self.fast = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -68,7 +71,7 @@ class ByteEncoder:
             cut = _CUT.search(text, start + AT_ONCE) if len(text) - start > AT_ONCE else None
             end = cut.start() if cut else len(text)
             part = text[start:end]
-            if _PLAIN.fullmatch(part):
+            if _PLAIN.fullmatch(part) and not any(content in part for content in self.special):
                 ids = self.fast.encode_ordinary(part)
             else:
                 ids = self.exact.encode(part, add_special_tokens=False).ids
