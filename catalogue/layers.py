@@ -11,6 +11,7 @@ from tidemark.operators import dedupe
 from tidemark.plans import Field, clean, gold, ignored_values, ingest, split_rejects, with_load_columns
 from tidemark.plans.gold import month_of
 from tidemark.plans.increment import read_silver, refresh_fact, refresh_silver
+from tidemark.plans.versions import as_of, dimension_history
 from tidemark.sources import read_csv, read_history
 from tidemark.tables import TableSpec
 from tidemark.workspace import fresh_dir
@@ -229,6 +230,30 @@ def fact_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_doubles(found, "returned_quantity", "returned_value")
 
 
+def _product_history(lines: DataFrame, **options: int) -> DataFrame:
+    """How a product was taxed and discounted; the last line of a day counts."""
+    last = [F.desc("l_orderkey"), F.desc("l_linenumber"), F.desc("l_tax"), F.desc("l_discount")]
+    return dimension_history(lines, ["l_partkey"], ["l_tax", "l_discount"], "l_shipdate", last, **options)
+
+
+def dim_product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["l_partkey", "l_shipdate", "l_tax", "l_discount", "l_orderkey", "l_linenumber"]
+    return _product_history(table(spark, sf_dir, "lineitem").select(columns))
+
+
+def fact_returns_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returned lines with the tax and discount that their product had in sold lines up to then."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_shipdate", "l_tax", "l_discount", "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"
+    )
+    history = _product_history(lines.where("l_returnflag <> 'R'"))
+    versions = history.select(
+        "l_partkey", "valid_from", F.col("l_tax").alias("tax"), F.col("l_discount").alias("discount"), "version"
+    )
+    returned = lines.where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice")
+    return as_of(returned, versions, ["l_partkey"], "l_shipdate", ["tax", "discount", "version"], split=20)
+
+
 def return_rate_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = gold.return_rate(
         table(spark, sf_dir, "lineitem"),
@@ -248,6 +273,24 @@ def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _NET_SQL = "l_extendedprice::DECIMAL(12,2) * (1 - l_discount::DECIMAL(4,2))"
+_HISTORY_SQL = """
+    SELECT l_partkey, l_tax, l_discount, valid_from,
+           lead(valid_from) OVER (PARTITION BY l_partkey ORDER BY valid_from) AS valid_until,
+           row_number() OVER (PARTITION BY l_partkey ORDER BY valid_from)::INT AS version,
+           lead(valid_from) OVER (PARTITION BY l_partkey ORDER BY valid_from) IS NULL AS is_current
+    FROM (
+        SELECT l_partkey, l_tax, l_discount, l_shipdate AS valid_from,
+               lag(l_tax) OVER w AS tax_before, lag(l_discount) OVER w AS discount_before, row_number() OVER w AS place
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY l_partkey, l_shipdate ORDER BY l_orderkey DESC, l_linenumber DESC, l_tax DESC, l_discount DESC
+            ) AS rn
+            FROM lineitem {where}
+        )
+        WHERE rn = 1 WINDOW w AS (PARTITION BY l_partkey ORDER BY l_shipdate)
+    )
+    WHERE place = 1 OR l_tax IS DISTINCT FROM tax_before OR l_discount IS DISTINCT FROM discount_before
+"""
 _SALES_SQL = """
     SELECT strftime(o_orderdate, '%Y-%m') AS month, n_name AS place, o_orderstatus AS status,
            count(*) AS orders, sum(o_totalprice::DECIMAL(12,2))::DOUBLE AS revenue
@@ -325,6 +368,17 @@ ENTRIES: Entries = {
         FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2
         """,
     ),
+    "dim_product_history": (dim_product_history, _HISTORY_SQL.format(where="")),
+    "fact_returns_as_of": (
+        fact_returns_as_of,
+        f"""
+        WITH history AS ({_HISTORY_SQL.format(where="WHERE l_returnflag <> 'R'")})
+        SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_shipdate, f.l_extendedprice, h.l_tax AS tax,
+               h.l_discount AS discount, h.version
+        FROM (SELECT * FROM lineitem WHERE l_returnflag = 'R') f
+             ASOF LEFT JOIN history h ON f.l_partkey = h.l_partkey AND f.l_shipdate >= h.valid_from
+        """,
+    ),
     "return_rate_by_brand": (
         return_rate_by_brand,
         f"""
