@@ -11,6 +11,7 @@ from catalogue.common import EARLIER, LINES, ORDERS, ORDERS_SQL, Entries, lines,
 from tidemark.functions import map_null_tokens
 from tidemark.operators import append, column_info, dedupe, new_rows, overwrite
 from tidemark.plans import ingest, with_load_columns
+from tidemark.plans.compact import FILE_BYTES, compact, directory_files, fragmented
 from tidemark.plans.gold import month_of
 from tidemark.sources import MALFORMED, read_csv, read_csv_loose, read_history, stream_csv
 from tidemark.streaming import ingest_available
@@ -106,15 +107,10 @@ def _damaged_orders_csv(spark: SparkSession, sf_dir: str) -> str:
         F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"), price, day,
         F.when(fault != _SHORT, F.col("o_orderpriority")), F.when(fault == _SURPLUS, "surplus"),
     ]
+    # Without quotes a line may have a field more or less than the header that Spark gives each file.
+    line = F.concat_ws(",", *fields).alias(",".join(every.columns))
     path = fresh_dir(spark, "orders_lines")
-    # One file for each status, every one with its header.
-    lines = every.select(F.concat_ws(",", *fields).alias("value"), "o_orderstatus")
-    header = spark.createDataFrame([(",".join(every.columns),)], "value string")
-    for status in ("O", "F", "P"):
-        part = lines.where(F.col("o_orderstatus") == status).select("value", F.lit(1).alias("_place"))
-        part = header.select("value", F.lit(0).alias("_place")).unionByName(part)
-        part = part.repartitionByRange(1, "_place").sortWithinPartitions("_place").select("value")
-        part.write.mode("append").text(path)
+    every.select(line).write.csv(path, header=True, quote="", sep="\x01", emptyValue="")
     return path
 
 
@@ -357,6 +353,18 @@ def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, uri).groupBy("month", "o_orderstatus").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def partition_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six loads leave six files in a directory; compaction leaves the same rows in few."""
+    spec = replace(ORDERS, partition_by=("month", "o_orderstatus"))
+    every, uri = orders(spark, sf_dir), fresh_dir(spark, "orders")
+    for part in range(6):
+        append(every.where(F.pmod("o_orderkey", F.lit(6)) == part), uri, spec.partition_by, spec.key)
+    compact(spark, uri, spec)
+    files = directory_files(read_history(spark, uri, spec.schema), spec.partition_by)
+    many = fragmented(files, FILE_BYTES).count()
+    return _stored(spark, uri).withColumn("fragmented", F.lit(many).cast("bigint"))
+
+
 def overwrite_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     every, uri = orders(spark, sf_dir), fresh_dir(spark, "orders")
     overwrite(every, uri, ["o_orderstatus"])
@@ -539,6 +547,7 @@ ENTRIES: Entries = {
         partition_inventory,
         f"SELECT month, o_orderstatus, count(*) AS rows FROM ({ORDERS_SQL}) GROUP BY month, o_orderstatus",
     ),
+    "partition_compacted": (partition_compacted, f"SELECT *, 0::BIGINT AS fragmented FROM ({ORDERS_SQL})"),
     "overwrite_static": (overwrite_static, f"SELECT * FROM ({ORDERS_SQL}) WHERE o_orderstatus = 'P'"),
     "overwrite_dynamic": (
         overwrite_dynamic,

@@ -20,10 +20,14 @@ def overwrite(
     key: Sequence[str] = (),
     *,
     only_written_partitions: bool = False,
+    tasks: int | None = None,
 ) -> int:
-    """Replace the whole table, or just the partitions that ``df`` has rows for."""
+    """Replace the whole table, or just the partitions that ``df`` has rows for.
+
+    With a ``key``, ``tasks`` says over how many tasks the rows are ranged.
+    """
     mode = "dynamic" if only_written_partitions else "static"
-    return _write(df, uri, partition_by, key, "overwrite", {"partitionOverwriteMode": mode})
+    return _write(df, uri, partition_by, key, "overwrite", {"partitionOverwriteMode": mode}, tasks)
 
 
 def _write(
@@ -33,6 +37,7 @@ def _write(
     key: Sequence[str],
     mode: str,
     options: dict[str, str],
+    tasks: int | None = None,
 ) -> int:
     """Write once, counting on the way.
 
@@ -40,7 +45,7 @@ def _write(
     once; below a shuffle a re-run stage would be counted twice.
     """
     written = Observation()
-    rows = _gathered(df, partition_by, key).observe(written, F.count(F.lit(1)).alias("rows"))
+    rows = _gathered(df, partition_by, key, tasks).observe(written, F.count(F.lit(1)).alias("rows"))
     order = _columns([*partition_by, *key])
     if order:
         rows = rows.sortWithinPartitions(*order)
@@ -48,7 +53,9 @@ def _write(
     return written.get["rows"]
 
 
-def _gathered(df: DataFrame, partition_by: Sequence[str], key: Sequence[str]) -> DataFrame:
+def _gathered(
+    df: DataFrame, partition_by: Sequence[str], key: Sequence[str], tasks: int | None = None
+) -> DataFrame:
     """Bring a directory's rows together, in evenly sized tasks.
 
     With a ``key`` that is unique among the rows, ranges over directory and key do both:
@@ -60,7 +67,8 @@ def _gathered(df: DataFrame, partition_by: Sequence[str], key: Sequence[str]) ->
     Without a key, adaptive execution cuts and packs tasks by size.
     """
     if key:
-        return df.repartitionByRange(*_columns([*partition_by, *key]))
+        places = _columns([*partition_by, *key])
+        return df.repartitionByRange(tasks, *places) if tasks else df.repartitionByRange(*places)
     return df.hint("rebalance", *_columns(partition_by))
 
 

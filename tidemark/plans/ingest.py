@@ -140,7 +140,9 @@ def ingest(
     # executors' disks, they are not joined and sorted twice; a lost copy is computed again.
     fresh = fresh.persist(StorageLevel.DISK_ONLY)
     try:
-        appended = append(fresh, uri, spec.partition_by, key=spec.key)
+        # A batch that was loaded before needs no ranges and no commit; a first load creates the table, even without rows.
+        nothing = history is not None and fresh.isEmpty()
+        appended = 0 if nothing else append(fresh, uri, spec.partition_by, key=spec.key)
     finally:
         fresh.unpersist()
     return IngestResult(
