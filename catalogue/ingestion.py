@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalogue.common import EARLIER, LINES, ORDERS, ORDERS_SQL, Entries, lines, orders, table
 from tidemark.functions import map_null_tokens
 from tidemark.operators import append, column_info, dedupe, new_rows, overwrite
+from tidemark.operators.clustering import append_clustered
 from tidemark.plans import ingest, with_load_columns
 from tidemark.plans.compact import FILE_BYTES, compact, directory_files, fragmented
 from tidemark.plans.gold import month_of
@@ -347,6 +348,13 @@ def partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, uri)
 
 
+def partitioned_append_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines, laid out for look-ups by order, by product and by day."""
+    every, uri = table(spark, sf_dir, "lineitem"), fresh_dir(spark, "lineitem")
+    append_clustered(every, uri, ["l_orderkey", "l_partkey", "l_shipdate"], ["l_returnflag"])
+    return spark.read.schema(every.schema).parquet(uri).select(every.columns)
+
+
 def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = fresh_dir(spark, "orders")
     append(orders(spark, sf_dir), uri, ["month", "o_orderstatus"])
@@ -543,6 +551,7 @@ ENTRIES: Entries = {
     ),
     "ingest_daily_files": (ingest_daily_files, ORDERS_SQL),
     "partitioned_append": (partitioned_append, ORDERS_SQL),
+    "partitioned_append_clustered": (partitioned_append_clustered, "SELECT * FROM lineitem"),
     "partition_inventory": (
         partition_inventory,
         f"SELECT month, o_orderstatus, count(*) AS rows FROM ({ORDERS_SQL}) GROUP BY month, o_orderstatus",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.common import Entries, table
-from tidemark.operators import column_info, describe, head, null_counts, value_counts, value_counts_multi
+from tidemark.operators import column_info, describe, head, null_counts, top_values, value_counts, value_counts_multi
 
 
 def _gappy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,15 @@ def profile_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return head(table(spark, sf_dir, "orders"), ["o_orderkey"], 5)
 
 
+def profile_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The products with most lines, and the users with most events, without counting every one."""
+    lines = top_values(table(spark, sf_dir, "lineitem"), "l_partkey", 20)
+    events = top_values(table(spark, sf_dir, "events"), "user_id", 10)
+    return lines.select(F.lit("l_partkey").alias("column"), F.col("l_partkey").alias("value"), "count").unionByName(
+        events.select(F.lit("user_id").alias("column"), F.col("user_id").alias("value"), "count")
+    )
+
+
 def profile_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column_info(_gappy_events(spark, sf_dir))
 
@@ -80,6 +89,15 @@ _EVENT_COLUMNS = {
 }
 
 ENTRIES: Entries = {
+    "profile_top_values": (
+        profile_top_values,
+        """
+        (SELECT 'l_partkey' AS "column", l_partkey AS value, count(*) AS count FROM lineitem
+         GROUP BY l_partkey ORDER BY count DESC, value LIMIT 20)
+        UNION ALL
+        (SELECT 'user_id', user_id, count(*) AS n FROM events GROUP BY user_id ORDER BY n DESC, user_id LIMIT 10)
+        """,
+    ),
     "profile_head": (profile_head, "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5"),
     "profile_info": (
         profile_info,
