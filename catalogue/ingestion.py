@@ -339,6 +339,21 @@ def daily_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_watermarked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of files, then both days' rows once more under other names: stored once and rejected once."""
+    every = table(spark, sf_dir, "orders")
+    key = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey"))
+    inbox, uri, rejects, progress = (fresh_dir(spark, label) for label in ("inbox", "orders", "rejected", "progress"))
+    for statuses in (["P"], ["F", "O"], ["P", "F", "O"]):
+        arrived = every.where(F.col("o_orderstatus").isin(statuses)).withColumn("o_orderkey", key)
+        arrived.write.mode("append").csv(inbox, header=True)
+        files = stream_csv(spark, inbox, every.schema).withColumn("month", month_of("o_orderdate"))
+        ingest_available(files, ORDERS, uri, progress, rejects_uri=rejects, repeats_within="7 days")
+    stored = _stored(spark, uri).select("o_orderkey", "o_custkey", "o_orderdate", F.lit("stored").alias("place"))
+    refused = spark.read.parquet(rejects).select("o_orderkey", "o_custkey", "o_orderdate", F.lit("rejected").alias("place"))
+    return stored.unionByName(refused)
+
+
 # --- sinks -------------------------------------------------------------------------------------
 
 
@@ -455,6 +470,13 @@ ENTRIES: Entries = {
         FROM orders GROUP BY o_orderstatus
         """,
     ),
+    "daily_watermarked": (
+        daily_watermarked,
+        """
+        SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN o_orderpriority <> '5-LOW' THEN 'stored' ELSE 'rejected' END AS place
+        FROM (SELECT DISTINCT * REPLACE (CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey END AS o_orderkey) FROM orders)
+        """,
+    ),
     "daily_rejects": (
         daily_rejects,
         """
