@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.common import Entries, table
-from tidemark.operators import column_info, describe, head, null_counts, top_values, value_counts, value_counts_multi
+from tidemark.operators import (
+    column_info, describe, head, head_in_file_order, null_counts, top_values, value_counts, value_counts_multi,
+)
+from tidemark.sources import read_csv
+from tidemark.workspace import fresh_dir
 
 
 def _gappy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +27,14 @@ def profile_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return head(table(spark, sf_dir, "orders"), ["o_orderkey"], 5)
 
 
+def profile_head_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first lines of CSV files that hold the orders from the last to the first."""
+    orders, path = table(spark, sf_dir, "orders"), fresh_dir(spark, "orders_csv")
+    backwards = F.desc("o_orderkey")
+    orders.repartitionByRange(3, backwards).sortWithinPartitions(backwards).write.csv(path, header=True)
+    return head_in_file_order(read_csv(spark, path, orders.schema), 7)
+
+
 def profile_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The products with most lines, and the users with most events, without counting every one."""
     lines = top_values(table(spark, sf_dir, "lineitem"), "l_partkey", 20)
@@ -89,6 +101,13 @@ _EVENT_COLUMNS = {
 }
 
 ENTRIES: Entries = {
+    "profile_head_file_order": (
+        profile_head_file_order,
+        """
+        SELECT row_number() OVER (ORDER BY o_orderkey DESC) - 1 AS position, *
+        FROM orders ORDER BY o_orderkey DESC LIMIT 7
+        """,
+    ),
     "profile_top_values": (
         profile_top_values,
         """
