@@ -11,6 +11,7 @@ from tidemark.operators import dedupe
 from tidemark.plans import Field, clean, gold, ignored_values, ingest, split_rejects, with_load_columns
 from tidemark.plans.gold import month_of
 from tidemark.plans.increment import read_silver, refresh_fact, refresh_silver
+from tidemark.plans.spellings import standard_spellings, with_standard
 from tidemark.plans.versions import as_of, dimension_history
 from tidemark.sources import read_csv, read_history
 from tidemark.tables import TableSpec
@@ -64,6 +65,19 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(fit, ["p_partkey"])
 
 
+def silver_standard_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands written with other cases, accents, orders and slips come back as the spelling most rows have."""
+    way, brand = F.pmod("p_partkey", F.lit(60)), F.col("p_brand")
+    number = F.regexp_extract("p_brand", "[0-9]+", 0)
+    dirty = (
+        F.when(way == 1, F.upper(brand)).when(way == 2, F.concat(F.lit(" BRÁND "), number)).when(way == 3, F.concat(number, F.lit("-brand")))
+        .when(way == 4, F.concat(F.lit("Brnd#"), number)).when(way == 5, F.concat(F.lit("Brandd#"), number))
+        .when(way == 6, F.concat(F.lit("Brend#"), number)).otherwise(brand)
+    )
+    untidy = table(spark, sf_dir, "part").select("p_partkey", dirty.alias("p_brand"))
+    return with_standard(untidy, "p_brand", standard_spellings(untidy, "p_brand"))
+
+
 def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     untidy = table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderpriority") == "5-LOW", " n/a ").otherwise(F.col("o_orderkey").cast("string")).alias(
@@ -326,6 +340,7 @@ ENTRIES: Entries = {
         UNION ALL SELECT *, 'invalid: o_totalprice' FROM untidy WHERE o_totalprice = '?'
         """,
     ),
+    "silver_standard_values": (silver_standard_values, "SELECT p_partkey, p_brand FROM part"),
     "silver_incremental": (
         silver_incremental,
         """

@@ -1,0 +1,103 @@
+"""Spellings that come to one, against comparing all pairs."""
+
+import random
+import re
+import unicodedata
+from collections import Counter
+
+import pytest
+
+from tidemark.plans.spellings import collision_key, standard_spellings, with_standard
+
+
+def key_of(value):
+    folded = "".join(c for c in unicodedata.normalize("NFD", value.lower()) if not unicodedata.combining(c))
+    return " ".join(sorted(set(re.findall(r"[^\W_]+", folded))))
+
+
+def one_apart(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    long, short = (a, b) if len(a) > len(b) else (b, a)
+    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def by_hand(values, times=2, least=4):
+    counts = Counter(v for v in values if v is not None)
+    keys, own = Counter(), {}
+    for v, n in counts.items():
+        keys[key_of(v)] += n
+    for v, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
+        own.setdefault(key_of(v), v)
+
+    def parts(key):
+        return re.sub("[0-9]", "", key), re.sub("[^0-9]", "", key)
+
+    def into(key):
+        letters, digits = parts(key)
+        if len(letters) < least:
+            return key
+        near = [
+            k for k in keys
+            if k and parts(k)[1] == digits and len(parts(k)[0]) >= least and one_apart(parts(k)[0], letters) and keys[k] >= times * keys[key]
+        ]
+        return into(min(near, key=lambda k: (-keys[k], k))) if near else key
+
+    return {v: own[into(key_of(v))] if key_of(v) else v for v in counts}
+
+
+def found(spark, values, **options):
+    df = spark.createDataFrame([(v, 1) for v in values], "v string, rows int").repartition(3)
+    return {r.spelling: r.standard for r in standard_spellings(df, "v", **options).collect()}
+
+
+def test_keys(spark):
+    values = ["São Paulo", " paulo  SAO ", "sa\u0303o-paulo", "Brand#12", "12 brand", "...", "", "Ünïcode_x", "a a b"]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    got = {r.v: r.k for r in rows.select("v", collision_key(rows.v).alias("k")).collect()}
+    assert got == {v: key_of(v) for v in values}
+    assert got["São Paulo"] == got[" paulo  SAO "] == got["sa\u0303o-paulo"] == "paulo sao"
+
+
+def test_slips_and_numbers(spark):
+    values = ["Brand#12"] * 9 + ["Brand#13"] * 9 + ["Brnd#12", "Brandd 12", "brend#13", "BRAND 12", "12 Bränd", "Brand#1", "Band#99"]
+    got = found(spark, values)
+    assert {v for v, s in got.items() if s == "Brand#12"} == {"Brand#12", "Brnd#12", "Brandd 12", "BRAND 12", "12 Bränd"}
+    assert got["brend#13"] == "Brand#13" and got["Brand#1"] == "Brand#1" and got["Band#99"] == "Band#99"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_equals_comparing_all_pairs(spark, seed):
+    draw = random.Random(seed)
+    names = ["".join(draw.choices("abcé", k=draw.randint(3, 6))) + draw.choice(["", " 7", "#8", " x"]) for _ in range(60)]
+    values = []
+    for i, name in enumerate(names):
+        values += [name] * draw.choice([1, 2, 3, 9, 40])
+        slip = draw.randrange(len(name))
+        values += draw.choice([[], [name[:slip] + name[slip + 1 :]], [name[:slip] + "z" + name[slip:]], [name.upper()], [None]])
+    assert found(spark, values) == by_hand(values)
+
+
+def test_slips_of_slips(spark):
+    values = ["abcdef"] * 100 + ["abcdex"] * 40 + ["abcdxx"] * 10 + ["abcxxx"] * 3 + ["abyxxx"]
+    assert set(found(spark, values).values()) == {"abcdef"}
+    assert found(spark, values) == by_hand(values)
+
+
+def test_a_hot_value(spark):
+    """A third of all rows have one value; only different spellings are compared."""
+    rows = spark.range(0, 30_000, 1, 6).selectExpr("if(id % 3 = 0, 'Hot Brand', concat('brand ', id % 50)) AS v", "id")
+    dirty = rows.unionByName(spark.createDataFrame([("hot brnd", -1), (None, -2)], "v string, id long"))
+    standard = with_standard(dirty, "v", standard_spellings(dirty, "v"))
+    assert standard.where("v = 'Hot Brand'").count() == 10_001
+    assert standard.where("id = -2").first().v is None and standard.count() == 30_002
+    assert standard.columns == ["v", "id"]
+
+
+def test_empty_and_useless_values(spark):
+    assert found(spark, []) == {} == found(spark, [None])
+    assert found(spark, ["", "?!", "?!", "!?"]) == {"": "", "?!": "?!", "!?": "!?"}
+    with pytest.raises(ValueError):
+        found(spark, ["a"], times=1)
