@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from catalogue.common import Entries, table
 from tidemark.operators import (
-    column_info, describe, head, head_in_file_order, null_counts, top_values, value_counts, value_counts_multi,
+    append, column_info, describe, head, head_in_file_order, null_counts, top_values, value_counts, value_counts_multi,
 )
+from tidemark.plans.summaries import describe_merged
 from tidemark.sources import read_csv
 from tidemark.workspace import fresh_dir
 
@@ -56,6 +57,17 @@ def profile_describe_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(describe(table(spark, sf_dir, "lineitem")))
 
 
+def profile_describe_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``profile_describe_all``, from summaries of a stored table's directories; the last year arrives later."""
+    every, uri, sums = table(spark, sf_dir, "lineitem"), fresh_dir(spark, "lineitem"), fresh_dir(spark, "summaries")
+    every = every.withColumn("year", F.year("l_shipdate"))
+    schema = every.schema
+    for part in (F.col("year") < 1998, F.col("year") >= 1998):
+        append(every.where(part), uri, ["year"], ["l_orderkey", "l_linenumber"])
+        found = describe_merged(spark, spark.read.schema(schema).parquet(uri), sums, ["year"], pool_rows=1_000)
+    return _rounded(found)
+
+
 def profile_describe_bracketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``profile_describe_all`` with so small a pool that the quartiles are bracketed first."""
     return _rounded(describe(table(spark, sf_dir, "lineitem"), pool_rows=1_000))
@@ -135,6 +147,10 @@ ENTRIES: Entries = {
         profile_describe_bracketed,
         " UNION ALL ".join(_stats_sql("lineitem", c) for c in _LINE_NUMBERS),
     ),
+    "profile_describe_merged": (
+        profile_describe_merged,
+        " UNION ALL ".join(_stats_sql("lineitem", c) for c in _LINE_NUMBERS),
+    ),
     "profile_null_counts": (
         profile_null_counts,
         " UNION ALL ".join(

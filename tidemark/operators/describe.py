@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from itertools import count
@@ -61,18 +61,56 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, *, pool_rows:
     them to be ordered by one task.  A poor sample costs another pass, never a wrong
     result.  Up to ``pool_rows`` values (1,000 at least) no bracketing is needed.
     """
-    names = list(columns) if columns is not None else [
-        f.name for f in df.schema if isinstance(f.dataType, NumericType)
-    ]
-    groups = [names[i : i + _COLUMNS_AT_ONCE] for i in range(0, len(names), _COLUMNS_AT_ONCE)] or [[]]
+    groups = _in_groups(numeric(df) if columns is None else list(columns))
     return reduce(DataFrame.unionAll, (_describe(df, group, pool_rows) for group in groups))
 
 
-def _describe(df: DataFrame, names: list[str], pool_rows: int) -> DataFrame:
+def numeric(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+
+
+def _in_groups(names: list[str]) -> list[list[str]]:
+    return [names[i : i + _COLUMNS_AT_ONCE] for i in range(0, len(names), _COLUMNS_AT_ONCE)] or [[]]
+
+
+def describe_known(
+    df: DataFrame, facts: Sequence[tuple], quantile: Callable[[str, Sequence[float]], list[float]], error: float, *,
+    pool_rows: int = POOL_ROWS,
+) -> DataFrame:
+    """As ``describe``, with what is known beforehand: neither the summary nor a sample is read.
+
+    ``facts`` are (column, count, mean, deviation, min, max); ``quantile`` gives values of a column at some
+    ranks, which are right but for ``error``. Wrong ones cost another pass, never a wrong result.
+    """
+
+    def first(brackets: list[_Bracket]) -> list[tuple[_Bracket, list[float]]]:
+        cuts = []
+        for b in brackets:
+            at = b.rank / b.upto_high
+            margin = 2 * error + 2 / b.upto_high
+            cuts.append((b, quantile(b.column, [max(0.0, at - margin), min(1.0, at + margin)])))
+        return cuts
+
+    known = {fact[0]: tuple(fact) for fact in facts}
+    groups = _in_groups(list(known))
+    return reduce(DataFrame.unionAll, (_describe(df, g, pool_rows, [known[c] for c in g], first) for g in groups))
+
+
+_Suggestion = Callable[[list[_Bracket]], list[tuple[_Bracket, list[float]]]]
+
+
+def _describe(
+    df: DataFrame,
+    names: list[str],
+    pool_rows: int,
+    summary: list[tuple] | None = None,
+    first: _Suggestion | None = None,
+) -> DataFrame:
     values = df.select(*(present(df, c).cast("double").alias(c) for c in names))
-    summary = _summary(values, names)
+    if summary is None:
+        summary = _summary(values, names)
     widest = [b for s in summary for b in _quartiles(s)]
-    brackets = _bracket(values, widest, pool_rows)
+    brackets = _bracket(values, widest, pool_rows, first)
     facts = df.sparkSession.createDataFrame(
         summary, "`column` string, `count` bigint, mean double, std double, `min` double, `max` double"
     )
@@ -98,13 +136,15 @@ def _quartiles(facts: tuple) -> list[_Bracket]:
     return found
 
 
-def _bracket(values: DataFrame, brackets: list[_Bracket], pool_rows: int) -> list[_Bracket]:
+def _bracket(
+    values: DataFrame, brackets: list[_Bracket], pool_rows: int, first: _Suggestion | None = None
+) -> list[_Bracket]:
     """Narrow the brackets until each holds few enough values; a handful of rounds at any size."""
     for seed in count():
         wide = [b for b in brackets if b.between > max(pool_rows, _LEAST_POOL_ROWS)]
         if not wide:
             break
-        cuts = _suggest(values, wide, seed)
+        cuts = first(wide) if first and seed == 0 else _suggest(values, wide, seed)
         ranks = _ranks(values, {(b.column, v) for b, pair in cuts for v in pair})
         narrowed = {}
         for bracket, pair in cuts:
