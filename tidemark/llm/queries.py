@@ -17,6 +17,7 @@ from tidemark.llm.packing import pack_documents
 from tidemark.llm.pages import extract
 from tidemark.llm.piece_codec import encode_documents
 from tidemark.llm.suffix_dedup import remove_repeats
+from tidemark.workspace import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,10 +33,12 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages as archives, held against a replica that storage has damaged."""
-    records = warc.archive(table(spark, sf_dir, "pages"))
-    replica = warc.torn(warc.leaves(warc.damaged(records)))
-    return warc.fixity(warc.leaves(records), replica).withColumnRenamed("id", "page_id")
+    """All pages as archives in files, held against a replica whose bytes storage has damaged."""
+    path = fresh_dir(spark, "archives")
+    warc.write_archives(warc.archive(table(spark, sf_dir, "pages")), path)
+    archives = warc.read_archives(spark, path)
+    found = warc.fixity(warc.read_leaves(archives), warc.read_leaves(archives, warc.damage))
+    return found.withColumnRenamed("id", "page_id")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

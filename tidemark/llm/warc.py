@@ -1,21 +1,25 @@
 """Web archives, and an audit of their replicas by Merkle trees.
 
-Pages become records of archives: WARC/1.1, one after another, each at an offset. The leaves of a tree are the records'
-SHA-256. A range of offsets is known by the hash of what begins in it, in order, with offsets and lengths; ranges
+Pages become records of archives: WARC/1.1, one after another, written as files. An audit reads the bytes of two replicas
+again, each record at the offset where it stands. Bytes that are no record, by damage or a cut, are one leaf up to where the next
+record begins, so nothing stops the reading. The leaves of a tree are the SHA-256 of records and of such stretches. A range of offsets is known by the hash of what begins in it, in order, with offsets and lengths; ranges
 are put together 16 at a time, up to the whole archive. Two replicas whose roots agree are equal. Where they differ,
 only ranges with different hashes are opened, one level after the other, down to the records.
 
-Only hashes are shuffled, never pages. A node has as many children as records begin in 64 KiB, or 16, and an archive as
-many records as fit its size, so no group grows with the corpus.
+Pages are shuffled once, to their archives; the audit shuffles hashes. Archives are dealt by a hash of the record, and copies of
+one record in great number by the task they came from as well, so an archive has about its size whatever repeats. A node has as
+many children as records begin in 64 KiB, or 16, so no group grows with the corpus.
 
 Null html is an empty record, a null url leaves its header out, a null id is empty. Rows may repeat: equal records stand
-beside each other. Other columns are not looked at; an empty table gives no archives.
+beside each other in an archive. Other columns are not looked at; an empty table gives no archives. Archives are not
+compressed; a very long page makes its archive as much longer.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -24,8 +28,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_parts, saved
 
-#: Bytes of an archive, about.
-ARCHIVE = 16 << 20
+#: Bytes of an archive, about; a task reads some of them at once.
+ARCHIVE = 4 << 20
+#: Copies of a record beyond which they are dealt to several archives.
+COPIES = 1000
 #: Logarithms of the ranges' lengths, from the leaves up; an archive of any length is one root.
 RANGES = (16, 20, 24, 28)
 DATE = "2024-01-01T00:00:00Z"
@@ -55,10 +61,25 @@ def archive(
     """Rows (file, id, record): the records of all pages, dealt by id to archives of about ``size`` bytes."""
     page_id = F.col(f"`{id_col}`").cast("bigint")
     text = record(page_id, F.col(f"`{url_col}`"), F.col(f"`{html_col}`"))
-    rows = pages.select(page_id.alias("id"), text.alias("record"))
+    rows = pages.select(page_id.alias("id"), text.alias("record")).withColumn("mark", F.md5("record"))
     total = rows.agg(F.sum(F.octet_length("record").cast("bigint"))).first()[0] or 0
     files = max(1, -(-total // size))
-    return rows.select(F.coalesce(F.pmod("id", F.lit(files)), F.lit(0)).alias("file"), "id", "record")
+    many = rows.groupBy("mark").agg(F.count("*").alias("n")).where(F.col("n") > COPIES)
+    many = saved(many.select("mark", F.lit(True).alias("many")), "frequent-records")
+    salt = F.lit(0)
+    if not many.isEmpty():
+        rows = rows.withColumn("_task", F.spark_partition_id()).join(many, "mark", "left")
+        salt = F.when(F.col("many"), F.col("_task")).otherwise(0)
+    number = F.conv(F.substring("mark", 1, 8), 16, 10).cast("bigint")
+    return rows.select(F.pmod(number + salt, F.lit(files)).alias("file"), "id", "record")
+
+
+def write_archives(records: DataFrame, path: str) -> None:
+    """The archives of rows (file, id, record) as files ``file=N/...``, one for each, records in the order of ``leaves``."""
+    # The writer ends each row as a record ends.
+    rows = records.select("file", "id", F.sha2("record", 256).alias("digest"), F.expr("left(record, length(record) - 2)").alias("value"))
+    rows = rows.repartition("file").sortWithinPartitions("file", F.col("id").asc_nulls_first(), "digest")
+    rows.select("file", "value").write.partitionBy("file").option("lineSep", "\r\n").text(path)
 
 
 def leaves(records: DataFrame) -> DataFrame:
@@ -164,64 +185,91 @@ def fixity(records: DataFrame, replica: DataFrame, ranges: tuple[int, ...] = RAN
     return rows.unionByName(found.where("status = 'extra'").select(*columns, "status"))
 
 
-# Archives as files.
+# The bytes of archives.
 
-_HEAD = re.compile(rb"WARC/1\.[01]\r\n((?:[^\r\n]+\r\n)*)\r\n")
+_MAGIC = b"WARC/1.1\r\n"
+_HEAD = re.compile(rb"WARC/1\.1\r\n((?:[^\r\n]+\r\n)*+)\r\n")
 _LENGTH = re.compile(rb"^Content-Length:[ \t]*(\d+)[ \t]*\r$", re.IGNORECASE | re.MULTILINE)
+_ID = re.compile(rb"^WARC-Record-ID:[ \t]*<urn:page:(-?\d+)>[ \t]*\r$", re.IGNORECASE | re.MULTILINE)
+
 
+def records_in(data: bytes) -> Iterator[tuple[int, int, int | None, int]]:
+    """(start, end, page, start of the content) of the records of an archive, without gaps.
 
-def read_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, content) of the records of an archive. Bytes that are no record raise an error."""
+    Bytes that are no whole record go up to where the next one begins; they have no page, and their end for content.
+    """
     at = 0
     while at < len(data):
         head = _HEAD.match(data, at)
         length = head and _LENGTH.search(head[0])
-        if not length:
-            raise ValueError(f"no record at offset {at}")
-        end = head.end() + int(length[1])
-        if data[end : end + 4] != b"\r\n\r\n":
-            raise ValueError(f"the record at offset {at} does not end at {end}")
-        lines = (line.partition(b":") for line in head[1].splitlines())
-        headers = {k.decode().strip(): v.decode("utf-8", "replace").strip() for k, _, v in lines}
-        yield at, headers, data[head.end() : end]
-        at = end + 4
+        end = head.end() + int(length[1]) + 4 if length else 0
+        if length and data[end - 4 : end] == b"\r\n\r\n":
+            page = _ID.search(head[0])
+            yield at, end, int(page[1]) if page else None, head.end()
+        else:
+            following = data.find(_MAGIC, at + 1)
+            end = following if following >= 0 else len(data)
+            yield at, end, None, end
+        at = end
+
 
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (file, content): the bytes of the archives that ``write_archives`` has written."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    name = F.regexp_extract("path", "/file=([0-9]+)/[^/]*$", 1).try_cast("bigint")
+    return files.select(name.alias("file"), "content").where("file IS NOT NULL")
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (path, offset, headers, content) of the uncompressed archives at a path.
 
-    One task reads one archive at a time.
+_LEAF = "file bigint, id bigint, offset bigint, length bigint, digest string"
+
+
+def read_leaves(archives: DataFrame, stored: Callable[[bytes], bytes] | None = None) -> DataFrame:
+    """Rows (file, id, offset, length, digest) from the bytes of rows (file, content).
+
+    ``stored`` gives the bytes that a replica has instead, for trying out what storage may do.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        headers_type = pa.map_(pa.string(), pa.string())
-        out = pa.schema(
-            [("path", pa.string()), ("offset", pa.int64()), ("headers", headers_type), ("content", pa.binary())]
-        )
-        for batch in batches:
-            for name, data in zip(batch["path"], batch["content"], strict=True):
-                records = read_records(data.as_py())
-                rows = ((name.as_py(), offset, list(headers.items()), content) for offset, headers, content in records)
-                yield from in_parts(rows, out, 100)
+        kinds = (*(pa.int64() for _ in range(4)), pa.string())
+        out = pa.schema(list(zip(("file", "id", "offset", "length", "digest"), kinds, strict=True)))
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "path string, offset bigint, headers map<string,string>, content binary")
+        def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+            for name, content in zip(batch["file"], batch["content"], strict=True):
+                data = content.as_py()
+                data = stored(data) if stored else data
+                view = memoryview(data)
+                for start, end, page, _ in records_in(data):
+                    yield name.as_py(), page, start, end - start, hashlib.sha256(view[start:end]).hexdigest()
 
+        for batch in batches:
+            yield from in_parts(rows(batch), out)
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A replica with faults that storage makes, by a rule on the record: a byte of some of them changes.
+    return archives.mapInArrow(run, _LEAF)
 
-    ``records`` has (file, id, record).
-    """
-    sick = F.substring(F.md5("record"), 1, 2) == "00"
-    wrong = F.concat(F.substring("record", 1, 9), F.lit("w"), F.expr("substring(record, 11)"))
-    return records.withColumn("record", F.when(sick, wrong).otherwise(F.col("record")))
 
+def damage(data: bytes) -> bytes:
+    """An archive as bad storage may keep it, by a rule on the hash of each record.
 
-def torn(found: DataFrame) -> DataFrame:
-    """Leaves without the last thirty-second of each archive."""
-    total = F.sum("length").over(Window.partitionBy("file"))
-    return found.withColumn("total", total).where("offset < total - total div 32").drop("total")
+    Of 256 records one has a wrong byte in its content, one a wrong length in its header, one is lost, and after one
+    another was slipped in. The last thirty-second of the archive is cut off.
+    """
+    parts = []
+    for start, end, _, content in records_in(data):
+        record = data[start:end]
+        mark = hashlib.md5(record).hexdigest()
+        kind, size = mark[:2], end - 4 - content
+        if kind == "00":
+            at = content - start + int(mark[8:12], 16) % size if size else len(_MAGIC)
+            record = record[:at] + (b"\x01" if record[at] == 0 else b"\x00") + record[at + 1 :]
+        elif kind == "01":
+            record = record.replace(b"Content-Length: ", b"Content-Length: 9", 1)
+        elif kind == "02":
+            record = b""
+        parts.append(record)
+        if kind == "03":
+            parts.append(record.replace(b"<urn:page:", b"<urn:page:-9", 1))
+    whole = b"".join(parts)
+    return whole[: len(whole) - len(whole) // 32]
 
 
 _SQL_RECORD = (
@@ -231,19 +279,57 @@ _SQL_RECORD = (
     " || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10)"
 )
 ORACLE_SQL = f"""
-    WITH records AS (SELECT page_id, {_SQL_RECORD} AS record FROM pages),
+    WITH records AS (SELECT page_id, strlen(html) AS size, {_SQL_RECORD} AS record FROM pages),
     placed AS (
-        SELECT page_id, record, page_id % files AS file
+        SELECT page_id, size, record, md5(record) AS mark, ('0x' || md5(record)[1:8])::BIGINT % files AS file
         FROM records, (SELECT greatest(1, ceil(sum(strlen(record)) / {ARCHIVE}.0))::BIGINT AS files FROM records)
     ),
-    leaves AS (
-        SELECT file, page_id, strlen(record) AS length, sha256(record) AS digest, md5(record)[1:2] = '00' AS sick,
-               (sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id ROWS UNBOUNDED PRECEDING)
-                - strlen(record))::BIGINT AS start,
-               sum(strlen(record)) OVER (PARTITION BY file)::BIGINT AS total
+    one AS (
+        SELECT file, page_id, strlen(record) AS length, sha256(record) AS digest,
+               (sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id ROWS UNBOUNDED PRECEDING) - strlen(record))::BIGINT AS start
         FROM placed
+    ),
+    flipped AS (
+        SELECT *, strlen(record) - 4 - size + ('0x' || mark[9:12])::BIGINT % greatest(size, 1) AS body_place FROM placed
+    ),
+    kept AS (
+        SELECT file, page_id, 0 AS part, CASE WHEN mark[1:2] <> '01' THEN page_id END AS id,
+               CASE mark[1:2]
+               WHEN '00' THEN array_slice(encode(record), 1, CASE WHEN size > 0 THEN body_place ELSE 10 END) || '\\x00'::BLOB
+                              || array_slice(encode(record), CASE WHEN size > 0 THEN body_place ELSE 10 END + 2, strlen(record))
+               WHEN '01' THEN encode(regexp_replace(record, 'Content-Length: ', 'Content-Length: 9'))
+               ELSE encode(record) END AS bytes
+        FROM flipped WHERE mark[1:2] <> '02'
+        UNION ALL
+        SELECT file, page_id, 1, ('-9' || page_id)::BIGINT, encode(regexp_replace(record, '<urn:page:', '<urn:page:-9'))
+        FROM placed WHERE mark[1:2] = '03'
+    ),
+    laid AS (
+        SELECT *, octet_length(bytes) AS length,
+               (sum(octet_length(bytes)) OVER (PARTITION BY file ORDER BY page_id, part ROWS UNBOUNDED PRECEDING)
+                - octet_length(bytes))::BIGINT AS start,
+               sum(octet_length(bytes)) OVER (PARTITION BY file)::BIGINT AS total
+        FROM kept
+    ),
+    other AS (
+        SELECT file, start, least(length, total - total // 32 - start) AS length,
+               CASE WHEN start + length <= total - total // 32 THEN id END AS id,
+               sha256(array_slice(bytes, 1, least(length, total - total // 32 - start))) AS digest
+        FROM laid WHERE start < total - total // 32
+    ),
+    found AS (
+        SELECT one.*, other.start AS there FROM one LEFT JOIN other
+        ON one.file = other.file AND one.page_id = other.id AND one.digest = other.digest
+    ),
+    left_over AS (
+        SELECT * FROM other WHERE NOT EXISTS (
+            SELECT 1 FROM one WHERE one.file = other.file AND one.page_id = other.id AND one.digest = other.digest)
     )
-    SELECT page_id, file, start AS "offset", length, digest,
-           CASE WHEN start >= total - total // 32 THEN 'missing' WHEN sick THEN 'corrupt' ELSE 'intact' END AS status
-    FROM leaves
+    SELECT page_id, file, start AS "offset", length, digest, CASE WHEN start = there THEN 'intact' ELSE 'moved' END AS status
+    FROM found WHERE there IS NOT NULL
+    UNION ALL
+    SELECT coalesce(x.page_id, CASE WHEN x.file IS NULL THEN y.id END), coalesce(x.file, y.file), coalesce(x.start, y.start),
+           coalesce(x.length, y.length), coalesce(x.digest, y.digest),
+           CASE WHEN x.file IS NULL THEN 'extra' WHEN y.file IS NULL THEN 'missing' ELSE 'corrupt' END
+    FROM (SELECT * FROM found WHERE there IS NULL) x FULL JOIN left_over y ON x.file = y.file AND x.start = y.start
 """
