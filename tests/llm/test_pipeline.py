@@ -92,3 +92,20 @@ def test_stages_keep_the_columns(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "n-gram Jaccard join", "secret scans", "best-fit packing",
     ]
+
+
+def test_columns_with_clashing_names_stay(spark, tmp_path):
+    rows, labels = corpus()
+    path = str(tmp_path / "in")
+    docs = write(spark, path, rows, labels)
+    names = ["_gone_id", "_Gone", "_tidemark_rank", "id", "mark", "kept", "any_kept", "n", "_row", "_text", "_spans", "keep_id", "a.b"]
+    wide = docs.selectExpr("*", *(f"concat('{c} of ', doc_id) AS `{c}`" for c in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = sorted((r["doc_id"], r["text"]) for r in stage(spark, docs, path).where("doc_id is not null").collect())
+        found = stage(spark, wide, path)
+        assert found.columns == wide.columns
+        kept = found.where("doc_id is not null").collect()
+        assert sorted((r["doc_id"], r["text"]) for r in kept) == plain, name
+        assert all(r[c] == f"{c} of {r['doc_id']}" for r in kept for c in names)
+    packing = corpus_pipeline.STAGES[-1][1]
+    assert packing(spark, wide, path).count() == packing(spark, docs, path).count()

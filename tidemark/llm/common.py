@@ -51,17 +51,21 @@ def rows_that_stay(docs: DataFrame, decided: DataFrame, id_col: str, text_col: s
     first three one stays, if any does.
     """
     key = ["id", "n_chars", "mark"]
+    # Names that no column of the documents has.
+    mine = "_gone"
+    while any(c.lower().startswith(mine) for c in docs.columns):
+        mine = f"_{mine}"
     stay = decided.groupBy(*key).agg(F.max("kept").alias("any_kept"), F.count("*").alias("n"))
-    gone = stay.where("not any_kept").select(*(F.col(c).alias(f"_gone_{c}") for c in key))
+    gone = stay.where("not any_kept").select(*(F.col(c).alias(f"{mine}_{c}") for c in key))
     own = _known_by(id_col, text_col)
     same = F.lit(True)
     for name in key:
-        same = same & own[name].eqNullSafe(F.col(f"_gone_{name}"))
+        same = same & own[name].eqNullSafe(F.col(f"{mine}_{name}"))
     rest = docs.join(gone, same, "left_anti")
     if stay.where("any_kept and n > 1").isEmpty():
         return rest
     rank = F.row_number().over(Window.partitionBy(*(own[c] for c in key)).orderBy(*(f"`{c}`" for c in docs.columns)))
-    return rest.withColumn("_tidemark_rank", rank).where("_tidemark_rank = 1").drop("_tidemark_rank")
+    return rest.withColumn(mine, rank).where(F.col(mine) == 1).drop(mine)
 
 
 def utf8(values: pa.Array) -> Iterator[bytes]:

@@ -419,11 +419,14 @@ def keep_selected(
     """
     found = fit(docs, labels, id_col, text_col, window=window, **options)
     weigher, least = found.weigher, found.least_key
+    own_id, own_text = docs.columns.index(id_col), docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = zip(batch[id_col].cast(pa.int64()).to_pylist(), utf8(batch[text_col]), strict=True)
+            items = zip(batch[own_id].cast(pa.int64()).to_pylist(), utf8(batch[own_text]), strict=True)
             kept = [weigher.weighed(*found)[1] >= least for _, *found in weigher.parts(items)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    # Columns go by number, for a name may hold a dot.
+    numbered = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
