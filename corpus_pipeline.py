@@ -3,6 +3,11 @@
 Every stage reads what the one before has kept, and all but the last return the columns of ``documents``. Copies
 are dropped before similar documents are looked for, and secrets are taken out last, so that a replaced secret makes
 no two documents alike.
+
+A null text counts as an empty one. Empty texts are exact copies of each other, so one of them stays; texts without words are
+similar to nothing. Rows that agree in id and text are copies; of equal texts of different ids the longest stays, then the
+one with the smallest id, a null id last. Null ids are ids like any other. An empty table gives empty stages and no
+sequences. Every stage reads texts whole, however long, and keeps further columns, whatever their names.
 """
 
 from __future__ import annotations
