@@ -222,9 +222,9 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_large_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``ingest_incremental``, taking the way for batches whose keys are too many to broadcast."""
+    """As ``ingest_incremental``, taking the way for batches whose keys are too many to broadcast or for a bitmap."""
     every, uri = _preloaded(spark, sf_dir, "orders")
-    ingest(spark, every.unionByName(every), ORDERS, uri, broadcast_key_bytes=0)
+    ingest(spark, every.unionByName(every), ORDERS, uri, broadcast_key_bytes=0, bitmap_bits=0)
     return _stored(spark, uri)
 
 
