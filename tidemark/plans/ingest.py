@@ -90,8 +90,9 @@ def ingest(
     ``rejects_uri`` they replace what that path holds, so give each batch its own.  Malformed lines without
     ``rejects_uri`` raise ``MalformedRows``, before anything is written.
 
-    The batch is looked at two or three times, large ones once more for the bitmap of their keys.  ``read_once`` keeps it on the executors' disks after the first,
-    which pays for input that is costly to read, such as CSV, where every look parses all columns.
+    The batch is looked at two or three times, large ones once more for the bitmap of their keys.  ``read_once``
+    keeps it on the executors' disks after the first, which pays for input that is costly to read, such as CSV,
+    where every look parses all columns.
 
     One writer per table: two runs at the same time may both add the same key.
     """
