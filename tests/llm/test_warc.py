@@ -5,7 +5,7 @@ import time
 import pytest
 
 from tidemark.llm import warc
-from tidemark.llm.warc import archive, audit, fixity, leaves, read_archives, read_leaves, records_in, tree, write_archives
+from tidemark.llm.warc import archive, audit, fixity, leaves, read_archives, read_leaves, records_in, tree, unpacked, write_archives
 
 PAGES = "page_id bigint, url string, html string, file string, digest string"
 ROWS = [
@@ -15,9 +15,9 @@ ROWS = [
 LEAVES = "file bigint, id bigint, offset bigint, length bigint, digest string"
 
 
-def stored(spark, pages, path, size=warc.ARCHIVE):
+def stored(spark, pages, path, size=warc.ARCHIVE, compression="gzip"):
     records = archive(spark.createDataFrame(pages, PAGES), size)
-    write_archives(records, path)
+    write_archives(records, path, compression)
     return records, read_archives(spark, path)
 
 
@@ -25,10 +25,12 @@ def as_rows(leaves):
     return sorted(map(str, leaves.collect()))
 
 
-def test_archives_are_read_again(spark, tmp_path):
-    records, archives = stored(spark, ROWS, str(tmp_path / "a"))
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_archives_are_read_again(spark, tmp_path, compression):
+    records, archives = stored(spark, ROWS, str(tmp_path / "a"), compression=compression)
     (row,) = archives.collect()
-    data = bytes(row["content"])
+    assert (row["content"][:2] == b"\x1f\x8b") == (compression == "gzip")
+    data = unpacked(bytes(row["content"]))
     texts = [r["record"] for r in records.collect()]
     assert row["file"] == 0 and sorted(texts) == sorted(data[s:e].decode() for s, e, _, _ in records_in(data))
     assert sum(map(len, (t.encode() for t in texts))) == len(data)
@@ -79,6 +81,19 @@ def test_reading_goes_on_after_damage():
     assert pages_of(BYTES.replace(b"Length: 12", b"Length: 13", 1)) == [0, 1, 2, None, None, 4]
 
 
+def test_gzip_members():
+    import gzip
+
+    parts = [BYTES, b"", BYTES * 2000, b"end"]
+    packed = b"".join(map(gzip.compress, parts))
+    assert unpacked(packed) == b"".join(parts) and unpacked(BYTES) == BYTES and unpacked(b"") == b""
+    for cut in (1, 5, 30, len(packed) // 2, len(packed) - 3):
+        assert b"".join(parts).startswith(unpacked(packed[:cut])) or cut < 2
+    broken = bytearray(packed)
+    broken[len(packed) // 2] ^= 0xFF
+    assert unpacked(bytes(broken))[: len(BYTES)] == BYTES
+
+
 def test_any_damage_is_read():
     draw = random.Random(9)
     for _ in range(400):

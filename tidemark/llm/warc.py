@@ -2,23 +2,25 @@
 
 Pages become records of archives: WARC/1.1, one after another, written as files. An audit reads the bytes of two replicas
 again, each record at the offset where it stands. Bytes that are no record, by damage or a cut, are one leaf up to where the next
-record begins, so nothing stops the reading. The leaves of a tree are the SHA-256 of records and of such stretches. A range of offsets is known by the hash of what begins in it, in order, with offsets and lengths; ranges
-are put together 16 at a time, up to the whole archive. Two replicas whose roots agree are equal. Where they differ,
-only ranges with different hashes are opened, one level after the other, down to the records.
+record begins, so nothing stops the reading. The leaves of a tree are the SHA-256 of records and of such stretches. A range
+of offsets is known by the hash of what begins in it, in order, with offsets and lengths; ranges are put together 16 at a time,
+up to the whole archive. Two replicas whose roots agree are equal. Where they differ, only ranges with different hashes are
+opened, one level after the other, down to the records.
 
 Pages are shuffled once, to their archives; the audit shuffles hashes. Archives are dealt by a hash of the record, and copies of
 one record in great number by the task they came from as well, so an archive has about its size whatever repeats. A node has as
 many children as records begin in 64 KiB, or 16, so no group grows with the corpus.
 
 Null html is an empty record, a null url leaves its header out, a null id is empty. Rows may repeat: equal records stand
-beside each other in an archive. Other columns are not looked at; an empty table gives no archives. Archives are not
-compressed; a very long page makes its archive as much longer.
+beside each other in an archive. Other columns are not looked at; an empty table gives no archives. A very long page makes
+its archive as much longer.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -74,12 +76,15 @@ def archive(
     return rows.select(F.pmod(number + salt, F.lit(files)).alias("file"), "id", "record")
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """The archives of rows (file, id, record) as files ``file=N/...``, one for each, records in the order of ``leaves``."""
+def write_archives(records: DataFrame, path: str, compression: str = "gzip") -> None:
+    """The archives of rows (file, id, record) as files ``file=N/...``, one for each, records in the order of ``leaves``.
+
+    ``compression`` is gzip, or none.
+    """
     # The writer ends each row as a record ends.
     rows = records.select("file", "id", F.sha2("record", 256).alias("digest"), F.expr("left(record, length(record) - 2)").alias("value"))
     rows = rows.repartition("file").sortWithinPartitions("file", F.col("id").asc_nulls_first(), "digest")
-    rows.select("file", "value").write.partitionBy("file").option("lineSep", "\r\n").text(path)
+    rows.select("file", "value").write.partitionBy("file").options(lineSep="\r\n", compression=compression).text(path)
 
 
 def leaves(records: DataFrame) -> DataFrame:
@@ -213,9 +218,32 @@ def records_in(data: bytes) -> Iterator[tuple[int, int, int | None, int]]:
         at = end
 
 
+_GZIP = b"\x1f\x8b"
+
+
+def unpacked(stored: bytes) -> bytes:
+    """An archive's bytes, whether stored as they are or in gzip members; of damaged members what comes before the damage."""
+    if stored[:2] != _GZIP:
+        return stored
+    parts = []
+    while stored[:2] == _GZIP:
+        member = zlib.decompressobj(31)
+        try:
+            for start in range(0, len(stored), 1 << 16):
+                parts.append(member.decompress(stored[start : start + (1 << 16)]))
+                if member.eof:
+                    stored = member.unused_data + stored[start + (1 << 16) :]
+                    break
+            else:
+                break
+        except zlib.error:
+            break
+    return b"".join(parts)
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (file, content): the bytes of the archives that ``write_archives`` has written."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    """Rows (file, content): the bytes of the archives that ``write_archives`` has written, as they are stored."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt*").load(path)
     name = F.regexp_extract("path", "/file=([0-9]+)/[^/]*$", 1).try_cast("bigint")
     return files.select(name.alias("file"), "content").where("file IS NOT NULL")
 
@@ -224,9 +252,10 @@ _LEAF = "file bigint, id bigint, offset bigint, length bigint, digest string"
 
 
 def read_leaves(archives: DataFrame, stored: Callable[[bytes], bytes] | None = None) -> DataFrame:
-    """Rows (file, id, offset, length, digest) from the bytes of rows (file, content).
+    """Rows (file, id, offset, length, digest) from the bytes of rows (file, content), plain or in gzip members.
 
-    ``stored`` gives the bytes that a replica has instead, for trying out what storage may do.
+    Offsets are those in the unpacked archive. ``stored`` gives the bytes that a replica has instead of these, for trying
+    out what storage may do.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +264,7 @@ def read_leaves(archives: DataFrame, stored: Callable[[bytes], bytes] | None = N
 
         def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
             for name, content in zip(batch["file"], batch["content"], strict=True):
-                data = content.as_py()
+                data = unpacked(content.as_py())
                 data = stored(data) if stored else data
                 view = memoryview(data)
                 for start, end, page, _ in records_in(data):
