@@ -17,6 +17,9 @@ from tidemark.sources.csv import MALFORMED, MalformedRows
 from tidemark.sources.history import read_history, stored_columns
 from tidemark.tables import TableSpec
 
+#: Rows of a kept batch that a task reads, about.
+TASK_ROWS = 500_000
+
 
 class SchemaMismatch(ValueError):
     """The batch does not have the columns or types of the table."""
@@ -92,19 +95,40 @@ def ingest(
 
     The batch is looked at two or three times, large ones once more for the bitmap of their keys.  ``read_once``
     keeps it on the executors' disks after the first, which pays for input that is costly to read, such as CSV,
-    where every look parses all columns.
+    where every look parses all columns, and packs its parts for the later looks by the number of its rows.
 
     One writer per table: two runs at the same time may both add the same key.
     """
-    if read_once:
-        kept = batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            return ingest(
-                spark, kept, spec, uri, rejects_uri=rejects_uri, broadcast_key_bytes=broadcast_key_bytes,
-                bitmap_bits=bitmap_bits,
-            )
-        finally:
-            kept.unpersist()
+    options = {"rejects_uri": rejects_uri, "broadcast_key_bytes": broadcast_key_bytes, "bitmap_bits": bitmap_bits}
+    if not read_once:
+        return _ingest(spark, batch, spec, uri, **options)
+    kept = batch.persist(StorageLevel.DISK_ONLY)
+    try:
+        return _ingest(spark, kept, spec, uri, packed=True, **options)
+    finally:
+        kept.unpersist()
+
+
+def _tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks for kept rows: one for each core, and more where one would get over ``TASK_ROWS``."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
+def _ingest(
+    spark: SparkSession,
+    batch: DataFrame,
+    spec: TableSpec,
+    uri: str,
+    *,
+    rejects_uri: str | None,
+    broadcast_key_bytes: int,
+    bitmap_bits: int,
+    packed: bool = False,
+) -> IngestResult:
+    """As ``ingest``. ``packed``: the batch is kept, in as many parts as a stream's state has, and few tasks read several each.
+
+    A shuffle writes a file for each of its two sides' pairs of tasks, and a stream has no adaptive execution to pack them.
+    """
     if spec.schema is not None:
         batch = conform(batch, StructType.fromDDL(spec.schema))
     batch = as_stored(batch, spec)
@@ -124,7 +148,17 @@ def ingest(
     profile = profile_keys(batch, spec.key, spec.stable)
     if profile.malformed and rejects_uri is None:
         raise MalformedRows(f"{profile.malformed} lines do not have the columns and types of {spec.name}")
+    if rejects_uri is not None:
+        if profile.rejected:
+            overwrite(batch.where(~sound), rejects_uri)
+        elif read_history(spark, rejects_uri, batch.schema) is not None:
+            overwrite(batch.limit(0), rejects_uri)  # those of an earlier batch are not this one's
+    if history is not None and profile.rejected == profile.rows:
+        # Nothing to look up, as in a micro-batch of repeats or one that only moves a stream's watermark.
+        return IngestResult(spec.name, first_load=False, read=profile.rows, rejected=profile.rejected, appended=0)
     keyed = batch.where(sound).drop(MALFORMED)
+    if packed:
+        keyed = keyed.coalesce(_tasks(spark, profile.rows))
     if history is None:
         fresh = dedupe(keyed, spec.key, spec.preference())
     else:
@@ -132,11 +166,8 @@ def ingest(
             keyed, history, spec.key, spec.preference(), profile,
             broadcast_key_bytes=broadcast_key_bytes, bitmap_bits=bitmap_bits,
         )
-    if rejects_uri is not None:
-        if profile.rejected:
-            overwrite(batch.where(~sound), rejects_uri)
-        elif read_history(spark, rejects_uri, batch.schema) is not None:
-            overwrite(batch.limit(0), rejects_uri)  # those of an earlier batch are not this one's
+    if packed:
+        fresh = fresh.coalesce(_tasks(spark, profile.rows))
     # The write looks at the new rows once to find ranges before it moves them.  Kept on the
     # executors' disks, they are not joined and sorted twice; a lost copy is computed again.
     fresh = fresh.persist(StorageLevel.DISK_ONLY)
