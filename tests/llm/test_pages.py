@@ -215,3 +215,31 @@ def test_wide_and_deep_trees_are_aligned_in_time(monkeypatch):
     assert time.perf_counter() - begun < 20
     monkeypatch.setattr(module, "MOST_CELLS", 10)
     assert Matcher()(wide, other)[0] == 0
+
+
+def test_matches_do_not_depend_on_the_rows_that_are_kept(monkeypatch):
+    draw = random.Random(5)
+    trees = [(random_shape(draw, draw.randint(0, 40)), random_shape(draw, draw.randint(0, 40))) for _ in range(100)]
+    trees.append(tuple(" ".join(["0div", *(f"1p 2{draw.choice('abc')}" for _ in range(n))]) for n in (150, 101)))
+    expected = [Matcher()(b, a) for a, b in trees]
+    for most in (0, 1, 7, 100):
+        monkeypatch.setattr(module, "MOST_CELLS", most)
+        monkeypatch.setattr(module, "KNOWN_SIZES", 3 * most)
+        assert [Matcher()(b, a) for a, b in trees] == expected
+
+
+def test_a_template_among_thousands_of_siblings_is_found():
+    """The notice has another path on each page, and its node has over 2,000 siblings of many kinds."""
+    draw = random.Random(6)
+
+    def page(i):
+        above, below = (
+            "".join(f"<{tag}><{(kind := draw.choice(kinds))}>{side} {i} {k}</{kind}></{tag}>" for k in range(1100))
+            for side, tag, kinds in (("above", "div", ["h1", "h2"]), ("below", "blockquote", ["p", "h3"]))
+        )
+        return f"<body>{above}<section class=n{i}>All rights reserved</section>{below}</body>"
+
+    pages = [page(i) for i in range(4)]
+    reference, template = induce(pages)
+    text = main_text(pages[2], template, reference)
+    assert text.count("\n") == 2199 and "rights" not in text and "rights" in main_text(pages[2])

@@ -25,6 +25,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from html import unescape
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,10 @@ CONSTANT = 0.8
 LAYOUT_DEPTH = 3
 #: Deeper elements are aligned as texts of their ancestor at this depth.
 DEEPEST = 100
-#: Children of two nodes are aligned if they, without what is alike at both ends, make no more pairs than this;
-#: else their texts are known by path alone.
+#: Cells that a table of two nodes' children keeps; of a larger one some rows are kept and the others computed again.
 MOST_CELLS = 4_000_000
+#: Sizes of matches that a task keeps.
+KNOWN_SIZES = 1_000_000
 #: Answers that a task keeps.
 KNOWN_SHAPES = 4096
 
@@ -403,42 +405,82 @@ class Matcher:
         if size is None:
             same, rows, columns = _ends_alike(a.children, b.children)
             size = 1 + sum(x.size for x, _ in same)
-            if rows and columns and len(rows) * len(columns) <= MOST_CELLS:
-                size += int(self._table(rows, columns)[-1][-1])
+            if rows and columns:
+                size += _Alignment(self, columns).largest(rows)
+            if len(self._weights) >= KNOWN_SIZES:
+                self._weights.clear()
             self._weights[a.key, b.key] = size
         return size
 
-    def _table(self, rows: list[Node], columns: list[Node]) -> list[np.ndarray]:
-        """best[i][j]: the largest match of the first i rows and j columns."""
-        best = [np.zeros(len(columns) + 1, np.int64)]
-        kinds = {x.key: x for x in columns}
-        place = np.array([list(kinds).index(x.key) for x in columns])
-        known: dict[int, np.ndarray] = {}
-        for x in rows:
-            if x.key not in known:
-                known[x.key] = np.array([self.size(x, y) for y in kinds.values()])[place]
-            above = best[-1]
-            reached = np.maximum(above[1:], above[:-1] + known[x.key])
-            best.append(np.concatenate([[0], np.maximum.accumulate(reached)]))
-        return best
-
     def _pairs(self, a: Node, b: Node, found: list[int]) -> None:
         if a.number >= 0:
             found[a.number] = b.number
         same, rows, columns = _ends_alike(a.children, b.children)
-        if rows and columns and len(rows) * len(columns) <= MOST_CELLS:
-            best = self._table(rows, columns)
-            i, j = len(rows), len(columns)
-            while i and j:
-                if best[i][j] == best[i - 1][j]:
+        if rows and columns:
+            same += _Alignment(self, columns).pairs(rows)
+        for x, y in same:
+            self._pairs(x, y, found)
+
+
+class _Alignment:
+    """Largest matches of lists of siblings with given ones, the columns, in order.
+
+    ``best[i][j]`` is that of the first i rows and j columns; a row of this table follows from the one above it.
+    """
+
+    def __init__(self, matcher: Matcher, columns: list[Node]) -> None:
+        self.matcher, self.columns = matcher, columns
+        kinds: dict[int, int] = {}
+        self.place = np.array([kinds.setdefault(x.key, len(kinds)) for x in columns])
+        first = {x.key: x for x in reversed(columns)}
+        self.kinds = [first[key] for key in kinds]
+        self.known: dict[int, np.ndarray] = {}
+
+    def below(self, above: np.ndarray, x: Node) -> np.ndarray:
+        """The table's row of a sibling."""
+        sizes = self.known.get(x.key)
+        if sizes is None:
+            if len(self.known) * len(self.kinds) >= KNOWN_SIZES:
+                self.known.clear()
+            sizes = self.known[x.key] = np.array([self.matcher.size(x, y) for y in self.kinds], np.int32)
+        best = np.zeros(len(above), np.int32)
+        np.maximum.accumulate(np.maximum(above[1:], above[:-1] + sizes[self.place]), out=best[1:])
+        return best
+
+    def largest(self, rows: list[Node]) -> int:
+        best = np.zeros(len(self.columns) + 1, np.int32)
+        for x in rows:
+            best = self.below(best, x)
+        return int(best[-1])
+
+    def pairs(self, rows: list[Node]) -> list[tuple[Node, Node]]:
+        """The pairs of a largest match, from the last; the same ones however many rows of the table are kept."""
+        n = len(rows)
+        stride = n if n * len(self.columns) <= MOST_CELLS else isqrt(n)
+        starts = range(0, n, stride)
+        kept = [np.zeros(len(self.columns) + 1, np.int32)]
+        for start in starts[:-1]:
+            best = kept[-1]
+            for x in rows[start : start + stride]:
+                best = self.below(best, x)
+            kept.append(best)
+        found, i, j = [], n, len(self.columns)
+        for start in reversed(starts):
+            table = [kept.pop()]
+            for x in rows[start:i]:
+                table.append(self.below(table[-1], x))
+            while i > start and j:
+                here, above = table[i - start], table[i - start - 1]
+                if here[j] == above[j]:
                     i -= 1
-                elif best[i][j] == best[i][j - 1]:
+                elif here[j] == here[j - 1]:
                     j -= 1
                 else:
                     i, j = i - 1, j - 1
-                    same.append((rows[i], columns[j]))
-        for x, y in same:
-            self._pairs(x, y, found)
+                    found.append((rows[i], self.columns[j]))
+            if not j:
+                break
+        return found
 
 
 def _ends_alike(a: list[Node], b: list[Node]) -> tuple[list[tuple[Node, Node]], list[Node], list[Node]]:
